@@ -1,0 +1,139 @@
+"""The training run: validate, split, fit both stages, compare, gate, export."""
+
+from __future__ import annotations
+
+import logging
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from basketlens import schemas as S
+from basketlens.operators.als import ALSCandidates, ALSParams
+from basketlens.operators.evaluate import compare_models, promotion_gate, sample_users
+from basketlens.operators.features import interaction_stats, seen_items_from
+from basketlens.operators.lambdamart import LambdaMartModel, RankerParams, fit_lambdamart
+from basketlens.operators.popularity import PopularityModel
+from basketlens.operators.ranking import ranker_group_split, ranking_dataset, ranking_dataset_stats
+from basketlens.operators.split import TemporalSplit, ground_truth, known_users, make_temporal_split
+from basketlens.operators.two_stage import TwoStageRecommender
+from basketlens.operators.validate import check_articles, check_customers, check_transactions
+from basketlens.plans.workspace import written
+from basketlens.sources.bundle import write_json, write_report
+
+log = logging.getLogger(__name__)
+
+
+class PromotionBlocked(RuntimeError):
+    """The trained model did not reach the metric threshold; nothing was exported."""
+
+
+@dataclass
+class TrainingParams:
+    val_start: str = S.VAL_START
+    test_start: str = S.TEST_START
+    n_candidates: int = S.N_CANDIDATES
+    max_negatives: int = S.MAX_NEGATIVES
+    max_train_users: int = S.MAX_TRAIN_USERS
+    max_test_users: int = S.MAX_TEST_USERS
+    k: int = S.EVAL_K
+    seed: int = S.SEED
+    als: ALSParams = field(default_factory=lambda: ALSParams(iterations=40))
+    ranker: RankerParams = field(default_factory=lambda: RankerParams(n_rounds=300))
+
+
+@dataclass
+class TrainedModels:
+    split: TemporalSplit
+    two_stage: TwoStageRecommender
+    dataset: DataFrame
+
+    @property
+    def als(self) -> ALSCandidates:
+        return self.two_stage.als
+
+    @property
+    def ranker(self) -> LambdaMartModel:
+        return self.two_stage.ranker
+
+    @property
+    def popularity(self) -> PopularityModel:
+        return self.two_stage.popularity
+
+
+def train_models(tx: DataFrame, params: TrainingParams | None = None) -> TrainedModels:
+    """Fit popularity, ALS and the ranker. Raw transactions are aggregated once, into ``stats``."""
+    params = params or TrainingParams()
+    split = make_temporal_split(tx, params.val_start, params.test_start)
+    stats = written(interaction_stats(split.train), "stats")
+    popularity = PopularityModel.fit(split.train, seen=seen_items_from(stats))
+    als = ALSCandidates.fit(split.train, params.als, stats=stats)
+    two_stage = TwoStageRecommender(als, None, popularity, params.n_candidates).fit_features(split.train, stats)
+    learners = sample_users(known_users(split, "val"), params.max_train_users, params.seed)
+    candidates = written(als.recommend(learners, params.n_candidates), "candidates")
+    dataset = ranking_dataset(
+        candidates,
+        ground_truth(split, "val"),
+        two_stage.item_feats,
+        two_stage.user_feats,
+        max_negatives=params.max_negatives,
+        seed=params.seed,
+    )
+    dataset = written(ranker_group_split(written(dataset, "ranking")), "ranking-split")
+    two_stage.ranker = fit_lambdamart(dataset, params.ranker)
+    return TrainedModels(split, two_stage, dataset)
+
+
+def compare_trained(models: TrainedModels, params: TrainingParams) -> DataFrame:
+    """Popularity, ALS alone and both stages on the sampled known customers of val and test."""
+    truths, asked = {}, None
+    for which, n in (("val", params.max_train_users), ("test", params.max_test_users)):
+        users = written(sample_users(known_users(models.split, which), n, params.seed), f"{which}-users")
+        truths[which] = ground_truth(models.split, which).join(users, "customer_id", "left_semi")
+        asked = users if asked is None else asked.unionByName(users)
+    asked = written(asked.distinct(), "asked")
+    als_lists = models.als.recommend(asked, params.k).withColumn("rank", F.col("als_rank") + 1)
+    recs = {
+        "popularity": models.popularity.recommend(asked, params.k),
+        "als_raw": als_lists,
+        "two_stage": models.two_stage.recommend(asked, params.k),
+    }
+    return compare_models(recs, truths, params.k)
+
+
+def retrain(
+    tx: DataFrame,
+    articles: DataFrame,
+    customers: DataFrame,
+    out_path: str,
+    params: TrainingParams | None = None,
+    threshold: float = S.NDCG_THRESHOLD,
+    date_range: tuple[str, str] = (S.MIN_DATE, S.MAX_DATE),
+) -> DataFrame:
+    """All stages in order. Hard data errors or a metric below the threshold stop before the export.
+
+    Returns the comparison of the models on the validation and test windows.
+    """
+    params = params or TrainingParams()
+    reports = [check_transactions(tx, *date_range), check_articles(articles), check_customers(customers)]
+    for report in reports:
+        report.raise_on_errors()
+    models = train_models(tx, params)
+    comparison = written(compare_trained(models, params), "comparison")
+    gate = promotion_gate(comparison.filter("model = 'two_stage' AND split = 'val'"), threshold).first()
+    if not gate["promoted"]:
+        raise PromotionBlocked(f"NDCG@{params.k} {gate['ndcg']:.4f} is below {threshold:.4f}")
+    log.info("promoted: NDCG@%d %.4f", params.k, gate["ndcg"])
+    models.two_stage.save(out_path)
+    stats = ranking_dataset_stats(models.dataset).first().asDict()
+    meta = {
+        "n_candidates": params.n_candidates,
+        "max_negatives": params.max_negatives,
+        "seed": params.seed,
+        "k": params.k,
+        "best_iteration": models.ranker.best_iteration,
+        **stats,
+    }
+    write_json(tx.sparkSession, meta, f"{out_path}/ranker_meta")
+    write_report(comparison, f"{out_path}/eval_report")
+    return comparison
