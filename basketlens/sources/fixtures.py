@@ -91,8 +91,11 @@ def dirty_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with repeated ids, missing ids and missing attributes."""
     art = articles(spark, sf_dir)
     number = F.col("article_id").cast("long")
-    damaged = art.withColumn("article_id", F.when(number % 101 != 0, F.col("article_id"))).withColumn(
-        "department_name", F.when(number % 7 != 0, F.col("department_name"))
+    damaged = art.withColumns(
+        {
+            "article_id": F.when(number % 101 != 0, F.col("article_id")),
+            "department_name": F.when(number % 7 != 0, F.col("department_name")),
+        }
     )
     return damaged.unionByName(art.filter(number % 97 == 0))
 
