@@ -466,8 +466,9 @@ FROM scores""",
         "metric_lift": _q(
             "SELECT c.model, c.split, "
             + ", ".join(f"round((c.{m} - b.{m}) / b.{m}, 9) AS {m}_lift" for m in ("ndcg", "recall", "map", "hit_rate"))
-            + "\nFROM comparison c JOIN comparison b ON c.split = b.split AND b.model = 'popularity'",
+            + "\nFROM rounded c JOIN rounded b ON c.split = b.split AND b.model = 'popularity'",
             *_comparison(),
+            f"rounded AS ({_COMPARED})",
         ),
         "promotion_gate": _q(
             """SELECT model, split, round(ndcg, 9) AS ndcg, CAST(0.004 AS DOUBLE) AS threshold,

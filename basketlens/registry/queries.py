@@ -454,7 +454,8 @@ def compare_models(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def metric_lift(spark: SparkSession, sf: str) -> DataFrame:
-    lift = E.metric_lift(written(_comparison(spark, sf), "comparison"), "popularity")
+    comparison = _rounded(_comparison(spark, sf), "ndcg", "recall", "map", "hit_rate")
+    lift = E.metric_lift(written(comparison, "comparison"), "popularity")
     return _rounded(lift, "ndcg_lift", "recall_lift", "map_lift", "hit_rate_lift")
 
 
