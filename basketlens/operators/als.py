@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +18,11 @@ from basketlens.plans.numbering import number_rows
 from basketlens.plans.skew import lookup_join
 from basketlens.plans.workspace import shared_dir, written
 
-# Customers are scored in groups by the number of articles they bought: at most 64, 256, 1024, …
+# Item factors are broadcast only up to this many 32-bit numbers (128 MB) in all.
+BROADCAST_FACTORS = 32_000_000
+# Scores held at a time by one task while it ranks a batch of customers.
+_SCORES_PER_STEP = 4_000_000
+# Beyond that, customers are scored in groups by the number of articles they bought: at most 64, 256, …
 # Only the group's own bound is added to the list length that has to be scored out.
 _FIRST_GROUP_BITS = 6
 _GROUP_STEP_BITS = 2
@@ -68,6 +76,7 @@ class ALSCandidates:
     users: DataFrame
     items: DataFrame
     counts: DataFrame
+    broadcast_factors: int = BROADCAST_FACTORS
 
     @classmethod
     def fit(cls, train: DataFrame, params: ALSParams | None = None, stats: DataFrame | None = None) -> ALSCandidates:
@@ -122,31 +131,69 @@ class ALSCandidates:
     def recommend(self, users: DataFrame, k: int = S.N_CANDIDATES, exclude_seen: bool = True) -> DataFrame:
         """Top ``k`` per known customer: (customer_id, article_id, als_rank from 0, model_score).
 
-        Customers without training history have no rows. With ``exclude_seen`` a customer's list is scored
-        out to ``k`` plus the bound of their purchase group, so removing what they bought leaves ``k``
-        articles wherever that many exist; a customer with a huge history does not lengthen anybody
-        else's list.
+        Customers without training history have no rows. A list is shorter than ``k`` only when the
+        customer bought all but a few articles. Equal scores go by article id.
         """
         if k < 1:
             raise ValueError("k must be at least 1")
         wanted = users.select("customer_id").distinct().join(self.users, "customer_id")
+        if self.n_items * self.model.rank <= self.broadcast_factors:
+            ranked = self._rank_broadcast(wanted, k, exclude_seen)
+        else:
+            ranked = self._rank_blocks(wanted, k, exclude_seen)
+        return lookup_join(ranked, self.items, "article_idx", "inner").select(
+            "customer_id", "article_id", "als_rank", "model_score"
+        )
+
+    def _rank_broadcast(self, wanted: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
+        """Every customer's scores against the broadcast item factors, bought articles masked out.
+
+        The item count was checked, which also bounds the list of bought articles of any one customer.
+        """
+        factors = self.model.itemFactors.toPandas()
+        ids = factors["id"].to_numpy(dtype=np.int64)
+        table = np.zeros((self.n_items, self.model.rank), dtype=np.float32)
+        table[ids] = np.stack(factors["features"].to_numpy())
+        shared = wanted.sparkSession.sparkContext.broadcast(table)
+        rows = wanted.join(self.model.userFactors.withColumnRenamed("id", "customer_idx"), "customer_idx")
+        if exclude_seen:
+            bought = self.counts.groupBy("customer_idx").agg(F.collect_list("article_idx").alias("bought"))
+            rows = rows.join(bought, "customer_idx", "left")
+        else:
+            rows = rows.withColumn("bought", F.array().cast("array<int>"))
+
+        def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            step = max(1, _SCORES_PER_STEP // len(shared.value))
+            for batch in batches:
+                for start in range(0, len(batch), step):
+                    yield rank_customers(batch.iloc[start : start + step], shared.value, k)
+
+        return rows.select("customer_id", "features", "bought").mapInPandas(
+            rank, "customer_id string, article_idx int, als_rank int, model_score float"
+        )
+
+    def _rank_blocks(self, wanted: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
+        """The library's blocked scoring, for catalogues too large to broadcast.
+
+        With ``exclude_seen`` a list is scored out to ``k`` plus the bound of the customer's purchase
+        group, so removing what they bought leaves ``k`` articles; a customer with a huge history does
+        not lengthen anybody else's list.
+        """
         if not exclude_seen:
-            return self._rank(self._score(wanted, k), k)
+            return _first_k(self._score(wanted, k), k)
         n_seen = self.counts.groupBy("customer_idx").agg(F.count(F.lit(1)).alias("n_seen"))
         bits = F.greatest(F.ceil(F.log2("n_seen")), F.lit(_FIRST_GROUP_BITS))
         steps = F.ceil((bits - _FIRST_GROUP_BITS) / _GROUP_STEP_BITS).cast("int")
         grouped = written(wanted.join(n_seen, "customer_idx").withColumn("step", steps), "als-wanted")
         # At most a dozen steps: the bound grows fourfold each time.
         present = sorted(r["step"] for r in grouped.select("step").distinct().collect())
-        scored = None
-        for step in present:
-            bound = 2 ** (_FIRST_GROUP_BITS + _GROUP_STEP_BITS * step)
-            part = self._score(grouped.filter(F.col("step") == step), k + bound)
-            scored = part if scored is None else scored.unionByName(part)
-        if scored is None:
-            return self._rank(self._score(wanted, k), k)
+        parts = [
+            self._score(grouped.filter(F.col("step") == s), k + 2 ** (_FIRST_GROUP_BITS + _GROUP_STEP_BITS * s))
+            for s in present
+        ]
+        scored = reduce(DataFrame.unionByName, parts) if parts else self._score(wanted, k)
         bought = self.counts.select("customer_idx", "article_idx")
-        return self._rank(scored.join(bought, ["customer_idx", "article_idx"], "left_anti"), k)
+        return _first_k(scored.join(bought, ["customer_idx", "article_idx"], "left_anti"), k)
 
     def _score(self, wanted: DataFrame, n: int) -> DataFrame:
         n = min(n, self.n_items)
@@ -155,16 +202,6 @@ class ALSCandidates:
             "customer_idx", "customer_id", F.inline("recommendations").alias("article_idx", "model_score")
         )
 
-    def _rank(self, scored: DataFrame, k: int) -> DataFrame:
-        # Article indices follow the sorted ids, so ties go by article id.
-        order = Window.partitionBy("customer_id").orderBy(F.desc("model_score"), "article_idx")
-        ranked = (
-            scored.withColumn("rank", F.row_number().over(order))
-            .filter(F.col("rank") <= k)
-            .select("customer_id", "article_idx", (F.col("rank") - 1).alias("als_rank"), "model_score")
-        )
-        return _with_article_ids(ranked, self.items)
-
     def save(self, path: str) -> None:
         spark = self.users.sparkSession
         self.model.write().overwrite().save(f"{path}/model")
@@ -181,9 +218,39 @@ class ALSCandidates:
         return cls(params, ALSModel.load(f"{path}/model"), *tables)
 
 
-def _with_article_ids(ranked: DataFrame, items: DataFrame) -> DataFrame:
-    return lookup_join(ranked, items, "article_idx", "inner").select(
-        "customer_id", "article_id", "als_rank", "model_score"
+def rank_customers(batch: pd.DataFrame, item_factors: np.ndarray, k: int) -> pd.DataFrame:
+    """The first ``k`` article indices per row of (customer_id, features, bought), by score, then index."""
+    scores = np.stack(batch["features"].to_numpy()).astype(np.float32) @ item_factors.T
+    customers, articles, ranks, values = [], [], [], []
+    for customer, bought, row in zip(batch["customer_id"], batch["bought"], scores):
+        if bought is not None and len(bought):
+            row[np.asarray(bought, dtype=np.int64)] = -np.inf
+        n = min(k, len(row))
+        # All articles at least as good as the n-th best, so that ties at the end are cut by index.
+        floor = np.partition(row, len(row) - n)[len(row) - n]
+        kept = np.flatnonzero((row >= floor) & np.isfinite(row))
+        kept = kept[np.lexsort((kept, -row[kept]))][:n]
+        customers += [customer] * len(kept)
+        articles.append(kept)
+        ranks.append(np.arange(len(kept)))
+        values.append(row[kept])
+    return pd.DataFrame(
+        {
+            "customer_id": customers,
+            "article_idx": np.concatenate(articles).astype(np.int32),
+            "als_rank": np.concatenate(ranks).astype(np.int32),
+            "model_score": np.concatenate(values),
+        }
+    )
+
+
+def _first_k(scored: DataFrame, k: int) -> DataFrame:
+    # Article indices follow the sorted ids, so ties go by article id.
+    order = Window.partitionBy("customer_id").orderBy(F.desc("model_score"), "article_idx")
+    return (
+        scored.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select("customer_id", "article_idx", (F.col("rank") - 1).alias("als_rank"), "model_score")
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from basketlens import schemas as S
 from basketlens.functions.columns import feature_value, null_if_nan
 from basketlens.plans.skew import lookup_join
+from basketlens.plans.workspace import written
 
 
 def interaction_stats(train: DataFrame) -> DataFrame:
@@ -34,20 +35,24 @@ def interaction_stats(train: DataFrame) -> DataFrame:
 
 
 def item_features_from(stats: DataFrame) -> DataFrame:
-    """Reach, volume, mean price, recency against the last training day, share of the widest reach."""
-    items = (
-        stats.filter(F.col("article_id").isNotNull())
-        .groupBy("article_id")
-        .agg(
+    """Reach, volume, mean price, recency against the last training day, share of the widest reach.
+
+    The per-article totals are written (one row per article) so that the widest reach and the last day
+    are read from them and ``stats`` is aggregated once. Rows without an article still count for the day.
+    """
+    items = written(
+        stats.groupBy("article_id").agg(
             F.count("customer_id").alias("buyers"),
             F.sum("purchase_count").alias("purchases"),
             F.try_divide(F.sum("spend").cast("double"), F.sum("priced")).alias("mean_price"),
             F.max("last_day").alias("last_day"),
-        )
+        ),
+        "item-totals",
     )
-    widest = items.agg(F.max("buyers")).scalar()
-    last_day = stats.agg(F.max("last_day")).scalar()
-    return items.select(
+    named = items.filter(F.col("article_id").isNotNull())
+    widest = named.agg(F.max("buyers")).scalar()
+    last_day = items.agg(F.max("last_day")).scalar()
+    return named.select(
         "article_id",
         F.col("buyers").cast("float").alias("item_unique_buyers"),
         F.col("purchases").cast("float").alias("item_purchase_count"),
@@ -58,7 +63,10 @@ def item_features_from(stats: DataFrame) -> DataFrame:
 
 
 def user_features_from(stats: DataFrame) -> DataFrame:
-    """Volume, breadth, spend, span between first and last day, recency, share of online rows."""
+    """Volume, breadth, spend, span between first and last day, recency, share of online rows.
+
+    ``stats`` should be a stored table: the last day is one more scan of one of its columns.
+    """
     users = (
         stats.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
@@ -90,7 +98,7 @@ def item_features(train: DataFrame) -> DataFrame:
 
 
 def user_features(train: DataFrame) -> DataFrame:
-    return user_features_from(interaction_stats(train))
+    return user_features_from(written(interaction_stats(train), "stats"))
 
 
 def seen_items_from(stats: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.plans.workspace import written
+
 
 def _daily(stg_tx: DataFrame) -> DataFrame:
     return stg_tx.groupBy("customer_id", "article_id", "transaction_date").agg(
@@ -74,15 +76,20 @@ def fct_item_features(stg_tx: DataFrame, stg_art: DataFrame, as_of: Column) -> D
         )
     )
     spend, count = F.sum("spend").cast("double"), F.sum("n")
-    stats = by_buyer.groupBy("article_id").agg(
-        F.count(F.lit(1)).alias("buyers"),
-        count.alias("purchases"),
-        (spend / count).alias("mean_price"),
-        F.max("last").alias("last_sold_date"),
+    # One row per sold article, written so that the maximum does not aggregate the sales again.
+    stats = written(
+        by_buyer.groupBy("article_id").agg(
+            F.count(F.lit(1)).alias("buyers"),
+            count.alias("purchases"),
+            (spend / count).alias("mean_price"),
+            F.max("last").alias("last_sold_date"),
+        ),
+        "item-stats",
     )
     sold = stg_art.join(stats, "article_id", "left").withColumn(
         "unique_buyers", F.coalesce("buyers", F.lit(0))
     )
+    # Over the catalogue, not over all sales: an article missing from it does not set the scale.
     widest = sold.agg(F.max("unique_buyers")).scalar()
     return sold.select(
         "article_id",

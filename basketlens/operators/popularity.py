@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def top_k(counts: DataFrame, k: int) -> DataFrame:
 class PopularityModel:
     """Fitted baseline: purchase counts per article and the pairs seen in training.
 
-    ``counts`` is a stored table, so its row count and its prefix are cheap to ask for repeatedly.
+    Both are stored tables: their sizes and the ranking's prefix are cheap to ask for repeatedly.
     """
 
     counts: DataFrame
@@ -61,7 +62,7 @@ class PopularityModel:
             raise ValueError("the training table is empty: cannot fit the popularity model")
         if seen is None:
             if "customer_id" in train.columns:
-                seen = user_seen_items(train)
+                seen = written(user_seen_items(train), "seen")
             else:
                 seen = counts.select(F.lit(None).cast("string").alias("customer_id"), "article_id").limit(0)
         return cls(counts, seen, **options)
@@ -70,6 +71,12 @@ class PopularityModel:
     def n_articles(self) -> int:
         return self.counts.count()
 
+    @cached_property
+    def longest_history(self) -> int:
+        """The largest number of distinct articles any customer bought."""
+        per_user = self.seen.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+        return per_user.agg(F.max("n")).first()[0] or 0
+
     def top_k(self, k: int = 10) -> DataFrame:
         return top_k(self.counts, k)
 
@@ -101,22 +108,17 @@ class PopularityModel:
         depth = users.join(bought, "customer_id", "left").withColumn("bought", F.coalesce("bought", none))
         reach = k + F.size("bought")
         unseen = F.slice(F.array_except(F.sequence(F.lit(1), F.least(reach, F.lit(size))), "bought"), 1, k)
+        # Does the prefix answer everybody: is it the whole ranking, or longer than anyone can need?
+        complete = self.longest_history + k <= size or self.n_articles <= size
         listed = (
-            depth.filter(reach <= size)
+            (depth if complete else depth.filter(reach <= size))
             .select("customer_id", F.posexplode(unseen).alias("pos", "pop_rank"))
             .join(prefix, "pop_rank")
             .select("customer_id", "article_id", (F.col("pos") + 1).alias("rank"))
         )
-        if self.n_articles <= size:
-            # The prefix is the whole ranking: nothing lies beyond it for anybody.
-            rest = (
-                depth.filter(reach > size)
-                .select("customer_id", F.posexplode(unseen).alias("pos", "pop_rank"))
-                .join(prefix, "pop_rank")
-                .select("customer_id", "article_id", (F.col("pos") + 1).alias("rank"))
-            )
-            return listed.unionByName(rest)
-        heavy = depth.filter(reach > size).select("customer_id")
+        if complete:
+            return listed
+        heavy = written(depth.filter(reach > size).select("customer_id"), "heavy-buyers")
         return listed.unionByName(self._recommend_deep(heavy, k))
 
     def _recommend_deep(self, users: DataFrame, k: int) -> DataFrame:
