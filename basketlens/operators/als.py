@@ -66,6 +66,10 @@ class ALSParams:
     alpha: float = S.ALS_ALPHA
     seed: int = S.SEED
 
+    def __post_init__(self) -> None:
+        if self.factors < 1 or self.iterations < 1:
+            raise ValueError("factors and iterations must be at least 1")
+
 
 @dataclass
 class ALSCandidates:
@@ -96,8 +100,11 @@ class ALSCandidates:
         users = written(id_index(pairs, "customer_id", "customer_idx"), "als-users")
         items = written(id_index(pairs, "article_id", "article_idx"), "als-items")
         counts = written(indexed_counts(pairs, users, items), "als-counts")
+        blocks = _blocks(counts)
         estimator = ALS(
             rank=params.factors,
+            numUserBlocks=blocks,
+            numItemBlocks=blocks,
             maxIter=params.iterations,
             regParam=params.regularization,
             alpha=params.alpha,
@@ -218,6 +225,12 @@ class ALSCandidates:
         return cls(params, ALSModel.load(f"{path}/model"), *tables)
 
 
+def _blocks(counts: DataFrame) -> int:
+    """About a million pairs per factor block, between the library's 10 and the cluster's cores."""
+    cores = counts.sparkSession.sparkContext.defaultParallelism
+    return max(10, min(cores, counts.count() // 1_000_000))
+
+
 def rank_customers(batch: pd.DataFrame, item_factors: np.ndarray, k: int) -> pd.DataFrame:
     """The first ``k`` article indices per row of (customer_id, features, bought), by score, then index."""
     scores = np.stack(batch["features"].to_numpy()).astype(np.float32) @ item_factors.T

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketlens import schemas as S
 from basketlens.operators.als import ALSCandidates, ALSParams
 from basketlens.operators.evaluate import compare_models, promotion_gate, sample_users
-from basketlens.operators.features import interaction_stats, seen_items_from
+from basketlens.operators.features import interaction_stats
 from basketlens.operators.lambdamart import LambdaMartModel, RankerParams, fit_lambdamart
 from basketlens.operators.popularity import PopularityModel
 from basketlens.operators.ranking import ranker_group_split, ranking_dataset, ranking_dataset_stats
@@ -66,7 +66,7 @@ def train_models(tx: DataFrame, params: TrainingParams | None = None) -> Trained
     params = params or TrainingParams()
     split = make_temporal_split(tx, params.val_start, params.test_start)
     stats = written(interaction_stats(split.train), "stats")
-    popularity = PopularityModel.fit(split.train, seen=seen_items_from(stats))
+    popularity = PopularityModel.fit(split.train, stats)
     als = ALSCandidates.fit(split.train, params.als, stats=stats)
     two_stage = TwoStageRecommender(als, None, popularity, params.n_candidates).fit_features(split.train, stats)
     learners = sample_users(known_users(split, "val"), params.max_train_users, params.seed)

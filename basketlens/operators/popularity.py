@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketlens.operators.features import user_seen_items
+from basketlens.operators.features import seen_items_from, user_seen_items
 from basketlens.plans.numbering import number_rows
 from basketlens.plans.workspace import written
 
@@ -54,17 +54,24 @@ class PopularityModel:
     prefix_rows: int = PREFIX_ROWS
 
     @classmethod
-    def fit(cls, train: DataFrame, seen: DataFrame | None = None, **options: int) -> PopularityModel:
+    def fit(cls, train: DataFrame, stats: DataFrame | None = None, **options: int) -> PopularityModel:
+        """Count the training purchases, from ``interaction_stats`` of the same rows if they are given."""
         if "article_id" not in train.columns:
             raise ValueError("the training table must contain 'article_id'")
-        counts = written(popularity_counts(train), "popularity")
+        if stats is None:
+            counts = popularity_counts(train)
+        else:
+            bought = stats.filter(F.col("article_id").isNotNull()).groupBy("article_id")
+            counts = bought.agg(F.sum("purchase_count").alias("purchase_count"))
+        counts = written(counts, "popularity")
         if counts.isEmpty():
             raise ValueError("the training table is empty: cannot fit the popularity model")
-        if seen is None:
-            if "customer_id" in train.columns:
-                seen = written(user_seen_items(train), "seen")
-            else:
-                seen = counts.select(F.lit(None).cast("string").alias("customer_id"), "article_id").limit(0)
+        if stats is not None:
+            seen = seen_items_from(stats)
+        elif "customer_id" in train.columns:
+            seen = written(user_seen_items(train), "seen")
+        else:
+            seen = counts.select(F.lit(None).cast("string").alias("customer_id"), "article_id").limit(0)
         return cls(counts, seen, **options)
 
     @property
@@ -90,7 +97,7 @@ class PopularityModel:
         """
         if k < 1:
             raise ValueError("k must be at least 1")
-        users = users.select("customer_id").distinct()
+        users = users.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
         size = max(self.prefix_rows, 2 * k)
         prefix = F.broadcast(top_k(self.counts, size).select("article_id", "pop_rank"))
         if not exclude_seen:
@@ -102,7 +109,7 @@ class PopularityModel:
         bought = (
             self.seen.join(prefix, "article_id")
             .groupBy("customer_id")
-            .agg(F.collect_set("pop_rank").alias("bought"))
+            .agg(F.collect_list("pop_rank").alias("bought"))
         )
         none = F.array().cast("array<int>")
         depth = users.join(bought, "customer_id", "left").withColumn("bought", F.coalesce("bought", none))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens import schemas as S
+from basketlens.plans.skew import lookup_join
+from basketlens.plans.workspace import written
 
 log = logging.getLogger(__name__)
 
@@ -116,10 +118,19 @@ def _cold_flag(evaluated: DataFrame, trained: DataFrame, key: str) -> DataFrame:
     return evaluated.join(seen, key, "left").select(key, F.col("_trained").isNull().alias("is_cold"))
 
 
+def window_users(split: TemporalSplit, which: str = "test") -> DataFrame:
+    """The window's customers, each with whether they have no training history."""
+    return _cold_flag(_users(split.window(which)), _users(split.train), "customer_id")
+
+
 def cold_start_rate(split: TemporalSplit, which: str = "test") -> DataFrame:
-    flagged = _cold_flag(_users(split.window(which)), _users(split.train), "customer_id")
+    return cold_share(window_users(split, which))
+
+
+def cold_share(users: DataFrame) -> DataFrame:
+    """Number and share of cold-start customers among flagged ones."""
     n_cold = F.count_if("is_cold")
-    return flagged.agg(
+    return users.agg(
         n_cold.alias("cold_start_n"),
         F.count(F.lit(1)).alias("n_users"),
         F.coalesce(F.try_divide(n_cold, F.count(F.lit(1))), F.lit(0.0)).alias("cold_start_rate"),
@@ -132,10 +143,8 @@ def cold_start_items(split: TemporalSplit, which: str = "test") -> DataFrame:
     The cold flag is attached to the window's distinct articles; each pair needs it once, and popular
     articles are kept out of the shuffle by the lookup join.
     """
-    from basketlens.plans.skew import lookup_join
-
     truth = ground_truth(split, which)
-    items = _cold_flag(_items(split.window(which)), _items(split.train), "article_id")
+    items = written(_cold_flag(_items(split.window(which)), _items(split.train), "article_id"), "window-items")
     per_user = (
         lookup_join(truth, items.withColumn("is_cold", F.col("is_cold").cast("int")), "article_id", "inner")
         .groupBy("customer_id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.plans.workspace import written
+
 # A lookup side is broadcast only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 200_000
 # Keys taken out of the shuffle. No other key can hold more than 1 / (HOT_KEYS + 1) of the rows.
@@ -27,12 +29,14 @@ def lookup_join(
 
     A lookup that was counted to fit is broadcast. Otherwise the ``hot_keys`` most frequent keys of
     ``rows`` are joined by broadcast (at most ``hot_keys`` lookup rows) and never shuffled, and the
-    remaining rows, in which every key is rare, take the ordinary shuffle join.
+    remaining rows, in which every key is rare, take the ordinary shuffle join. For this second way
+    ``rows`` is written once, since it is read several times.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
     if fits_broadcast(lookup, max_rows):
         return rows.join(F.broadcast(lookup), key, how)
+    rows = written(rows, "lookup-rows")
     frequent = (
         rows.filter(F.col(key).isNotNull())
         .groupBy(key)

@@ -14,7 +14,7 @@ import time
 from basketlens.operators import evaluate as E
 from basketlens.operators import pipeline as PL
 from basketlens.operators.als import ALSCandidates
-from basketlens.operators.features import interaction_stats, seen_items_from
+from basketlens.operators.features import interaction_stats
 from basketlens.operators.lambdamart import fit_lambdamart
 from basketlens.operators.popularity import PopularityModel
 from basketlens.operators.ranking import ranker_group_split, ranking_dataset
@@ -68,7 +68,7 @@ def main() -> None:
     def consume(df) -> None:  # noqa: ANN001
         df.write.format("noop").mode("overwrite").save()
 
-    X.transactions(spark, sf_dir).count()  # start the executors and read the file listings
+    timed("ingest_transactions", lambda: X.transactions(spark, sf_dir).count())
     catalogue = all_queries()
     for name in HEADLINE:
         timed(name, lambda fn=catalogue[name]: consume(fn(spark, sf_dir)))
@@ -76,7 +76,7 @@ def main() -> None:
     params = TRAINING
     split = make_temporal_split(X.cold_transactions(spark, sf_dir), params.val_start, params.test_start)
     stats = timed("train_stats", lambda: written(interaction_stats(split.train), "stats"))
-    popularity = timed("train_popularity", lambda: PopularityModel.fit(split.train, seen=seen_items_from(stats)))
+    popularity = timed("train_popularity", lambda: PopularityModel.fit(split.train, stats))
     als = timed("train_als", lambda: ALSCandidates.fit(split.train, params.als, stats=stats))
     two = TwoStageRecommender(als, None, popularity, params.n_candidates)
     timed("train_features", lambda: two.fit_features(split.train, stats))

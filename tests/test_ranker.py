@@ -1,0 +1,165 @@
+"""LambdaMART: gradients, learning, stable ranking, importances, early stopping, save and load."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from basketlens import schemas as S
+from basketlens.operators import lambdamart as L
+
+
+def test_lambdas_pull_positives_up():
+    lam, weight, ndcg = L.group_lambdas(np.array([0, 1, 0]), np.array([0, 1, 2]), np.zeros(3), 30, 10)
+    assert lam[1] > 0 > max(lam[0], lam[2])
+    assert lam.sum() == pytest.approx(0.0)
+    assert (weight > 0).all()
+    assert ndcg == pytest.approx(1 / np.log2(3))
+
+
+def test_lambdas_equal_the_pairwise_definition():
+    rnd = np.random.default_rng(5)
+    label, score, depth, k = rnd.integers(0, 2, 40), rnd.normal(size=40), 6, 10
+    lam, weight, ndcg = L.group_lambdas(label, np.arange(40), score, depth, k)
+    order = sorted(range(40), key=lambda i: (-score[i], i))
+    rank = {i: p + 1 for p, i in enumerate(order)}
+    disc = [1 / np.log2(rank[i] + 1) for i in range(40)]
+    ideal = sum(1 / np.log2(i + 2) for i in range(min(int(label.sum()), k)))
+    want_lam, want_weight = np.zeros(40), np.zeros(40)
+    for i in range(40):
+        for j in range(40):
+            if label[i] == 1 and label[j] == 0 and min(rank[i], rank[j]) <= depth:
+                rho = 1 / (1 + np.exp(score[i] - score[j]))
+                delta = abs(disc[i] - disc[j]) / ideal
+                want_lam[i] += rho * delta
+                want_lam[j] -= rho * delta
+                want_weight[i] += rho * (1 - rho) * delta
+                want_weight[j] += rho * (1 - rho) * delta
+    assert lam == pytest.approx(want_lam)
+    assert weight == pytest.approx(want_weight)
+    assert ndcg == pytest.approx(sum(disc[i] for i in range(40) if label[i] and rank[i] <= k) / ideal)
+
+
+def test_groups_of_one_kind_have_no_gradient():
+    for label in (np.zeros(4, int), np.ones(4, int)):
+        lam, weight, ndcg = L.group_lambdas(label, np.arange(4), np.zeros(4), 30, 10)
+        assert not lam.any()
+        assert not weight.any()
+        assert ndcg == float(label[0])
+
+
+@pytest.fixture(scope="module")
+def toy(spark):
+    """The positive of each customer has the highest average price, buried in the candidate order."""
+    rnd = random.Random(2)
+    rows = []
+    for u in range(40):
+        best = rnd.randrange(4, 8)
+        for i in range(8):
+            feats = {c: rnd.random() for c in S.FEATURE_COLS}
+            feats |= {"als_rank": float(i), "als_score": float(8 - i)}
+            feats["item_avg_price"] = 5.0 + rnd.random() if i == best else rnd.random()
+            rows.append((f"u{u:02d}", f"a{i}", int(i == best), u >= 30, *[feats[c] for c in S.FEATURE_COLS]))
+    schema = "customer_id string, article_id string, label int, held_out boolean, " + ", ".join(
+        f"{c} float" for c in S.FEATURE_COLS
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+PARAMS = L.RankerParams(n_rounds=12, learning_rate=0.3, min_leaf_rows=1, max_depth=3)
+
+
+@pytest.fixture(scope="module")
+def model(toy):
+    return L.fit_lambdamart(toy, PARAMS)
+
+
+def mean_position(model, df):
+    return model.rank(df).filter("label = 1").agg(F.avg("rank")).first()[0]
+
+
+def test_training_moves_positives_to_the_top(toy, model):
+    assert toy.filter("label = 1").agg(F.avg("als_rank")).first()[0] > 3
+    assert mean_position(model, toy.filter("held_out")) < 1.5
+    assert max(model.history) > 0.9
+
+
+def test_ranks_are_contiguous_and_scores_fall(toy, model):
+    rows = model.rank(toy).filter("customer_id = 'u05'").orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(1, 9))
+    assert all(a["score"] >= b["score"] for a, b in zip(rows, rows[1:]))
+    assert model.rank(toy, 3).count() == 40 * 3
+
+
+def test_equal_scores_keep_the_candidate_order(toy, model):
+    flat = toy.select(
+        "customer_id",
+        "article_id",
+        *[(F.col(c) if c == "als_rank" else F.lit(0.0).cast("float")).alias(c) for c in S.FEATURE_COLS],
+    ).filter("als_rank < 2 AND customer_id = 'u00'")
+    rows = model.rank(flat).orderBy("rank").collect()
+    if rows[0]["score"] == rows[1]["score"]:
+        assert [r["als_rank"] for r in rows] == [0.0, 1.0]
+
+
+def test_importance_names_the_informative_feature(model):
+    rows = model.importance().collect()
+    assert len(rows) == len(S.FEATURE_COLS)
+    assert rows[0]["feature"] == "item_avg_price"
+    assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
+    assert all(a["importance"] >= b["importance"] for a, b in zip(rows, rows[1:]))
+
+
+def test_scores_survive_the_periodic_write(toy, monkeypatch, model):
+    """Cutting the lineage every two rounds gives the same model as never cutting it."""
+    monkeypatch.setattr(L, "ROUNDS_PER_WRITE", 2)
+    again = L.fit_lambdamart(toy, PARAMS)
+    assert again.history == pytest.approx(model.history)
+    assert again.best_iteration == model.best_iteration
+
+
+def test_ensemble_score_is_the_sum_of_trees(toy, model):
+    scored = model.score(toy)
+    total = scored.select("score", *S.FEATURE_COLS).limit(5).collect()
+    for r in total:
+        vector = L.VectorAssembler(inputCols=S.FEATURE_COLS, outputCol="f")
+        one = vector.transform(toy.sparkSession.createDataFrame([r])).first()["f"]
+        parts = sum(t.predict(one) for t in model.ensemble.trees)
+        assert r["score"] == pytest.approx(parts * PARAMS.learning_rate)
+
+
+def test_early_stopping_and_best_round(toy):
+    params = L.RankerParams(
+        n_rounds=30, learning_rate=1.0, min_leaf_rows=1, max_depth=3, early_stopping_rounds=2
+    )
+    m = L.fit_lambdamart(toy, params)
+    assert len(m.history) < 30
+    assert m.best_iteration == int(np.argmax(m.history)) + 1
+    assert m.ensemble.getNumTrees == m.best_iteration
+
+
+def test_without_hold_out_all_rounds_run(toy):
+    m = L.fit_lambdamart(toy.drop("held_out"), L.RankerParams(n_rounds=2, min_leaf_rows=1))
+    assert m.history == []
+    assert m.best_iteration == 2
+
+
+def test_save_and_load(spark, toy, model, tmp_path):
+    model.save(str(tmp_path / "ranker"))
+    back = L.LambdaMartModel.load(spark, str(tmp_path / "ranker"))
+    assert (back.feature_cols, back.best_iteration) == (model.feature_cols, model.best_iteration)
+    key = ["customer_id", "article_id"]
+    a = {tuple(r) for r in model.score(toy).select(*key, "score").collect()}
+    assert a == {tuple(r) for r in back.score(toy).select(*key, "score").collect()}
+
+
+def test_errors(toy, model):
+    with pytest.raises(ValueError, match="item_avg_price"):
+        model.score(toy.drop("item_avg_price"))
+    with pytest.raises(ValueError, match="no training customer"):
+        L.fit_lambdamart(toy.withColumn("label", F.lit(0)), PARAMS)
+    with pytest.raises(ValueError, match="no training customer"):
+        L.fit_lambdamart(toy.withColumn("held_out", F.lit(True)), PARAMS)

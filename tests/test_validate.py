@@ -1,0 +1,134 @@
+"""Every hard and soft check of the three tables."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketlens.operators import validate as V
+
+GOOD = [
+    ("2020-01-01", "cust_a", "0123456789", 0.05, 1),
+    ("2020-02-01", "cust_b", "0987654321", 0.10, 2),
+    ("2020-03-01", "cust_a", "0123456789", 0.03, 1),
+]
+
+
+@pytest.fixture()
+def good(make_tx):
+    return make_tx(GOOD)
+
+
+def findings(df) -> dict:
+    return {r["check_name"]: (r["severity"], r["n_rows"]) for r in df.collect()}
+
+
+def test_clean_data_has_no_findings(good):
+    assert findings(V.validate_transactions(good)) == {}
+    report = V.check_transactions(good)
+    assert not report.has_errors
+    assert "PASSED" in report.summary()
+    assert report.stats["row_count"] == 3
+    assert report.stats["unique_customers"] == 2
+    assert report.stats["unique_articles"] == 2
+    assert (str(report.stats["date_min"]), str(report.stats["date_max"])) == ("2020-01-01", "2020-03-01")
+
+
+@pytest.mark.parametrize("col", ["t_dat", "customer_id", "article_id", "price", "sales_channel_id"])
+def test_missing_column_is_an_error(good, col):
+    report = V.check_transactions(good.drop(col))
+    assert report.errors == [f"missing required columns: ['{col}']"]
+    with pytest.raises(V.DataValidationError):
+        report.raise_on_errors()
+
+
+@pytest.mark.parametrize(
+    ("row", "check", "severity"),
+    [
+        (("2020-01-01", None, "0123456789", 0.1, 1), "null_customer_id", "error"),
+        (("2020-01-01", "x", None, 0.1, 1), "null_article_id", "error"),
+        ((None, "x", "0123456789", 0.1, 1), "null_date", "error"),
+        (("2020-01-01", "x", "0123456789", 0.1, 3), "invalid_channel", "error"),
+        (("2020-01-01", "x", "0123456789", 0.1, None), "invalid_channel", "error"),
+        (("2020-01-01", "x", "0123456789", None, 1), "null_price", "error"),
+        (("2020-01-01", "x", "0123456789", float("nan"), 1), "null_price", "error"),
+        (("2020-01-01", "x", "0123456789", 0.0, 1), "non_positive_price", "error"),
+        (("2020-01-01", "x", "0123456789", -1.0, 1), "non_positive_price", "error"),
+        (("2017-12-31", "x", "0123456789", 0.1, 1), "date_out_of_range", "warning"),
+        (("2022-01-01", "x", "0123456789", 0.1, 1), "date_out_of_range", "warning"),
+        (("2020-01-01", "x", "ABC", 0.1, 1), "non_numeric_article_id", "warning"),
+        (("2020-01-01", "cust_a", "0123456789", 0.9, 2), "duplicate_rows", "warning"),
+    ],
+)
+def test_each_check_finds_its_row(make_tx, row, check, severity):
+    tx = make_tx([*GOOD, row])
+    assert findings(V.validate_transactions(tx)) == {check: (severity, 1)}
+    report = V.check_transactions(tx)
+    assert report.has_errors == (severity == "error")
+    assert len(report.errors) + len(report.warnings) == 1
+
+
+def test_bounds_of_the_date_range_are_inside(make_tx):
+    tx = make_tx([("2018-01-01", "a", "1", 1.0, 1), ("2021-12-31", "a", "2", 1.0, 1)])
+    assert findings(V.validate_transactions(tx)) == {}
+
+
+def test_invalid_channels_are_listed(make_tx):
+    tx = make_tx([*GOOD, ("2020-01-01", "x", "1", 0.1, 9), ("2020-01-02", "x", "1", 0.1, 9)])
+    assert [tuple(r) for r in V.invalid_channels(tx).collect()] == [(9, 2)]
+    assert V.check_transactions(tx).stats["invalid_channel_values"] == [9]
+
+
+def test_text_dates_are_an_error(good):
+    report = V.check_transactions(good.withColumn("t_dat", F.col("t_dat").cast("string")))
+    assert any("not a date" in e for e in report.errors)
+
+
+def test_duplicates_treat_missing_ids_as_equal(make_tx):
+    tx = make_tx([("2020-01-01", None, "1")] * 3 + [("2020-01-01", "u", "1")])
+    assert [r["extra_rows"] for r in V.duplicate_transactions(tx).collect()] == [2]
+
+
+def test_articles(spark):
+    cols = "article_id string, product_type_name string, product_group_name string, colour_group_name string, department_name string"
+    good = spark.createDataFrame([("1", "a", "b", "c", "d"), ("2", "a", "b", "c", "d")], cols)
+    assert findings(V.validate_articles(good)) == {}
+    assert not V.check_articles(good).has_errors
+    bad = spark.createDataFrame(
+        [("1", "a", "b", "c", None), ("1", "a", "b", "c", "d"), (None, "a", "b", "c", "d")], cols
+    )
+    assert findings(V.validate_articles(bad)) == {
+        "null_article_id": ("error", 1),
+        "duplicate_article_id": ("error", 1),
+        "nulls:department_name": ("warning", 1),
+    }
+    report = V.check_articles(bad)
+    assert len(report.errors) == 2
+    assert report.warnings == ["column department_name has 33.3% missing values"]
+    assert V.check_articles(good.drop("article_id")).has_errors
+
+
+def test_five_percent_missing_is_accepted(spark):
+    cols = "article_id string, product_type_name string, product_group_name string, colour_group_name string, department_name string"
+    rows = [(str(i), None if i == 0 else "a", "b", "c", "d") for i in range(20)]
+    df = spark.createDataFrame(rows, cols)
+    assert findings(V.validate_articles(df)) == {}
+    assert V.check_articles(df).warnings == []
+
+
+def test_customers(spark):
+    good = spark.createDataFrame([("a",), ("b",)], "customer_id string")
+    assert findings(V.validate_customers(good)) == {}
+    bad = spark.createDataFrame([("a",), ("a",), (None,)], "customer_id string")
+    assert findings(V.validate_customers(bad)) == {
+        "null_customer_id": ("error", 1),
+        "duplicate_customer_id": ("error", 1),
+    }
+    assert V.check_customers(bad).has_errors
+    assert V.check_customers(good.withColumnRenamed("customer_id", "id")).has_errors
+
+
+def test_empty_tables_pass(spark, make_tx):
+    assert findings(V.validate_transactions(make_tx([]))) == {}
+    assert V.check_transactions(make_tx([])).stats["row_count"] == 0
+    assert findings(V.validate_customers(spark.createDataFrame([], "customer_id string"))) == {}
