@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from basketlens.plans.workspace import written
 
 
-def _daily(stg_tx: DataFrame) -> DataFrame:
+def daily_purchases(stg_tx: DataFrame) -> DataFrame:
+    """Purchases and spend per customer, article and day."""
     return stg_tx.groupBy("customer_id", "article_id", "transaction_date").agg(
         F.count(F.lit(1)).alias("purchase_count"), F.sum("price").alias("spend")
     )
@@ -20,7 +21,11 @@ def _daily(stg_tx: DataFrame) -> DataFrame:
 
 def fct_user_item_interactions(stg_tx: DataFrame) -> DataFrame:
     """Purchases and spend per customer, article and day, with a logarithmic confidence."""
-    return _daily(stg_tx).select(
+    return interactions_from(daily_purchases(stg_tx))
+
+
+def interactions_from(daily: DataFrame) -> DataFrame:
+    return daily.select(
         "customer_id",
         "article_id",
         "transaction_date",
@@ -32,19 +37,19 @@ def fct_user_item_interactions(stg_tx: DataFrame) -> DataFrame:
 
 def fct_user_features(stg_tx: DataFrame, stg_cust: DataFrame, as_of: Column) -> DataFrame:
     """One row per buying customer: profile, purchase totals, distinct active days, days since last."""
+    return user_mart_from(daily_purchases(stg_tx), stg_cust, as_of)
+
+
+def user_mart_from(daily: DataFrame, stg_cust: DataFrame, as_of: Column) -> DataFrame:
     spend, count = F.sum("spend").cast("double"), F.sum("purchase_count")
-    stats = (
-        _daily(stg_tx)
-        .groupBy("customer_id")
-        .agg(
-            F.count_distinct("article_id").alias("total_unique_items"),
-            count.alias("total_purchases"),
-            spend.alias("total_spend"),
-            (spend / count).alias("avg_item_price"),
-            F.count_distinct("transaction_date").alias("active_days"),
-            F.max("transaction_date").alias("last_purchase_date"),
-            F.min("transaction_date").alias("first_purchase_date"),
-        )
+    stats = daily.groupBy("customer_id").agg(
+        F.count_distinct("article_id").alias("total_unique_items"),
+        count.alias("total_purchases"),
+        spend.alias("total_spend"),
+        (spend / count).alias("avg_item_price"),
+        F.count_distinct("transaction_date").alias("active_days"),
+        F.max("transaction_date").alias("last_purchase_date"),
+        F.min("transaction_date").alias("first_purchase_date"),
     )
     return stats.join(stg_cust, "customer_id", "left").select(
         "customer_id",
@@ -66,14 +71,14 @@ def fct_user_features(stg_tx: DataFrame, stg_cust: DataFrame, as_of: Column) ->
 
 def fct_item_features(stg_tx: DataFrame, stg_art: DataFrame, as_of: Column) -> DataFrame:
     """One row per catalogue article, sold or not, with popularity relative to the widest-sold one."""
-    by_buyer = (
-        _daily(stg_tx)
-        .groupBy("article_id", "customer_id")
-        .agg(
-            F.sum("purchase_count").alias("n"),
-            F.sum("spend").alias("spend"),
-            F.max("transaction_date").alias("last"),
-        )
+    return item_mart_from(daily_purchases(stg_tx), stg_art, as_of)
+
+
+def item_mart_from(daily: DataFrame, stg_art: DataFrame, as_of: Column) -> DataFrame:
+    by_buyer = daily.groupBy("article_id", "customer_id").agg(
+        F.sum("purchase_count").alias("n"),
+        F.sum("spend").alias("spend"),
+        F.max("transaction_date").alias("last"),
     )
     spend, count = F.sum("spend").cast("double"), F.sum("n")
     # One row per sold article, written so that the maximum does not aggregate the sales again.

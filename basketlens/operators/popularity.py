@@ -99,7 +99,7 @@ class PopularityModel:
             raise ValueError("k must be at least 1")
         users = users.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
         size = max(self.prefix_rows, 2 * k)
-        prefix = F.broadcast(top_k(self.counts, size).select("article_id", "pop_rank"))
+        prefix = F.broadcast(top_k(self.counts, size if exclude_seen else k).select("article_id", "pop_rank"))
         if not exclude_seen:
             ranks = users.withColumn("pop_rank", F.explode(F.sequence(F.lit(1), F.lit(k))))
             return ranks.join(prefix, "pop_rank").select(
