@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from basketlens import schemas as S
 from basketlens.plans.numbering import number_rows
-from basketlens.plans.skew import lookup_join
+from basketlens.plans.skew import fits_broadcast, frequent_keys, lookup_join
 from basketlens.plans.workspace import shared_dir, written
 
 # Item factors are broadcast only up to this many 32-bit numbers (128 MB) in all.
@@ -41,11 +41,15 @@ def user_item_counts(train: DataFrame) -> DataFrame:
 
 
 def indexed_counts(counts: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Purchase counts keyed by the integer indices. Both ids can be hot, so both are lookup joins."""
-    with_items = lookup_join(counts, items, "article_id", "inner")
-    return lookup_join(with_items, users, "customer_id", "inner").select(
-        "customer_idx", "article_idx", "purchase_count"
-    )
+    """Purchase counts keyed by the integer indices; ``counts`` should be a stored table.
+
+    Both ids can be hot, so both are lookup joins. The frequent keys are counted in ``counts``.
+    """
+    joined = counts
+    for lookup, key in ((items, "article_id"), (users, "customer_id")):
+        small = fits_broadcast(lookup)
+        joined = lookup_join(joined, lookup, key, "inner", None if small else frequent_keys(counts, key))
+    return joined.select("customer_idx", "article_idx", "purchase_count")
 
 
 def user_item_confidence(train: DataFrame, alpha: float = S.ALS_ALPHA) -> DataFrame:
@@ -136,9 +140,9 @@ class ALSCandidates:
             raise KeyError(f"Unknown user {unknown['customer_id']!r}: use the popularity fallback")
 
     def recommend(self, users: DataFrame, k: int = S.N_CANDIDATES, exclude_seen: bool = True) -> DataFrame:
-        """Top ``k`` per known customer: (customer_id, article_id, als_rank from 0, model_score).
+        """Top ``k`` per known customer.
 
-        Customers without training history have no rows. A list is shorter than ``k`` only when the
+        Returns (customer_id, article_id, als_rank from 0, list_size, model_score). Customers without training history have no rows. A list is shorter than ``k`` only when the
         customer bought all but a few articles. Equal scores go by article id.
         """
         if k < 1:
@@ -149,7 +153,7 @@ class ALSCandidates:
         else:
             ranked = self._rank_blocks(wanted, k, exclude_seen)
         return lookup_join(ranked, self.items, "article_idx", "inner").select(
-            "customer_id", "article_id", "als_rank", "model_score"
+            "customer_id", "article_id", "als_rank", "list_size", "model_score"
         )
 
     def _rank_broadcast(self, wanted: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
@@ -176,7 +180,7 @@ class ALSCandidates:
                     yield rank_customers(batch.iloc[start : start + step], shared.value, k)
 
         return rows.select("customer_id", "features", "bought").mapInPandas(
-            rank, "customer_id string, article_idx int, als_rank int, model_score float"
+            rank, "customer_id string, article_idx int, als_rank int, list_size int, model_score float"
         )
 
     def _rank_blocks(self, wanted: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
@@ -234,7 +238,7 @@ def _blocks(counts: DataFrame) -> int:
 def rank_customers(batch: pd.DataFrame, item_factors: np.ndarray, k: int) -> pd.DataFrame:
     """The first ``k`` article indices per row of (customer_id, features, bought), by score, then index."""
     scores = np.stack(batch["features"].to_numpy()).astype(np.float32) @ item_factors.T
-    customers, articles, ranks, values = [], [], [], []
+    customers, articles, ranks, sizes, values = [], [], [], [], []
     for customer, bought, row in zip(batch["customer_id"], batch["bought"], scores):
         if bought is not None and len(bought):
             row[np.asarray(bought, dtype=np.int64)] = -np.inf
@@ -246,12 +250,14 @@ def rank_customers(batch: pd.DataFrame, item_factors: np.ndarray, k: int) -> pd.
         customers += [customer] * len(kept)
         articles.append(kept)
         ranks.append(np.arange(len(kept)))
+        sizes.append(np.full(len(kept), len(kept)))
         values.append(row[kept])
     return pd.DataFrame(
         {
             "customer_id": customers,
             "article_idx": np.concatenate(articles).astype(np.int32),
             "als_rank": np.concatenate(ranks).astype(np.int32),
+            "list_size": np.concatenate(sizes).astype(np.int32),
             "model_score": np.concatenate(values),
         }
     )
@@ -259,11 +265,18 @@ def rank_customers(batch: pd.DataFrame, item_factors: np.ndarray, k: int) -> pd.
 
 def _first_k(scored: DataFrame, k: int) -> DataFrame:
     # Article indices follow the sorted ids, so ties go by article id.
-    order = Window.partitionBy("customer_id").orderBy(F.desc("model_score"), "article_idx")
+    group = Window.partitionBy("customer_id")
+    order = group.orderBy(F.desc("model_score"), "article_idx")
     return (
         scored.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("customer_id", "article_idx", (F.col("rank") - 1).alias("als_rank"), "model_score")
+        .select(
+            "customer_id",
+            "article_idx",
+            (F.col("rank") - 1).alias("als_rank"),
+            F.count(F.lit(1)).over(group).cast("int").alias("list_size"),
+            "model_score",
+        )
     )
 
 

@@ -92,20 +92,29 @@ class PopularityModel:
 
         A customer unknown to training gets the global list. Ordinary customers are answered from a
         broadcast prefix of the ranking: whoever bought ``c`` of its articles finds ``k`` unseen ones
-        among its first ``k + c``. Only customers for whom that reaches past the prefix take the second
-        way, over the whole ranking.
+        among its first ``k + c``. Customers whose history could reach past the prefix take the second
+        way, over the whole ranking; they are few, as each holds nearly a prefix length of pairs.
         """
         if k < 1:
             raise ValueError("k must be at least 1")
         users = users.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
         size = max(self.prefix_rows, 2 * k)
-        prefix = F.broadcast(top_k(self.counts, size if exclude_seen else k).select("article_id", "pop_rank"))
         if not exclude_seen:
+            prefix = F.broadcast(top_k(self.counts, k).select("article_id", "pop_rank"))
             ranks = users.withColumn("pop_rank", F.explode(F.sequence(F.lit(1), F.lit(k))))
             return ranks.join(prefix, "pop_rank").select(
                 "customer_id", "article_id", F.col("pop_rank").alias("rank")
             )
-        # At most ``size`` ranks are collected per customer.
+        if self.n_articles <= size or self.longest_history + k <= size:
+            return self._recommend_prefix(users, k, size)
+        long = self.seen.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") + k > size)
+        heavy = written(users.join(long.select("customer_id"), "customer_id", "left_semi"), "heavy-buyers")
+        light = users.join(heavy, "customer_id", "left_anti")
+        return self._recommend_prefix(light, k, size).unionByName(self._recommend_deep(heavy, k))
+
+    def _recommend_prefix(self, users: DataFrame, k: int, size: int) -> DataFrame:
+        """Lists from the first ``size`` ranks; at most that many ranks are collected per customer."""
+        prefix = F.broadcast(top_k(self.counts, size).select("article_id", "pop_rank"))
         bought = (
             self.seen.join(prefix, "article_id")
             .groupBy("customer_id")
@@ -113,20 +122,13 @@ class PopularityModel:
         )
         none = F.array().cast("array<int>")
         depth = users.join(bought, "customer_id", "left").withColumn("bought", F.coalesce("bought", none))
-        reach = k + F.size("bought")
-        unseen = F.slice(F.array_except(F.sequence(F.lit(1), F.least(reach, F.lit(size))), "bought"), 1, k)
-        # Does the prefix answer everybody: is it the whole ranking, or longer than anyone can need?
-        complete = self.longest_history + k <= size or self.n_articles <= size
-        listed = (
-            (depth if complete else depth.filter(reach <= size))
-            .select("customer_id", F.posexplode(unseen).alias("pos", "pop_rank"))
+        reach = F.least(k + F.size("bought"), F.lit(size))
+        unseen = F.slice(F.array_except(F.sequence(F.lit(1), reach), "bought"), 1, k)
+        return (
+            depth.select("customer_id", F.posexplode(unseen).alias("pos", "pop_rank"))
             .join(prefix, "pop_rank")
             .select("customer_id", "article_id", (F.col("pos") + 1).alias("rank"))
         )
-        if complete:
-            return listed
-        heavy = written(depth.filter(reach > size).select("customer_id"), "heavy-buyers")
-        return listed.unionByName(self._recommend_deep(heavy, k))
 
     def _recommend_deep(self, users: DataFrame, k: int) -> DataFrame:
         """The exact list for customers who bought nearly the whole prefix.

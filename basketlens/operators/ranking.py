@@ -14,10 +14,14 @@ from basketlens.plans.numbering import number_rows
 def candidate_pairs(candidates: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """Candidates (customer_id, article_id, als_rank from 0) with the pair features of the ranker.
 
-    ``als_score`` is the list length minus the rank. ``seen`` flags candidates bought in training; leave it
+    ``als_score`` is the list length minus the rank; candidates that carry their ``list_size`` need no
+    window to know it. ``seen`` flags candidates bought in training; leave it
     out when the candidates exclude them by construction, which saves the join and gives the same zeros.
     """
-    length = F.count(F.lit(1)).over(Window.partitionBy("customer_id"))
+    if "list_size" in candidates.columns:
+        length = F.col("list_size")
+    else:
+        length = F.count(F.lit(1)).over(Window.partitionBy("customer_id"))
     pairs = candidates.select(
         "customer_id",
         "article_id",

@@ -8,54 +8,50 @@ from pyspark.sql import functions as F
 from basketlens.plans.workspace import written
 
 # A lookup side is broadcast only after its rows were counted and found to be at most this many.
-BROADCAST_ROWS = 200_000
-# Keys taken out of the shuffle. No other key can hold more than 1 / (HOT_KEYS + 1) of the rows.
+BROADCAST_ROWS = 500_000
+# Keys that are spread. No other key can hold more than 1 / (HOT_KEYS + 1) of the rows.
 HOT_KEYS = 1000
+# Parts each frequent key is spread over; the lookup grows by at most HOT_KEYS * SALTS rows.
+SALTS = 256
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return lookup.limit(max_rows + 1).count() <= max_rows
 
 
+def frequent_keys(rows: DataFrame, key: str, n: int = HOT_KEYS) -> DataFrame:
+    """The ``n`` most frequent keys, as a stored table."""
+    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return written(counted.orderBy(F.desc("_n"), key).limit(n).select(key), "frequent-keys")
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
     how: str = "left",
+    frequent: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Left or inner join of ``rows`` to ``lookup`` (at most one row per key).
 
-    A lookup that was counted to fit is broadcast. Otherwise the ``hot_keys`` most frequent keys of
-    ``rows`` are joined by broadcast (at most ``hot_keys`` lookup rows) and never shuffled, and the
-    remaining rows, in which every key is rare, take the ordinary shuffle join. For this second way
-    ``rows`` is written once, since it is read several times.
+    A lookup that was counted to fit is broadcast. Otherwise the rows of the most frequent keys, and those
+    without a key, are spread over ``SALTS`` parts by a hash of the whole row, and the lookup rows of these
+    keys are repeated for every part; all other keys are rare. ``frequent`` are the frequent keys if the
+    caller can tell them; they are counted in ``rows`` otherwise, which is then written first so that it is
+    computed once.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', got {how!r}")
     if fits_broadcast(lookup, max_rows):
         return rows.join(F.broadcast(lookup), key, how)
-    rows = written(rows, "lookup-rows")
-    frequent = (
-        rows.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), key)
-        .limit(hot_keys)
-        .select(key)
-    )
-    hot_lookup = lookup.join(F.broadcast(frequent), key, "left_semi")
-    hot = rows.join(F.broadcast(frequent), key, "left_semi").join(F.broadcast(hot_lookup), key, how)
-    rare = rows.join(F.broadcast(frequent), key, "left_anti")
-    if how == "left":
-        # Rows without a key match nothing; keep them out of the shuffle as well.
-        unmatched = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
-        keyless = rare.filter(F.col(key).isNull()).select(key, *_others(rows, key), *unmatched)
-        rare = rare.filter(F.col(key).isNotNull()).join(lookup, key, how)
-        return hot.unionByName(rare).unionByName(keyless)
-    return hot.unionByName(rare.join(lookup, key, how))
-
-
-def _others(df: DataFrame, key: str) -> list[str]:
-    return [c for c in df.columns if c != key]
+    if frequent is None:
+        rows = written(rows, "lookup-rows")
+        frequent = frequent_keys(rows, key)
+    hot = F.broadcast(frequent.withColumn("_hot", F.lit(True)))
+    spread = F.col("_hot").isNotNull() | F.col(key).isNull()
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = rows.join(hot, key, "left").withColumn("_part", F.when(spread, part).otherwise(0)).drop("_hot")
+    repeated = lookup.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_hot")
+    return salted.join(repeated, [key, "_part"], how).drop("_part")

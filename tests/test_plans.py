@@ -40,17 +40,36 @@ def _skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize(("max_rows", "hot_keys"), [(10_000, 10), (10, 5), (10, 1000)])
-def test_lookup_join_equals_plain_join(spark, how, max_rows, hot_keys):
+@pytest.mark.parametrize(("max_rows", "hot_keys", "given"), [(10_000, 10, False), (10, 5, False), (10, 1000, True)])
+def test_lookup_join_equals_plain_join(spark, how, max_rows, hot_keys, given):
     rows = _skewed(spark)
     lookup = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(300)], "key string, v int")
-    got = skew.lookup_join(rows, lookup, "key", how, max_rows, hot_keys)
+    frequent = skew.frequent_keys(rows, "key", hot_keys) if given else None
+    got = skew.lookup_join(rows, lookup, "key", how, frequent, max_rows)
     want = rows.join(lookup, "key", how)
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0
     assert want.exceptAll(got).count() == 0
 
 
+def test_hot_rows_are_spread(spark, monkeypatch):
+    """A key with a third of the rows does not end up in one shuffle partition."""
+    monkeypatch.setattr(skew, "SALTS", 16)
+    rows, lookup = _skewed(spark), spark.range(400).selectExpr("concat('k', id) AS key", "id AS v")
+    lookup = lookup.unionByName(spark.createDataFrame([("hot", -1)], "key string, v long"))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in confs.items():
+        spark.conf.set(name, value)
+    try:
+        joined = skew.lookup_join(rows, lookup, "key", "left", max_rows=10)
+        parts = joined.filter("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name in confs:
+            spark.conf.unset(name)
+    assert sum(r["count"] for r in parts) == 3000
+    assert len(parts) == 4
+
+
 def test_lookup_join_rejects_other_joins(spark):
     with pytest.raises(ValueError, match="how"):
         skew.lookup_join(spark.range(1), spark.range(1), "id", "full")
