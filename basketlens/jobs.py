@@ -18,9 +18,9 @@ from basketlens.operators import marts as M
 from basketlens.operators import staging as ST
 from basketlens.operators.als import ALSParams
 from basketlens.operators.lambdamart import RankerParams
-from basketlens.operators.pipeline import TrainingParams, retrain
+from basketlens.operators.training import TrainingParams, retrain
 from basketlens.operators.two_stage import TwoStageRecommender
-from basketlens.plans.workspace import written
+from basketlens.plans.workspace import drop_session, written
 from basketlens.sources import marts as SM
 from basketlens.sources import raw as RAW
 
@@ -44,7 +44,7 @@ def build_marts(tx: DataFrame, articles: DataFrame, customers: DataFrame, out: s
     SM.write_clustered(items, f"{out}/fct_item_features", ["article_id"])
 
 
-def _args() -> argparse.Namespace:
+def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
     common = argparse.ArgumentParser(add_help=False)
@@ -66,13 +66,20 @@ def _args() -> argparse.Namespace:
     recommend = jobs.add_parser("recommend")
     for name in ("bundle", "requests", "out"):
         recommend.add_argument(f"--{name}", required=True)
-    return parser.parse_args()
+    return parser.parse_args(argv)
 
 
 def main() -> None:
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
-    args = _args()
+    args = parse()
     spark = SparkSession.builder.appName(f"basketlens-{args.job}").getOrCreate()
+    try:
+        run(spark, args)
+    finally:
+        drop_session(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "recommend":
         model = TwoStageRecommender.load(spark, args.bundle)
         answers, refused = model.serve(spark.read.parquet(args.requests))
@@ -83,8 +90,7 @@ def main() -> None:
         tables = [RAW.read_table(spark, getattr(args, t), args.format) for t in ("transactions", "articles", "customers")]
         tx = RAW.clean_transactions(tables[0])
         as_of = F.lit(args.as_of).cast("date") if args.as_of else F.current_date()
-        customers = tables[2] if "active" in [c.lower() for c in tables[2].columns] else tables[2].withColumn("active", F.lit(None))
-        build_marts(tx, tables[1], customers, args.out, as_of)
+        build_marts(tx, tables[1], tables[2], args.out, as_of)
         return
     tx = written(RAW.load_transactions(spark, args.transactions, args.format, args.rows or None), "transactions")
     params = TrainingParams(

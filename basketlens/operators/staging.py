@@ -37,11 +37,15 @@ def stg_articles(raw: DataFrame) -> DataFrame:
 def stg_customers(raw: DataFrame) -> DataFrame:
     """Ages given with decimals are rounded to the nearest year, not cut."""
     age = F.round(F.col("age").cast("double")).cast("long")
+    active = F.col("active")
+    if raw.select("active").schema[0].dataType.typeName() == "string":
+        # Text exports write the flag as true, 1 or 1.0.
+        active = F.coalesce(active.try_cast("boolean"), active.try_cast("double") != 0)
     return raw.filter(F.col("customer_id").isNotNull()).select(
         F.col("customer_id").cast("string").alias("customer_id"),
         age.alias("age"),
         F.col("club_member_status").cast("string").alias("club_member_status"),
         F.col("fashion_news_frequency").cast("string").alias("fashion_news_frequency"),
-        F.col("active").cast("boolean").alias("is_active"),
+        active.cast("boolean").alias("is_active"),
         age_bucket(age).alias("age_bucket"),
     )

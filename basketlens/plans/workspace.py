@@ -27,9 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder or current
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/basketlens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/basketlens/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the session's part of the shared folder."""
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -43,11 +47,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def drop_written(df: DataFrame) -> None:
     """Delete the files behind a DataFrame returned by :func:`written`."""
     spark = df.sparkSession
-    root = f"{shared_dir(spark).rstrip('/')}/basketlens/"
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = _session_dir(spark).split(":", 1)[-1].lstrip("/")
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if root.split(":", 1)[-1].lstrip("/") not in folder:
+        if root not in folder:
             raise ValueError(f"{folder} is not a written intermediate")
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, folder)
+
+
+def drop_session(spark: SparkSession) -> None:
+    """Delete all intermediates of this session; for the end of a job."""
+    _delete(spark, _session_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

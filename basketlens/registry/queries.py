@@ -17,7 +17,7 @@ from basketlens.operators import evaluate as E
 from basketlens.operators import features as FE
 from basketlens.operators import marts as M
 from basketlens.operators import metrics as ME
-from basketlens.operators import pipeline as PL
+from basketlens.operators import training as PL
 from basketlens.operators import popularity as P
 from basketlens.operators import ranking as R
 from basketlens.operators import split as SP

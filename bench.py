@@ -12,7 +12,7 @@ import sys
 import time
 
 from basketlens.operators import evaluate as E
-from basketlens.operators import pipeline as PL
+from basketlens.operators import training as PL
 from basketlens.operators.als import ALSCandidates
 from basketlens.operators.features import interaction_stats
 from basketlens.operators.lambdamart import fit_lambdamart

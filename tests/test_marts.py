@@ -67,6 +67,16 @@ def test_customer_ages_are_rounded_and_bucketed(customers):
     assert (rows["u9"]["age"], rows["u9"]["age_bucket"]) == (None, "50_plus")
 
 
+@pytest.mark.parametrize(("text", "flag"), [("1.0", True), ("0", False), ("true", True), (None, None), ("?", None)])
+def test_active_flag_from_text(spark, text, flag):
+    df = spark.createDataFrame(
+        [("u", "31", "A", "N", text)],
+        "customer_id string, age string, club_member_status string, fashion_news_frequency string, Active string",
+    )
+    row = ST.stg_customers(df).first()
+    assert (row["is_active"], row["age"]) == (flag, 31)
+
+
 def test_interactions(tx):
     rows = {(r["customer_id"], r["article_id"]): r for r in M.fct_user_item_interactions(ST.stg_transactions(tx)).collect()}
     assert len(rows) == 3
@@ -121,3 +131,24 @@ def test_marts_job_writes_the_same_tables(spark, tx, articles, customers, tmp_pa
     assert spark.table("stg_transactions").count() == 4
     plan = spark.read.parquet(f"{tmp_path}/fct_user_item_interactions").filter("month = '2020-01-01'")
     assert plan.count() == 3
+
+
+def test_marts_from_csv_files(spark, tmp_path):
+    (tmp_path / "tx.csv").write_text(
+        "t_dat,customer_id,article_id,price,sales_channel_id\n2020-01-01, U1 ,663713001,0.05,2\n"
+    )
+    header = ",".join(["product_code", *S.STAGED_ARTICLE_COLS])
+    (tmp_path / "art.csv").write_text(f"{header}\n9,0663713001,{','.join('x' * 9)}\n")
+    (tmp_path / "cust.csv").write_text(
+        "customer_id,FN,Active,club_member_status,fashion_news_frequency,age\nu1,,1.0,ACTIVE,NONE,24\n"
+    )
+    args = jobs.parse(
+        ["marts", "--transactions", f"{tmp_path}/tx.csv", "--articles", f"{tmp_path}/art.csv"]
+        + ["--customers", f"{tmp_path}/cust.csv", "--out", f"{tmp_path}/out", "--as-of", "2020-01-31"]
+    )
+    jobs.run(spark, args)
+    user = spark.read.parquet(f"{tmp_path}/out/fct_user_features").first()
+    assert (user["customer_id"], user["age_bucket"], user["is_active"]) == ("u1", "under_25", True)
+    assert user["days_since_last_purchase"] == 30
+    item = spark.read.parquet(f"{tmp_path}/out/fct_item_features").first()
+    assert (item["article_id"], item["unique_buyers"], item["popularity_score"]) == ("0663713001", 1, 1.0)

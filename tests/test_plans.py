@@ -85,6 +85,13 @@ def test_written_and_dropped(spark):
         spark.read.parquet(files[0]).count()
 
 
+def test_session_folder_is_named_by_the_application(spark):
+    path = workspace.scratch_path(spark, "x")
+    assert spark.sparkContext.applicationId in path
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    assert folder is None or path.startswith(folder)
+
+
 def test_drop_refuses_other_tables(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     with pytest.raises(ValueError, match="not a written"):

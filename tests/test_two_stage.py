@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens.operators import als as A
 from basketlens.operators import lambdamart as L
-from basketlens.operators import pipeline as PL
+from basketlens.operators import training as PL
 from basketlens.operators import two_stage as TS
 from basketlens.operators.validate import DataValidationError
 from basketlens.sources import bundle as B
