@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from basketlens import schemas as S
 from basketlens.registry import queries as Q
+from basketlens.registry.oracle import all_oracles
+from basketlens.registry.queries import all_queries
 from compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 LEARNED = {
     "als_candidates",
     "lambdamart_rank",
@@ -31,6 +33,11 @@ def con():
     return connect(SF)
 
 
+def test_entry_point_has_every_query_and_counterpart():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_only_learned_results_lack_sql():
     assert set(QUERIES) - set(ORACLES) == LEARNED
     assert set(ORACLES) <= set(QUERIES)
