@@ -71,6 +71,10 @@ _INTRO = r"(?:[Mm]y name is|[Nn]ame:|[Mm]e llamo|[Ii]ch heiße|[Jj]e m'appelle|[
 
 # ---- finding -------------------------------------------------------------------------------------------------
 
+# Addresses that are no one's: unset, the loopback and the broadcast.
+_NOBODY = ([0, 0, 0, 0], [127, 0, 0, 1], [255, 255, 255, 255])
+# First octets with networks of a special kind; such an address keeps its first octet.
+_SPECIAL = {0, 10, 100, 127, 169, 172, 192, 198, 203, *range(224, 256)}
 # Alternatives in order of precedence; the group names are the kinds.
 _PATTERN = re.compile(
     rf"""
@@ -152,7 +156,7 @@ def find(text: str | None) -> list[Entity]:
                 out.append(Entity(kind, plain, *m.span()))
         elif kind == "ipv4":
             octets = [int(o) for o in word.split(".")]
-            if max(octets) < 256 and octets[0] not in (0, 127, 255):
+            if max(octets) < 256 and octets not in _NOBODY:
                 out.append(Entity(kind, ".".join(map(str, octets)), *m.span()))
         elif kind == "ssn":
             out.append(Entity(kind, word.replace("-", ""), *m.span()))
@@ -276,9 +280,10 @@ def _address(draw: Draw, octets: list[int]) -> str:
         new = [192, 168]
     elif first == 172 and 16 <= second < 32:
         new = [172, 16 + draw.below(16)]
+    elif first in _SPECIAL:
+        new = [first, draw.below(256)]
     else:
-        # Public first octets; none of them has private networks or the loopback.
-        public = [n for n in range(1, 224) if n not in (10, 100, 127, 169, 172, 192, 198, 203)]
+        public = [n for n in range(1, 224) if n not in _SPECIAL]
         new = [public[draw.below(len(public))], draw.below(256)]
     return ".".join(map(str, [*new, draw.below(256), 1 + draw.below(254)]))
 
