@@ -9,6 +9,7 @@ removed elsewhere.
 
 Only hashes and places are grouped to find repeated chunks. The texts of those, and of no others, are then
 grouped by their bytes. Should a hash have more than one text, its places are decided by the texts themselves.
+What is known of each document grows with the corpus, so it is joined by sorting, never broadcast.
 """
 
 from __future__ import annotations
@@ -98,16 +99,19 @@ def repeated_places(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     found = F.transform(
         "_wanted", lambda w: F.struct(w["pos"], w["hash"], _text(F.get("_chunks", w["pos"])).alias("chunk"))
     )
-    texts = with_chunks(lined.join(wanted, ["_id", "_mark"])).select("_id", "_mark", F.inline(found))
+    texts = with_chunks(lined.join(wanted.hint("merge"), ["_id", "_mark"])).select("_id", "_mark", F.inline(found))
     groups = texts.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     groups = written(groups, "chunk-texts")
     unlike = groups.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("hash")
     unlike = written(unlike, "unlike-hashes")
 
-    # A hash with one text: all its places are copies of the first. With more texts: per text.
-    sure = marked.join(unlike, "hash", "left_anti").select("_id", "_mark", "pos", "first")
-    told_apart = texts.join(unlike, "hash").join(groups.where("n > 1").select("hash", "chunk", "first"), ["hash", "chunk"])
-    every = sure.unionByName(told_apart.select("_id", "_mark", "pos", "first"))
+    # A hash with one text: all its places are copies of the first. With more texts, which hardly happens: per text.
+    every = marked.select("_id", "_mark", "pos", "first")
+    if not unlike.isEmpty():
+        several = groups.where("n > 1").select("hash", "chunk", "first")
+        told_apart = texts.join(unlike, "hash").join(several, ["hash", "chunk"])
+        sure = marked.join(unlike, "hash", "left_anti")
+        every = sure.select(*every.columns).unionByName(told_apart.select(*every.columns))
     return every.where(order != F.col("first")).select("_id", "_mark", "pos")
 
 
@@ -125,7 +129,7 @@ def remove_repeated_chunks(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     rest = keyed.where(F.col("_id").isNull() | F.col("text").isNull())
     gone = repeated_places(part.select("_id", "_mark", "text"), hash_bits)
     by_doc = written(gone.groupBy("_id", "_mark").agg(F.collect_set("pos").alias("_gone")), "removals")
-    chunked = with_chunks(part.join(by_doc, ["_id", "_mark"], "left"))
+    chunked = with_chunks(part.join(by_doc.hint("merge"), ["_id", "_mark"], "left"))
     n = F.size("_chunks")
     kept = F.array_except(F.sequence(F.lit(0), n - 1), "_gone")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
