@@ -23,7 +23,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer
 
 LONGEST = 4096
 # Tiers go down from LONGEST by halves; below, only the rest of a task is cut.
@@ -32,8 +32,9 @@ END = 2
 # Tokens that are packed together, and tokens of a training step.
 POOL_TOKENS = 4_000_000
 STEP_TOKENS = 64 * LONGEST
-# Words whose ids a worker keeps.
+# Words, and pieces of words, whose ids a worker keeps, and their longest.
 CACHE_WORDS = 400_000
+CACHE_LENGTH = 64
 
 _TASK_BITS = 36
 
@@ -43,12 +44,20 @@ _TASK_BITS = 36
 _PLAIN = regex.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+")
 
 
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in the vocabulary: printable ones for themselves, the others from
+    256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class WordTokens:
     """Token ids of a text as little-endian 32-bit numbers, a word at a time.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words. Words
     of plain characters go straight to the tokenizer's model, after its own splitting rule; other words go
-    through the whole tokenizer.
+    through the whole tokenizer. Frequent words, and pieces of words, are remembered.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,32 +66,47 @@ class WordTokens:
             rule = json.load(file)
         split = rule["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.special = [t["content"] for t in rule["added_tokens"]]
-        self.pieces = regex.compile(split).findall
+        self.split = regex.compile(split).findall
         self.model = self.tokenizer.model
-        self.as_characters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.known: dict[str, bytes] = {}
+        self.characters = _byte_characters()
+        self.number = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.characters)
+        number = self.number
+        found = b"".join([number[t.id] for t in self.model.tokenize(mapped)])
+        if len(self.pieces) < CACHE_WORDS and len(piece) <= CACHE_LENGTH:
+            self.pieces[piece] = found
+        return found
 
     def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and not any(s in word for s in self.special):
-            ids = []
-            for piece in self.pieces(word.lower()):
-                mapped = piece if piece.isascii() else self.as_characters(piece)[0][0]
-                ids += [t.id for t in self.model.tokenize(mapped)]
+        if not _PLAIN.fullmatch(word) or "|" in word and any(s in word for s in self.special):
+            number = self.number
+            return b"".join([number[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
+        low = word.lower()
+        known = self.pieces.get
+        # Letters alone are one piece, and so are they before a single mark.
+        if low.isalpha():
+            parts = [low]
+        elif low[-1] in ".,;:!?" and low[:-1].isalpha():
+            parts = [low[:-1], low[-1]]
         else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            parts = self.split(low)
+        return b"".join([known(p) or self._piece(p) for p in parts])
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        known, out = self.known, []
+        known, out = self.words.get, []
         for word in text.replace("\n", " ").split(" "):
             if word:
-                found = known.get(word)
+                found = known(word)
                 if found is None:
                     found = self._word(word)
-                    if len(known) < CACHE_WORDS and len(word) <= 64:
-                        known[word] = found
+                    if len(self.words) < CACHE_WORDS and len(word) <= CACHE_LENGTH:
+                        self.words[word] = found
                 out.append(found)
         return b"".join(out)
 
