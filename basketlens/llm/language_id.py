@@ -54,7 +54,9 @@ def _normal(text: str) -> np.ndarray:
         return codes[:0]
     again = np.zeros(len(codes), bool)
     again[1:] = space[1:] & space[:-1]
-    return np.concatenate((np.uint32([32]), codes[~again], np.uint32([32]))).astype(np.uint64)
+    inner = codes[~again]
+    inner = inner[int(inner[0] == 32) : len(inner) - int(inner[-1] == 32)]
+    return np.concatenate((np.uint32([32]), inner, np.uint32([32]))).astype(np.uint64)
 
 
 class Presence:
