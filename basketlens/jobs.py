@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens import schemas as S
+from basketlens.functions.columns import article_key, customer_key
 from basketlens.operators import marts as M
 from basketlens.operators import staging as ST
 from basketlens.operators.als import ALSParams
@@ -54,7 +55,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     marts = jobs.add_parser("marts", parents=[common])
     marts.add_argument("--as-of", help="the day recency counts from; today if left out")
     train = jobs.add_parser("train", parents=[common])
-    train.add_argument("--rows", type=int, default=S.LATEST_ROWS, help="latest rows to use; 0 for all")
+    train.add_argument("--rows", type=int, default=0, help="use so many of the latest rows only; 0 for all")
     train.add_argument("--val-start", default=S.VAL_START)
     train.add_argument("--test-start", default=S.TEST_START)
     train.add_argument("--factors", type=int, default=S.ALS_FACTORS)
@@ -90,7 +91,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         tables = [RAW.read_table(spark, getattr(args, t), args.format) for t in ("transactions", "articles", "customers")]
         tx = RAW.clean_transactions(tables[0])
         as_of = F.lit(args.as_of).cast("date") if args.as_of else F.current_date()
-        build_marts(tx, tables[1], tables[2], args.out, as_of)
+        # The dimensions' ids are written as those of the transactions are, or they would not meet.
+        articles = tables[1].withColumn("article_id", article_key(F.col("article_id")))
+        customers = tables[2].withColumn("customer_id", customer_key(F.col("customer_id")))
+        build_marts(tx, articles, customers, args.out, as_of)
         return
     tx = written(RAW.load_transactions(spark, args.transactions, args.format, args.rows or None), "transactions")
     params = TrainingParams(

@@ -92,7 +92,7 @@ class ALSCandidates:
         params = params or ALSParams()
         for col in ("customer_id", "article_id"):
             if col not in train.columns:
-                raise ValueError(f"the training table must contain '{col}'")
+                raise ValueError(f"ALS needs the column {col}")
         shared_dir(train.sparkSession)
         if stats is None:
             pairs = written(user_item_counts(train), "als-pairs")
@@ -100,7 +100,7 @@ class ALSCandidates:
             both = F.col("customer_id").isNotNull() & F.col("article_id").isNotNull()
             pairs = stats.filter(both).select("customer_id", "article_id", "purchase_count")
         if pairs.isEmpty():
-            raise ValueError("the training table is empty: cannot fit ALS")
+            raise ValueError("ALS got an empty table")
         users = written(id_index(pairs, "customer_id", "customer_idx"), "als-users")
         items = written(id_index(pairs, "article_id", "article_idx"), "als-items")
         counts = written(indexed_counts(pairs, users, items), "als-counts")
@@ -137,7 +137,7 @@ class ALSCandidates:
     def require_known(self, users: DataFrame) -> None:
         unknown = users.select("customer_id").join(self.users, "customer_id", "left_anti").first()
         if unknown is not None:
-            raise KeyError(f"Unknown user {unknown['customer_id']!r}: use the popularity fallback")
+            raise KeyError(f"no ALS factor for customer {unknown['customer_id']!r}")
 
     def recommend(self, users: DataFrame, k: int = S.N_CANDIDATES, exclude_seen: bool = True) -> DataFrame:
         """Top ``k`` per known customer.

@@ -57,7 +57,7 @@ class PopularityModel:
     def fit(cls, train: DataFrame, stats: DataFrame | None = None, **options: int) -> PopularityModel:
         """Count the training purchases, from ``interaction_stats`` of the same rows if they are given."""
         if "article_id" not in train.columns:
-            raise ValueError("the training table must contain 'article_id'")
+            raise ValueError("popularity counts the column article_id")
         if stats is None:
             counts = popularity_counts(train)
         else:
@@ -65,7 +65,7 @@ class PopularityModel:
             counts = bought.agg(F.sum("purchase_count").alias("purchase_count"))
         counts = written(counts, "popularity")
         if counts.isEmpty():
-            raise ValueError("the training table is empty: cannot fit the popularity model")
+            raise ValueError("no purchase to count: the table is empty")
         if stats is not None:
             seen = seen_items_from(stats)
         elif "customer_id" in train.columns:

@@ -66,21 +66,21 @@ def make_temporal_split(
     of the day range.
     """
     if not isinstance(tx.schema["t_dat"].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        raise ValueError("t_dat must be a date or datetime column before splitting")
+        raise ValueError(f"t_dat is {tx.schema['t_dat'].dataType.simpleString()}; splitting needs a date or datetime")
     val, test = dt.date.fromisoformat(val_start), dt.date.fromisoformat(test_start)
     if val >= test:
-        raise ValueError(f"val_start ({val}) must be before test_start ({test})")
+        raise ValueError(f"the windows are out of order: {val} is not before test_start {test}")
     day = F.col("t_dat").cast("date")
     first, last = tx.agg(F.min(day), F.max(day)).first()
     if first is None:
-        raise ValueError("Cannot split an empty table.")
+        raise ValueError("nothing to split: the table is empty or has no dates")
     if val < first:
         span = (last - first).days
         val = first + dt.timedelta(days=round(span * 0.75))
         test = first + dt.timedelta(days=round(span * 0.875))
         log.warning("val_start is before all data (%s): using val_start=%s, test_start=%s", first, val, test)
     if first >= val:
-        raise ValueError(f"Training split is empty: all data is on or after {val}")
+        raise ValueError(f"no day lies before {val}, so nothing is left to train on")
     return TemporalSplit(tx, val, test)
 
 

@@ -15,7 +15,7 @@ from basketlens.operators.features import interaction_stats
 from basketlens.operators.lambdamart import LambdaMartModel, RankerParams, fit_lambdamart
 from basketlens.operators.popularity import PopularityModel
 from basketlens.operators.ranking import ranker_group_split, ranking_dataset, ranking_dataset_stats
-from basketlens.operators.split import TemporalSplit, ground_truth, known_users, make_temporal_split
+from basketlens.operators.split import EVAL_SPLITS, TemporalSplit, ground_truth, known_users, make_temporal_split
 from basketlens.operators.two_stage import TwoStageRecommender
 from basketlens.operators.validate import check_articles, check_customers, check_transactions
 from basketlens.plans.workspace import written
@@ -30,12 +30,19 @@ class PromotionBlocked(RuntimeError):
 
 @dataclass
 class TrainingParams:
+    """What a training run may choose.
+
+    ``max_train_users`` bounds the customers whose labelled pairs the ranker is fitted on; nothing else is bounded by
+    it. Models are compared, and the gate decides, on all known customers of a window, unless ``eval_users`` asks for a
+    sample of so many.
+    """
+
     val_start: str = S.VAL_START
     test_start: str = S.TEST_START
     n_candidates: int = S.N_CANDIDATES
     max_negatives: int = S.MAX_NEGATIVES
     max_train_users: int = S.MAX_TRAIN_USERS
-    max_test_users: int = S.MAX_TEST_USERS
+    eval_users: int | None = None
     k: int = S.EVAL_K
     seed: int = S.SEED
     als: ALSParams = field(default_factory=lambda: ALSParams(iterations=40))
@@ -85,10 +92,13 @@ def train_models(tx: DataFrame, params: TrainingParams | None = None) -> Trained
 
 
 def compare_trained(models: TrainedModels, params: TrainingParams) -> DataFrame:
-    """Popularity, ALS alone and both stages on the sampled known customers of val and test."""
+    """Popularity, ALS alone and both stages on the known customers of val and test."""
     truths, asked = {}, None
-    for which, n in (("val", params.max_train_users), ("test", params.max_test_users)):
-        users = written(sample_users(known_users(models.split, which), n, params.seed), f"{which}-users")
+    for which in EVAL_SPLITS:
+        users = known_users(models.split, which)
+        if params.eval_users is not None:
+            users = sample_users(users, params.eval_users, params.seed)
+        users = written(users, f"{which}-users")
         truths[which] = ground_truth(models.split, which).join(users, "customer_id", "left_semi")
         asked = users if asked is None else asked.unionByName(users)
     asked = written(asked.distinct(), "asked")

@@ -219,8 +219,8 @@ def check_transactions(tx: DataFrame, min_date: str = S.MIN_DATE, max_date: str
     row = transaction_profile(tx, min_date, max_date).first().asDict()
     _fill(report, row, _TX_ERRORS, _TX_WARNINGS, _TX_STATS)
     if row["invalid_channel"]:
-        worst = invalid_channels(tx).orderBy(F.desc("n_rows"), "sales_channel_id").limit(20)
-        report.stats["invalid_channel_values"] = [r["sales_channel_id"] for r in worst.collect()]
+        found = invalid_channels(tx).orderBy(F.desc("n_rows"), "sales_channel_id")
+        report.stats["invalid_channel_values"] = [r["sales_channel_id"] for r in found.toLocalIterator()]
     report.log()
     return report
 

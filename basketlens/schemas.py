@@ -77,6 +77,5 @@ MAX_NEGATIVES = 50
 EVAL_K = 10
 TRAIN_GROUP_SHARE = 0.85
 MAX_TRAIN_USERS = 8000
-MAX_TEST_USERS = 5000
 NDCG_THRESHOLD = 0.35
 MAX_TOP_N = 50

@@ -75,8 +75,9 @@ def latest_transactions(tx: DataFrame, n_rows: int = S.LATEST_ROWS) -> DataFrame
 
 
 def load_transactions(
-    spark: SparkSession, path: str, fmt: str = "csv", n_rows: int | None = S.LATEST_ROWS
+    spark: SparkSession, path: str, fmt: str = "csv", n_rows: int | None = None
 ) -> DataFrame:
+    """All rows, or the ``n_rows`` latest."""
     tx = clean_transactions(read_table(spark, path, fmt))
     return tx if n_rows is None else latest_transactions(tx, n_rows)
 

@@ -106,7 +106,7 @@ def test_errors(spark, make_tx, model):
         A.ALSCandidates.fit(spark.createDataFrame([("a1",)], "article_id string"))
     with pytest.raises(ValueError, match="k must"):
         model.recommend(model.users, 0)
-    with pytest.raises(KeyError, match="Unknown user"):
+    with pytest.raises(KeyError, match="no ALS factor"):
         model.require_known(users(spark, "u1", "ghost"))
     model.require_known(users(spark, "u1"))
     with pytest.raises(ValueError, match="factors"):

@@ -138,9 +138,9 @@ def test_marts_from_csv_files(spark, tmp_path):
         "t_dat,customer_id,article_id,price,sales_channel_id\n2020-01-01, U1 ,663713001,0.05,2\n"
     )
     header = ",".join(["product_code", *S.STAGED_ARTICLE_COLS])
-    (tmp_path / "art.csv").write_text(f"{header}\n9,0663713001,{','.join('x' * 9)}\n")
+    (tmp_path / "art.csv").write_text(f"{header}\n9, 663713001,{','.join('x' * 9)}\n")
     (tmp_path / "cust.csv").write_text(
-        "customer_id,FN,Active,club_member_status,fashion_news_frequency,age\nu1,,1.0,ACTIVE,NONE,24\n"
+        "customer_id,FN,Active,club_member_status,fashion_news_frequency,age\n U1,,1.0,ACTIVE,NONE,24\n"
     )
     args = jobs.parse(
         ["marts", "--transactions", f"{tmp_path}/tx.csv", "--articles", f"{tmp_path}/art.csv"]

@@ -116,7 +116,7 @@ def test_evaluate(split):
     # u1 is listed [a2], u2 [a1, a3]: both find their article first.
     assert (val.ndcg, val.recall, val.map) == (1.0, 1.0, 1.0)
     text = test.summary()
-    assert all(word in text for word in ("EvalReport", "known users", "cold-start"))
+    assert all(word in text for word in ("test at", "ndcg", "no training purchase"))
     with pytest.raises(ValueError, match="which"):
         E.evaluate(model, split, "train")
 

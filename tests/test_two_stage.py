@@ -95,19 +95,32 @@ def test_customer_who_bought_everything_is_routed_by_what_they_get(spark, make_t
 
 def test_serve_checks_requests_and_answers_in_order(spark, two):
     requests = spark.createDataFrame(
-        [("u01", 3), ("ghost", 2), ("", 5), (None, 5), ("u02", 0), ("u02", 51), ("u03", None)],
+        [("u01", 3), ("ghost", 2), ("", 5), (None, 5), ("u02", 0), ("u02", 51), ("u03", None), ("u01", 1)],
         "customer_id string, top_n int",
     )
     answers, refused = two.serve(requests)
-    rows = {r["customer_id"]: r for r in answers.collect()}
-    assert set(rows) == {"u01", "ghost"}
+    answered = answers.collect()
+    assert sorted((r["customer_id"], r["top_n"]) for r in answered) == [("ghost", 2), ("u01", 1), ("u01", 3), ("u03", 10)]
+    rows = {r["customer_id"]: r for r in answered if r["top_n"] != 1}
+    assert [len(r["recommendations"]) for r in answered if r["top_n"] == 1] == [1]
     assert rows["u01"]["source"] == TS.RANKED
     assert [i["score"] for i in rows["u01"]["recommendations"]] == [1.0, 0.6667, 0.3333]
     assert [i["score"] for i in rows["ghost"]["recommendations"]] == [1.0, 0.5]
     ordered = [r["article_id"] for r in two.recommend(users(spark, "u01"), 3).orderBy("rank").collect()]
     assert [i["article_id"] for i in rows["u01"]["recommendations"]] == ordered
     reasons = sorted(r["reason"] for r in refused.collect())
-    assert reasons == ["customer_id must not be empty"] * 2 + ["top_n must be 1 to 50"] * 3
+    assert reasons == ["no customer_id"] * 2 + ["top_n outside 1 to 50"] * 2
+
+
+def test_every_request_is_answered(spark):
+    recs = spark.createDataFrame([("a", "x", 2, TS.RANKED), ("a", "y", 1, TS.RANKED)], "customer_id string, article_id string, rank int, source string")
+    asked = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "bought all", 4), (4, "a", 1)], "request_id int, customer_id string, top_n int")
+    rows = {r["request_id"]: r for r in TS.batch_response(asked, recs).collect()}
+    assert [[i["article_id"] for i in rows[n]["recommendations"]] for n in (1, 2, 3, 4)] == [["y", "x"], ["y"], [], ["y"]]
+    assert [i["score"] for i in rows[1]["recommendations"]] == [1.0, 0.5]
+    assert [rows[n]["source"] for n in (1, 3)] == [TS.RANKED, TS.POPULAR]
+    alone = spark.createDataFrame([("a",)], "customer_id string")
+    assert TS.split_requests(alone)[0].first()["top_n"] == TS.DEFAULT_TOP_N
 
 
 def test_bundle_round_trip(spark, two, lists, tmp_path):
