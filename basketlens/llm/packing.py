@@ -33,7 +33,7 @@ END = 2
 POOL_TOKENS = 4_000_000
 STEP_TOKENS = 64 * LONGEST
 # Words, and pieces of words, whose ids a worker keeps, and their longest.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 CACHE_LENGTH = 64
 
 _TASK_BITS = 36
