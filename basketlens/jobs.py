@@ -45,6 +45,21 @@ def build_marts(tx: DataFrame, articles: DataFrame, customers: DataFrame, out: s
     SM.write_clustered(items, f"{out}/fct_item_features", ["article_id"])
 
 
+def readable_transactions(raw: DataFrame, out: str) -> DataFrame:
+    """The rows that can be read, cleaned; the others go to ``out``/unreadable_transactions with the reason."""
+    readable, unreadable = RAW.split_unreadable(raw)
+    unreadable.write.mode("overwrite").parquet(f"{out}/unreadable_transactions")
+    return RAW.clean_transactions(readable)
+
+
+def marts_from_raw(tx: DataFrame, articles: DataFrame, customers: DataFrame, out: str, as_of: Column) -> None:
+    """The marts of raw tables. Ids of both dimensions are written as those of the transactions are, or they would
+    not meet."""
+    articles = articles.withColumn("article_id", article_key(F.col("article_id")))
+    customers = customers.withColumn("customer_id", customer_key(F.col("customer_id")))
+    build_marts(readable_transactions(tx, out), articles, customers, out, as_of)
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -88,15 +103,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         refused.write.mode("overwrite").parquet(f"{args.out}/refused")
         return
     if args.job == "marts":
-        tables = [RAW.read_table(spark, getattr(args, t), args.format) for t in ("transactions", "articles", "customers")]
-        tx = RAW.clean_transactions(tables[0])
+        raw = [RAW.read_table(spark, getattr(args, t), args.format) for t in ("transactions", "articles", "customers")]
         as_of = F.lit(args.as_of).cast("date") if args.as_of else F.current_date()
-        # The dimensions' ids are written as those of the transactions are, or they would not meet.
-        articles = tables[1].withColumn("article_id", article_key(F.col("article_id")))
-        customers = tables[2].withColumn("customer_id", customer_key(F.col("customer_id")))
-        build_marts(tx, articles, customers, args.out, as_of)
+        marts_from_raw(*raw, args.out, as_of)
         return
-    tx = written(RAW.load_transactions(spark, args.transactions, args.format, args.rows or None), "transactions")
+    tx = readable_transactions(RAW.read_table(spark, args.transactions, args.format), args.out)
+    if args.rows:
+        tx = RAW.latest_transactions(tx, args.rows)
+    # Files cover ranges of days, so that date windows skip files.
+    tx = written(tx.repartitionByRange("t_dat", "customer_id"), "transactions")
     params = TrainingParams(
         val_start=args.val_start,
         test_start=args.test_start,

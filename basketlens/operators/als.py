@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,14 +17,12 @@ from basketlens.plans.numbering import number_rows
 from basketlens.plans.skew import fits_broadcast, frequent_keys, lookup_join
 from basketlens.plans.workspace import shared_dir, written
 
-# Item factors are broadcast only up to this many 32-bit numbers (128 MB) in all.
-BROADCAST_FACTORS = 32_000_000
+# Item factors are broadcast in blocks of at most this many 32-bit numbers (64 MB).
+BLOCK_FACTORS = 16_000_000
 # Scores held at a time by one task while it ranks a batch of customers.
-_SCORES_PER_STEP = 4_000_000
-# Beyond that, customers are scored in groups by the number of articles they bought: at most 64, 256, …
-# Only the group's own bound is added to the list length that has to be scored out.
-_FIRST_GROUP_BITS = 6
-_GROUP_STEP_BITS = 2
+_SCORES_PER_STEP = 2_000_000
+# Pairs per factor block of the library's solver.
+_PAIRS_PER_BLOCK = 4_000_000
 
 
 def id_index(ids: DataFrame, id_col: str, index_col: str) -> DataFrame:
@@ -54,7 +51,7 @@ def indexed_counts(counts: DataFrame, users: DataFrame, items: DataFrame) -> Dat
 
 def user_item_confidence(train: DataFrame, alpha: float = S.ALS_ALPHA) -> DataFrame:
     """The confidence matrix as coordinates: 1 + alpha * purchases for every bought pair."""
-    counts = user_item_counts(train)
+    counts = written(user_item_counts(train), "als-pairs")
     users = id_index(counts, "customer_id", "customer_idx")
     items = id_index(counts, "article_id", "article_idx")
     return indexed_counts(counts, users, items).select(
@@ -76,24 +73,19 @@ class ALSParams:
 
 
 @dataclass
-class ALSCandidates:
-    """A fitted factor model with its id maps and training counts, all of them stored tables."""
+class ALSInput:
+    """Id maps and purchase counts, stored once for any number of fits."""
 
-    params: ALSParams
-    model: ALSModel
     users: DataFrame
     items: DataFrame
     counts: DataFrame
-    broadcast_factors: int = BROADCAST_FACTORS
 
     @classmethod
-    def fit(cls, train: DataFrame, params: ALSParams | None = None, stats: DataFrame | None = None) -> ALSCandidates:
-        """Train on the purchase counts of the training window (``stats`` if they exist already)."""
-        params = params or ALSParams()
+    def of(cls, train: DataFrame, stats: DataFrame | None = None) -> ALSInput:
+        """From the training window's rows, or from ``stats`` if they exist already."""
         for col in ("customer_id", "article_id"):
             if col not in train.columns:
                 raise ValueError(f"ALS needs the column {col}")
-        shared_dir(train.sparkSession)
         if stats is None:
             pairs = written(user_item_counts(train), "als-pairs")
         else:
@@ -103,8 +95,30 @@ class ALSCandidates:
             raise ValueError("ALS got an empty table")
         users = written(id_index(pairs, "customer_id", "customer_idx"), "als-users")
         items = written(id_index(pairs, "article_id", "article_idx"), "als-items")
-        counts = written(indexed_counts(pairs, users, items), "als-counts")
-        blocks = _blocks(counts)
+        return cls(users, items, written(indexed_counts(pairs, users, items), "als-counts"))
+
+
+@dataclass
+class ALSCandidates:
+    """A fitted factor model with its id maps and training counts, all of them stored tables."""
+
+    params: ALSParams
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+    counts: DataFrame
+    block_factors: int = BLOCK_FACTORS
+
+    @classmethod
+    def fit(cls, train: DataFrame, params: ALSParams | None = None, stats: DataFrame | None = None) -> ALSCandidates:
+        """Train on the purchase counts of the training window (``stats`` if they exist already)."""
+        shared_dir(train.sparkSession)
+        return cls.fit_input(ALSInput.of(train, stats), params)
+
+    @classmethod
+    def fit_input(cls, given: ALSInput, params: ALSParams | None = None) -> ALSCandidates:
+        params = params or ALSParams()
+        blocks = max(10, given.counts.count() // _PAIRS_PER_BLOCK)
         estimator = ALS(
             rank=params.factors,
             numUserBlocks=blocks,
@@ -119,8 +133,8 @@ class ALSCandidates:
             ratingCol="purchase_count",
             coldStartStrategy="drop",
         )
-        model = estimator.fit(counts.withColumn("purchase_count", F.col("purchase_count").cast("float")))
-        return cls(params, model, users, items, counts)
+        model = estimator.fit(given.counts.withColumn("purchase_count", F.col("purchase_count").cast("float")))
+        return cls(params, model, given.users, given.items, given.counts)
 
     @property
     def n_users(self) -> int:
@@ -142,77 +156,19 @@ class ALSCandidates:
     def recommend(self, users: DataFrame, k: int = S.N_CANDIDATES, exclude_seen: bool = True) -> DataFrame:
         """Top ``k`` per known customer.
 
-        Returns (customer_id, article_id, als_rank from 0, list_size, model_score). Customers without training history have no rows. A list is shorter than ``k`` only when the
-        customer bought all but a few articles. Equal scores go by article id.
+        Returns (customer_id, article_id, als_rank from 0, list_size, model_score). Customers without training
+        history have no rows. A list is shorter than ``k`` only when the customer bought all but a few articles.
+        Equal scores go by article id.
         """
-        if k < 1:
-            raise ValueError("k must be at least 1")
         wanted = users.select("customer_id").distinct().join(self.users, "customer_id")
-        if self.n_items * self.model.rank <= self.broadcast_factors:
-            ranked = self._rank_broadcast(wanted, k, exclude_seen)
-        else:
-            ranked = self._rank_blocks(wanted, k, exclude_seen)
+        customers = wanted.join(self.model.userFactors.withColumnRenamed("id", "customer_idx"), "customer_idx")
+        bought = self.counts if exclude_seen else None
+        block_items = max(1, self.block_factors // self.model.rank)
+        ranked = rank_candidates(customers, self.model.itemFactors, self.n_items, bought, k, block_items)
         return lookup_join(ranked, self.items, "article_idx", "inner").select(
             "customer_id", "article_id", "als_rank", "list_size", "model_score"
         )
 
-    def _rank_broadcast(self, wanted: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
-        """Every customer's scores against the broadcast item factors, bought articles masked out.
-
-        The item count was checked, which also bounds the list of bought articles of any one customer.
-        """
-        factors = self.model.itemFactors.toPandas()
-        ids = factors["id"].to_numpy(dtype=np.int64)
-        table = np.zeros((self.n_items, self.model.rank), dtype=np.float32)
-        table[ids] = np.stack(factors["features"].to_numpy())
-        shared = wanted.sparkSession.sparkContext.broadcast(table)
-        rows = wanted.join(self.model.userFactors.withColumnRenamed("id", "customer_idx"), "customer_idx")
-        if exclude_seen:
-            bought = self.counts.groupBy("customer_idx").agg(F.collect_list("article_idx").alias("bought"))
-            rows = rows.join(bought, "customer_idx", "left")
-        else:
-            rows = rows.withColumn("bought", F.array().cast("array<int>"))
-
-        def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            step = max(1, _SCORES_PER_STEP // len(shared.value))
-            for batch in batches:
-                for start in range(0, len(batch), step):
-                    yield rank_customers(batch.iloc[start : start + step], shared.value, k)
-
-        return rows.select("customer_id", "features", "bought").mapInPandas(
-            rank, "customer_id string, article_idx int, als_rank int, list_size int, model_score float"
-        )
-
-    def _rank_blocks(self, wanted: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
-        """The library's blocked scoring, for catalogues too large to broadcast.
-
-        With ``exclude_seen`` a list is scored out to ``k`` plus the bound of the customer's purchase
-        group, so removing what they bought leaves ``k`` articles; a customer with a huge history does
-        not lengthen anybody else's list.
-        """
-        if not exclude_seen:
-            return _first_k(self._score(wanted, k), k)
-        n_seen = self.counts.groupBy("customer_idx").agg(F.count(F.lit(1)).alias("n_seen"))
-        bits = F.greatest(F.ceil(F.log2("n_seen")), F.lit(_FIRST_GROUP_BITS))
-        steps = F.ceil((bits - _FIRST_GROUP_BITS) / _GROUP_STEP_BITS).cast("int")
-        grouped = written(wanted.join(n_seen, "customer_idx").withColumn("step", steps), "als-wanted")
-        # At most a dozen steps: the bound grows fourfold each time.
-        present = sorted(r["step"] for r in grouped.select("step").distinct().collect())
-        parts = [
-            self._score(grouped.filter(F.col("step") == s), k + 2 ** (_FIRST_GROUP_BITS + _GROUP_STEP_BITS * s))
-            for s in present
-        ]
-        scored = reduce(DataFrame.unionByName, parts) if parts else self._score(wanted, k)
-        bought = self.counts.select("customer_idx", "article_idx")
-        return _first_k(scored.join(bought, ["customer_idx", "article_idx"], "left_anti"), k)
-
-    def _score(self, wanted: DataFrame, n: int) -> DataFrame:
-        n = min(n, self.n_items)
-        lists = self.model.recommendForUserSubset(wanted.select("customer_idx"), n)
-        return lists.join(wanted.select("customer_idx", "customer_id"), "customer_idx").select(
-            "customer_idx", "customer_id", F.inline("recommendations").alias("article_idx", "model_score")
-        )
-
     def save(self, path: str) -> None:
         spark = self.users.sparkSession
         self.model.write().overwrite().save(f"{path}/model")
@@ -229,54 +185,95 @@ class ALSCandidates:
         return cls(params, ALSModel.load(f"{path}/model"), *tables)
 
 
-def _blocks(counts: DataFrame) -> int:
-    """About a million pairs per factor block, between the library's 10 and the cluster's cores."""
-    cores = counts.sparkSession.sparkContext.defaultParallelism
-    return max(10, min(cores, counts.count() // 1_000_000))
-
-
-def rank_customers(batch: pd.DataFrame, item_factors: np.ndarray, k: int) -> pd.DataFrame:
-    """The first ``k`` article indices per row of (customer_id, features, bought), by score, then index."""
-    scores = np.stack(batch["features"].to_numpy()).astype(np.float32) @ item_factors.T
-    customers, articles, ranks, sizes, values = [], [], [], [], []
-    for customer, bought, row in zip(batch["customer_id"], batch["bought"], scores):
-        if bought is not None and len(bought):
-            row[np.asarray(bought, dtype=np.int64)] = -np.inf
-        n = min(k, len(row))
-        # All articles at least as good as the n-th best, so that ties at the end are cut by index.
-        floor = np.partition(row, len(row) - n)[len(row) - n]
-        kept = np.flatnonzero((row >= floor) & np.isfinite(row))
-        kept = kept[np.lexsort((kept, -row[kept]))][:n]
-        customers += [customer] * len(kept)
-        articles.append(kept)
-        ranks.append(np.arange(len(kept)))
-        sizes.append(np.full(len(kept), len(kept)))
-        values.append(row[kept])
-    return pd.DataFrame(
-        {
-            "customer_id": customers,
-            "article_idx": np.concatenate(articles).astype(np.int32),
-            "als_rank": np.concatenate(ranks).astype(np.int32),
-            "list_size": np.concatenate(sizes).astype(np.int32),
-            "model_score": np.concatenate(values),
-        }
-    )
-
+def rank_candidates(
+    customers: DataFrame, items: DataFrame, n_items: int, bought: DataFrame | None, k: int, block_items: int
+) -> DataFrame:
+    """The first ``k`` articles of every customer by the product of factors; equal products go by article index.
 
-def _first_k(scored: DataFrame, k: int) -> DataFrame:
-    # Article indices follow the sorted ids, so ties go by article id.
+    ``customers`` are (customer_id, customer_idx, features), ``items`` (id, features) with ids below ``n_items``,
+    ``bought`` (customer_idx, article_idx) pairs to leave out. The articles are cut into blocks of ``block_items``; a
+    block's factors are broadcast, and each customer's first ``k`` of the block are found with its bought articles
+    masked, so no list is longer than a block. The lists of several blocks are stored one after the
+    other and merged; any number of blocks gives the same lists.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    starts = range(0, max(1, n_items), block_items)
+    if len(starts) == 1:
+        return _rank_block(customers, items, n_items, bought, k, 0)
+    customers = written(customers, "als-wanted")
+    lists = None
+    for start in starts:
+        width = min(block_items, n_items - start)
+        part = written(_rank_block(customers, items, width, bought, k, start), "als-block")
+        lists = part if lists is None else lists.unionByName(part)
     group = Window.partitionBy("customer_id")
     order = group.orderBy(F.desc("model_score"), "article_idx")
-    return (
-        scored.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(
-            "customer_id",
-            "article_idx",
-            (F.col("rank") - 1).alias("als_rank"),
-            F.count(F.lit(1)).over(group).cast("int").alias("list_size"),
-            "model_score",
-        )
+    first = lists.withColumn("als_rank", F.row_number().over(order) - 1).filter(F.col("als_rank") < k)
+    return first.withColumn("list_size", F.count(F.lit(1)).over(group).cast("int")).select(*lists.columns)
+
+
+def _rank_block(
+    customers: DataFrame, items: DataFrame, width: int, bought: DataFrame | None, k: int, start: int
+) -> DataFrame:
+    """The first ``k`` of the articles ``start`` to ``start + width`` of every customer."""
+    inside = items.filter((F.col("id") >= start) & (F.col("id") < start + width)).toPandas()
+    table = np.zeros((width, len(inside["features"].iloc[0]) if len(inside) else 1), dtype=np.float32)
+    if len(inside):
+        table[inside["id"].to_numpy(dtype=np.int64) - start] = np.stack(inside["features"].to_numpy())
+    shared = customers.sparkSession.sparkContext.broadcast(table)
+    if bought is None:
+        rows = customers.withColumn("bought", F.array().cast("array<int>"))
+    else:
+        place = F.col("article_idx") - start
+        here = bought.filter((place >= 0) & (place < width)).groupBy("customer_idx")
+        rows = customers.join(here.agg(F.collect_list(place).alias("bought")), "customer_idx", "left")
+
+    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        factors = shared.value.astype(np.float64)
+        step = max(1, _SCORES_PER_STEP // len(factors))
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                yield rank_customers(batch.iloc[at : at + step], factors, k, start)
+
+    return rows.select("customer_id", "features", "bought").mapInPandas(
+        rank, "customer_id string, article_idx int, als_rank int, list_size int, model_score float"
+    )
+
+
+def rank_customers(batch: pd.DataFrame, factors: np.ndarray, k: int, start: int = 0) -> pd.DataFrame:
+    """The first ``k`` article indices per row of (customer_id, features, bought), by score, then index.
+
+    Sums are taken in double precision and rounded to single, so that articles with the same factors
+    have the same score wherever they stand.
+    """
+    users = np.stack(batch["features"].to_numpy()).astype(np.float64)
+    scores = (users @ factors.T).astype(np.float32)
+    for row, owned in zip(scores, batch["bought"]):
+        if owned is not None and len(owned):
+            row[np.asarray(owned, dtype=np.int64)] = -np.inf
+    n = min(k, scores.shape[1])
+    top = np.sort(np.argpartition(-scores, n - 1, axis=1)[:, :n], axis=1)
+    values = np.take_along_axis(scores, top, 1)
+    order = np.argsort(-values, axis=1, kind="stable")
+    top, values = np.take_along_axis(top, order, 1), np.take_along_axis(values, order, 1)
+    # Where more articles reach the last score than fit, the smallest indices among them are taken.
+    last = values[:, -1:]
+    tied = np.isfinite(last[:, 0]) & ((scores >= last).sum(axis=1) > n)
+    for i in np.flatnonzero(tied):
+        kept = np.flatnonzero(scores[i] >= last[i])
+        top[i] = kept[np.argsort(-scores[i, kept], kind="stable")][:n]
+        values[i] = scores[i, top[i]]
+    real = np.isfinite(values)
+    sizes = real.sum(axis=1)
+    return pd.DataFrame(
+        {
+            "customer_id": np.repeat(batch["customer_id"].to_numpy(), sizes),
+            "article_idx": (top[real] + start).astype(np.int32),
+            "als_rank": np.broadcast_to(np.arange(n), real.shape)[real].astype(np.int32),
+            "list_size": np.repeat(sizes, sizes).astype(np.int32),
+            "model_score": values[real],
+        }
     )
 
 
@@ -285,13 +282,18 @@ def als_grid(
 ) -> DataFrame:
     """Recall and hit rate at ``k`` per parameter set on the known customers of ``truth``, best first.
 
-    The grid is a short driver-side list; every fit and every evaluation is a distributed job.
+    The grid is a short driver-side list; every fit and every evaluation is a distributed job. Purchases are counted
+    and ids numbered once for the whole grid.
     """
     from basketlens.operators.metrics import mean_metrics, per_user_metrics
 
+    if not grid:
+        raise ValueError("the grid is empty")
+    shared_dir(train.sparkSession)
+    given = ALSInput.of(train)
     rows = None
     for i, params in enumerate(grid):
-        model = ALSCandidates.fit(train, params)
+        model = ALSCandidates.fit_input(given, params)
         asked = truth if users is None else truth.join(users, "customer_id", "left_semi")
         known = model.known(asked)
         recs = model.recommend(known, k).withColumn("rank", F.col("als_rank") + 1)
@@ -304,6 +306,4 @@ def als_grid(
             "n_users",
         )
         rows = row if rows is None else rows.unionByName(row)
-    if rows is None:
-        raise ValueError("the grid is empty")
     return rows.orderBy(F.desc("recall"), "config")

@@ -37,20 +37,29 @@ def interactions_from(daily: DataFrame) -> DataFrame:
 
 def fct_user_features(stg_tx: DataFrame, stg_cust: DataFrame, as_of: Column) -> DataFrame:
     """One row per buying customer: profile, purchase totals, distinct active days, days since last."""
-    return user_mart_from(daily_purchases(stg_tx), stg_cust, as_of)
+    return user_mart_from(written(daily_purchases(stg_tx), "daily"), stg_cust, as_of)
 
 
 def user_mart_from(daily: DataFrame, stg_cust: DataFrame, as_of: Column) -> DataFrame:
-    spend, count = F.sum("spend").cast("double"), F.sum("purchase_count")
-    stats = daily.groupBy("customer_id").agg(
-        F.count_distinct("article_id").alias("total_unique_items"),
+    """``daily`` should be a stored table: articles and days are each counted over one row per pair."""
+    by_article = daily.groupBy("customer_id", "article_id").agg(
+        F.sum("purchase_count").alias("n"),
+        F.sum("spend").alias("spend"),
+        F.max("transaction_date").alias("last"),
+        F.min("transaction_date").alias("first"),
+    )
+    spend, count = F.sum("spend").cast("double"), F.sum("n")
+    totals = by_article.groupBy("customer_id").agg(
+        F.count("article_id").alias("total_unique_items"),
         count.alias("total_purchases"),
         spend.alias("total_spend"),
         (spend / count).alias("avg_item_price"),
-        F.count_distinct("transaction_date").alias("active_days"),
-        F.max("transaction_date").alias("last_purchase_date"),
-        F.min("transaction_date").alias("first_purchase_date"),
+        F.max("last").alias("last_purchase_date"),
+        F.min("first").alias("first_purchase_date"),
     )
+    days = daily.select("customer_id", "transaction_date").distinct()
+    active = days.groupBy("customer_id").agg(F.count("transaction_date").alias("active_days"))
+    stats = totals.join(active, "customer_id")
     return stats.join(stg_cust, "customer_id", "left").select(
         "customer_id",
         "age",

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.operators.features import seen_items_from, user_seen_items
-from basketlens.plans.numbering import number_rows
+from basketlens.plans.numbering import fits_one_task, number_rows
+from basketlens.plans.skew import fits_broadcast
 from basketlens.plans.workspace import written
 
 # Length of the ranked prefix that is broadcast to answer ordinary customers.
@@ -34,10 +35,13 @@ def _order() -> list:
 def top_k(counts: DataFrame, k: int) -> DataFrame:
     """The ``k`` most bought articles with their rank from 1; equal counts go by article id.
 
-    The window sees at most ``k`` rows.
+    The window sees at most ``k`` rows, and only while these are few; longer rankings are numbered in parallel.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    if not fits_one_task(counts, k):
+        numbered = number_rows(counts, _order(), "_pos").filter(F.col("_pos") < k)
+        return numbered.withColumn("pop_rank", (F.col("_pos") + 1).cast("int")).drop("_pos")
     rank = F.row_number().over(Window.orderBy(*_order()))
     return counts.orderBy(*_order()).limit(k).withColumn("pop_rank", rank)
 
@@ -100,7 +104,7 @@ class PopularityModel:
         users = users.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
         size = max(self.prefix_rows, 2 * k)
         if not exclude_seen:
-            prefix = F.broadcast(top_k(self.counts, k).select("article_id", "pop_rank"))
+            prefix = self._prefix(k)
             ranks = users.withColumn("pop_rank", F.explode(F.sequence(F.lit(1), F.lit(k))))
             return ranks.join(prefix, "pop_rank").select(
                 "customer_id", "article_id", F.col("pop_rank").alias("rank")
@@ -112,9 +116,14 @@ class PopularityModel:
         light = users.join(heavy, "customer_id", "left_anti")
         return self._recommend_prefix(light, k, size).unionByName(self._recommend_deep(heavy, k))
 
+    def _prefix(self, n: int) -> DataFrame:
+        """The first ``n`` ranks, to be broadcast if they are few enough."""
+        prefix = written(top_k(self.counts, n).select("article_id", "pop_rank"), "popular-prefix")
+        return F.broadcast(prefix) if fits_broadcast(prefix) else prefix
+
     def _recommend_prefix(self, users: DataFrame, k: int, size: int) -> DataFrame:
         """Lists from the first ``size`` ranks; at most that many ranks are collected per customer."""
-        prefix = F.broadcast(top_k(self.counts, size).select("article_id", "pop_rank"))
+        prefix = self._prefix(size)
         bought = (
             self.seen.join(prefix, "article_id")
             .groupBy("customer_id")

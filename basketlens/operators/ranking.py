@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens import schemas as S
@@ -11,35 +11,56 @@ from basketlens.operators.features import feature_matrix
 from basketlens.plans.numbering import number_rows
 
 
+_KEYS = ["customer_id", "article_id"]
+
+
+def _flagged(candidates: DataFrame, **tables: DataFrame) -> DataFrame:
+    """``candidates`` with a 0/1 column per table (customer_id, article_id): whether the pair is in it.
+
+    All rows go to their customer's task in one exchange and are matched there; whatever is grouped or ordered by
+    customer afterwards stays in that task. A customer has at most a candidate list and, per table, the catalogue.
+    """
+    extra = F.struct(*[c for c in candidates.columns if c not in _KEYS])
+    rows = candidates.select(*_KEYS, extra.alias("_row"), *[F.lit(0).alias(t) for t in tables])
+    kind = rows.schema["_row"].dataType
+    for name, table in tables.items():
+        flags = [F.lit(int(t == name)).alias(t) for t in tables]
+        pairs = table.filter(F.col("customer_id").isNotNull() & F.col("article_id").isNotNull())
+        rows = rows.unionByName(pairs.select(*_KEYS, F.lit(None).cast(kind).alias("_row"), *flags))
+    matched = rows.repartition("customer_id").groupBy(*_KEYS)
+    merged = matched.agg(F.max("_row").alias("_row"), *[F.max(t).alias(t) for t in tables])
+    return merged.filter(F.col("_row").isNotNull()).select(*_KEYS, "_row.*", *tables)
+
+
 def candidate_pairs(candidates: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """Candidates (customer_id, article_id, als_rank from 0) with the pair features of the ranker.
 
     ``als_score`` is the list length minus the rank; candidates that carry their ``list_size`` need no
     window to know it. ``seen`` flags candidates bought in training; leave it
-    out when the candidates exclude them by construction, which saves the join and gives the same zeros.
+    out when the candidates exclude them by construction, which saves matching and gives the same zeros.
     """
+    if seen is None:
+        return _scored(candidates, F.lit(0.0))
+    return _scored(_flagged(candidates, seen=seen), F.col("seen").cast("double"))
+
+
+def _scored(candidates: DataFrame, bought: Column, *kept: str) -> DataFrame:
     if "list_size" in candidates.columns:
         length = F.col("list_size")
     else:
         length = F.count(F.lit(1)).over(Window.partitionBy("customer_id"))
-    pairs = candidates.select(
-        "customer_id",
-        "article_id",
+    return candidates.select(
+        *_KEYS,
         "als_rank",
         (length - F.col("als_rank")).cast("double").alias("als_score"),
+        bought.alias("ui_user_bought_item"),
+        *kept,
     )
-    if seen is None:
-        return pairs.withColumn("ui_user_bought_item", F.lit(0.0))
-    marked = seen.select("customer_id", "article_id", F.lit(1.0).alias("ui_user_bought_item"))
-    joined = pairs.join(marked, ["customer_id", "article_id"], "left")
-    return joined.withColumn("ui_user_bought_item", F.coalesce("ui_user_bought_item", F.lit(0.0)))
 
 
 def labelled_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """Label 1 where the customer bought the candidate in the label window, else 0."""
-    hit = truth.select("customer_id", "article_id", F.lit(1).alias("label"))
-    joined = pairs.join(hit, ["customer_id", "article_id"], "left")
-    return joined.withColumn("label", F.coalesce("label", F.lit(0)))
+    return _flagged(pairs, label=truth)
 
 
 def negative_sample(labelled: DataFrame, max_negatives: int = S.MAX_NEGATIVES, seed: int = S.SEED) -> DataFrame:
@@ -70,8 +91,13 @@ def ranking_dataset(
     max_negatives: int = S.MAX_NEGATIVES,
     seed: int = S.SEED,
 ) -> DataFrame:
-    """(customer_id, article_id, label, features…): a customer's rows form one ranking group."""
-    pairs = labelled_pairs(candidate_pairs(candidates, seen), truth)
+    """(customer_id, article_id, label, features…): a customer's rows form one ranking group.
+
+    Ask for candidates of customers of ``truth`` only; others are dropped, but after they were moved.
+    """
+    flagged = _flagged(candidates, label=truth) if seen is None else _flagged(candidates, label=truth, seen=seen)
+    bought = F.lit(0.0) if seen is None else F.col("seen").cast("double")
+    pairs = _scored(flagged, bought, "label")
     return feature_matrix(negative_sample(pairs, max_negatives, seed), item_feats, user_feats)
 
 

@@ -102,11 +102,14 @@ def compare_trained(models: TrainedModels, params: TrainingParams) -> DataFrame:
         truths[which] = ground_truth(models.split, which).join(users, "customer_id", "left_semi")
         asked = users if asked is None else asked.unionByName(users)
     asked = written(asked.distinct(), "asked")
-    als_lists = models.als.recommend(asked, params.k).withColumn("rank", F.col("als_rank") + 1)
+    # One scoring serves both: the ranker's candidates are the front of the longer list, and so are the first k.
+    n = models.two_stage.n_candidates
+    lists = written(models.als.recommend(asked, max(n, params.k)), "als-lists")
+    candidates = lists.filter(F.col("als_rank") < n).withColumn("list_size", F.least("list_size", F.lit(n)))
     recs = {
         "popularity": models.popularity.recommend(asked, params.k),
-        "als_raw": als_lists,
-        "two_stage": models.two_stage.recommend(asked, params.k),
+        "als_raw": lists.withColumn("rank", F.col("als_rank") + 1),
+        "two_stage": models.two_stage.recommend(asked, params.k, candidates=candidates),
     }
     return compare_models(recs, truths, params.k)
 
@@ -142,6 +145,8 @@ def retrain(
         "seed": params.seed,
         "k": params.k,
         "best_iteration": models.ranker.best_iteration,
+        "n_transactions": tx.count(),
+        "feature_importance": {r["feature"]: r["importance"] for r in models.ranker.importance().collect()},
         **stats,
     }
     write_json(tx.sparkSession, meta, f"{out_path}/ranker_meta")

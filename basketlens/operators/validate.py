@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from basketlens import schemas as S
 from basketlens.functions.columns import null_if_nan
+from basketlens.plans.workspace import written
 
 log = logging.getLogger(__name__)
 
@@ -72,8 +73,14 @@ def _bad_channel() -> Column:
     return ~F.coalesce(F.col("sales_channel_id").isin(S.VALID_CHANNELS), F.lit(False))
 
 
-def transaction_profile(tx: DataFrame, min_date: str = S.MIN_DATE, max_date: str = S.MAX_DATE) -> DataFrame:
-    """One row with every count the transaction checks and statistics need."""
+def transaction_profile(
+    tx: DataFrame, min_date: str = S.MIN_DATE, max_date: str = S.MAX_DATE, approximate: bool = False
+) -> DataFrame:
+    """One row with every count the transaction checks and statistics need.
+
+    With ``approximate`` the distinct customers and articles are estimated in the same pass. Otherwise they are counted
+    over the aggregated keys, which are stored for that.
+    """
     price = null_if_nan(F.col("price"), tx.schema["price"].dataType.typeName())
     keyed = tx.groupBy("customer_id", "article_id", "t_dat").agg(
         F.count(F.lit(1)).alias("n"),
@@ -81,15 +88,17 @@ def transaction_profile(tx: DataFrame, min_date: str = S.MIN_DATE, max_date: str
         _flagged(price <= 0).alias("bad_price"),
         _flagged(_bad_channel()).alias("bad_channel"),
     )
+    if not approximate:
+        keyed = written(keyed, "transaction-keys")
     date = F.col("t_dat")
     outside = (date < F.lit(min_date).cast("date")) | (date > F.lit(max_date).cast("date"))
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return keyed.agg(
+    ids = {"unique_customers": "customer_id", "unique_articles": "article_id"}
+    profile = keyed.agg(
         total("n").alias("row_count"),
         F.min("t_dat").alias("date_min"),
         F.max("t_dat").alias("date_max"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("article_id").alias("unique_articles"),
+        *[F.approx_count_distinct(c).alias(name) for name, c in ids.items() if approximate],
         _rows_where(F.col("customer_id").isNull()).alias("null_customer_id"),
         _rows_where(F.col("article_id").isNull()).alias("null_article_id"),
         _rows_where(date.isNull()).alias("null_date"),
@@ -100,6 +109,9 @@ def transaction_profile(tx: DataFrame, min_date: str = S.MIN_DATE, max_date: str
         _rows_where(~F.col("article_id").rlike(r"^[0-9]+$")).alias("non_numeric_article_id"),
         total(F.col("n") - 1).alias("duplicate_rows"),
     )
+    if approximate:
+        return profile
+    return profile.withColumns({n: keyed.select(c).distinct().agg(F.count(c)).scalar() for n, c in ids.items()})
 
 
 _TX_ERRORS = ["null_customer_id", "null_article_id", "null_date", "invalid_channel", "null_price", "non_positive_price"]
@@ -126,8 +138,8 @@ def validate_transactions(tx: DataFrame, min_date: str = S.MIN_DATE, max_date: s
     return _findings(transaction_profile(tx, min_date, max_date), "transactions", _TX_ERRORS, _TX_WARNINGS)
 
 
-def transaction_stats(tx: DataFrame) -> DataFrame:
-    return transaction_profile(tx).select(*_TX_STATS)
+def transaction_stats(tx: DataFrame, approximate: bool = False) -> DataFrame:
+    return transaction_profile(tx, approximate=approximate).select(*_TX_STATS)
 
 
 def invalid_channels(tx: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from basketlens.plans.workspace import written
 
-# Largest n that one ordered-limit task should hold; beyond it the rows are numbered in parallel.
-ORDERED_LIMIT_ROWS = 100_000
+# Rows that one ordered-limit task should merge, the first n of every partition; beyond it rows are numbered in parallel.
+ORDERED_LIMIT_ROWS = 1_000_000
 _ROW_BITS = 33
 
 
@@ -37,8 +37,18 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     )
 
 
+def fits_one_task(df: DataFrame, n: int) -> bool:
+    """Whether the first ``n`` rows of every partition are few enough for one task.
+
+    The number of partitions is taken from the session, which sizes it to its data.
+    """
+    spark = df.sparkSession
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return n * partitions <= ORDERED_LIMIT_ROWS
+
+
 def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows in the given order, whatever the size of ``n``."""
-    if n <= ORDERED_LIMIT_ROWS:
+    if fits_one_task(df, n):
         return df.orderBy(*order).limit(n)
     return number_rows(df, order, "_pos").filter(F.col("_pos") < n).drop("_pos")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketlens.plans.workspace import written
 
-# A lookup side is broadcast only after its rows were counted and found to be at most this many.
+# A lookup side is broadcast only after it was measured and found to have at most so many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 << 20
 # Keys that are spread. No other key can hold more than 1 / (HOT_KEYS + 1) of the rows.
 HOT_KEYS = 1000
 # Parts each frequent key is spread over; the lookup grows by at most HOT_KEYS * SALTS rows.
@@ -16,7 +18,17 @@ SALTS = 256
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return lookup.limit(max_rows + 1).count() <= max_rows
+    """Whether a lookup is small enough to broadcast, by its rows and the bytes of its values."""
+    width = F.lit(0).cast("long")
+    for f in lookup.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + 16 + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            width = width + 16 + 16 * F.coalesce(F.size(f"`{f.name}`"), F.lit(0))
+        else:
+            width = width + 16
+    size = lookup.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def frequent_keys(rows: DataFrame, key: str, n: int = HOT_KEYS) -> DataFrame:

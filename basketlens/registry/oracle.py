@@ -20,7 +20,8 @@ COLD = f"""ctx AS (
 DIRTY = """dtx AS (
   SELECT CASE WHEN l_orderkey % 1021 = 0 THEN NULL ELSE t_dat END AS t_dat,
          CASE WHEN l_orderkey % 1009 = 0 THEN NULL ELSE customer_id END AS customer_id,
-         CASE WHEN (l_orderkey + l_linenumber) % 1013 = 0 THEN NULL ELSE article_id END AS article_id,
+         CASE WHEN (l_orderkey + l_linenumber) % 1013 = 0 THEN NULL WHEN l_orderkey % 479 = 0 THEN 'x' || article_id
+              ELSE article_id END AS article_id,
          CASE WHEN l_orderkey % 503 = 0 THEN NULL WHEN l_orderkey % 499 = 0 THEN 0
               WHEN l_orderkey % 509 = 0 THEN -price ELSE price END AS price,
          CASE WHEN l_orderkey % 487 = 0 THEN 9 ELSE sales_channel_id END AS sales_channel_id
@@ -238,13 +239,40 @@ _COMPARED = """SELECT model, split, round(ndcg, 9) AS ndcg, round(recall, 9) AS
        round(hit_rate, 9) AS hit_rate, n_users FROM comparison"""
 
 
+# Known customers get their list by article id, the others by popularity.
+_ROUTED = """SELECT customer_id, article_id, CAST(CASE WHEN customer_id IN (SELECT customer_id FROM train_users)
+    THEN row_number() OVER (PARTITION BY customer_id ORDER BY article_id) ELSE rank END AS INTEGER) AS rank,
+  CASE WHEN customer_id IN (SELECT customer_id FROM train_users) THEN 'als+lgbm' ELSE 'popularity' END AS source"""
+
+_GRADIENTS = f"""placed AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY als_rank) AS r FROM sampled),
+ideal AS (SELECT customer_id, list_sum([1 / log2(i + 1) FOR i IN range(1, least(n, {S.EVAL_K}) + 1)]) AS best
+  FROM (SELECT customer_id, count(*) FILTER (label = 1) AS n FROM sampled GROUP BY customer_id)),
+swaps AS (SELECT p.customer_id, p.article_id AS up, n.article_id AS down,
+  abs(1 / log2(p.r + 1) - 1 / log2(n.r + 1)) / best AS s
+  FROM placed p JOIN placed n ON p.customer_id = n.customer_id AND p.label = 1 AND n.label = 0
+  JOIN ideal i ON i.customer_id = p.customer_id WHERE least(p.r, n.r) <= 30),
+pulls AS (SELECT customer_id, up AS article_id, s / 2 AS lam, s / 4 AS weight FROM swaps
+  UNION ALL SELECT customer_id, down, -s / 2, s / 4 FROM swaps),
+gradients AS (SELECT customer_id, article_id, sum(lam) AS lam, sum(weight) AS weight FROM pulls GROUP BY 1, 2)"""
+
+_SMALL_SCORES = """numbered AS (SELECT article_id, CAST(article_id AS BIGINT) AS p,
+  row_number() OVER (ORDER BY article_id) - 1 AS idx FROM counts),
+products AS (SELECT customer_id, article_id, idx, c % 3 * (p % 4) + (c % 5 - 2) * (p % 7 - 3) + p % 2 AS score
+  FROM (SELECT customer_id, CAST(customer_id AS BIGINT) AS c FROM train_users) CROSS JOIN numbered),
+listed AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, idx) AS nth FROM products u
+  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.customer_id = u.customer_id AND s.article_id = u.article_id))"""
+
+# How many articles each customer has not bought.
+_UNSEEN = """unseen AS (SELECT customer_id, (SELECT count(*) FROM counts) - coalesce(n, 0) AS n, n IS NOT NULL AS known
+  FROM (SELECT DISTINCT customer_id FROM ctx) LEFT JOIN
+    (SELECT customer_id, count(*) AS n FROM seen GROUP BY customer_id) USING (customer_id))"""
+
+
 def _routed(k: int) -> list[str]:
     return [
         *COLDW,
         _recs("listed", "ctx", k),
-        """routed AS (SELECT customer_id, article_id, CAST(rank AS INTEGER) AS rank,
-  CASE WHEN customer_id IN (SELECT customer_id FROM train_users) THEN 'als+lgbm' ELSE 'popularity' END AS source
-  FROM listed)""",
+        f"routed AS ({_ROUTED} FROM listed)",
     ]
 
 
@@ -435,6 +463,73 @@ FROM sampled JOIN (SELECT customer_id, row_number() OVER (ORDER BY customer_id)
                    FROM (SELECT DISTINCT customer_id FROM sampled)) USING (customer_id)""",
             *dataset,
         ),
+        "lambda_gradients": _q(
+            """SELECT customer_id, article_id, round(coalesce(lam, 0), 9) AS lam, round(coalesce(weight, 0), 9) AS weight
+FROM sampled LEFT JOIN gradients USING (customer_id, article_id)""",
+            *dataset,
+            _GRADIENTS,
+        ),
+        "rerank_by_score": _q(
+            f"""SELECT customer_id, article_id, CAST(als_rank AS INTEGER) AS als_rank, score, CAST(nth AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, als_rank) AS nth
+      FROM (SELECT customer_id, article_id, rank - 1 AS als_rank, CAST((rank - 1) % 7 AS DOUBLE) AS score FROM cand))
+WHERE nth <= {S.EVAL_K}""",
+            *PLAIN,
+            _POPULAR,
+        ),
+        "candidate_scoring": _q(
+            """SELECT blocks, customer_id, CAST(idx AS INTEGER) AS article_idx, CAST(nth - 1 AS INTEGER) AS als_rank,
+       CAST(count(*) OVER (PARTITION BY blocks, customer_id) AS INTEGER) AS list_size, CAST(score AS FLOAT) AS model_score
+FROM listed CROSS JOIN (VALUES ('one'), ('several')) b(blocks) WHERE nth <= 20""",
+            *PLAIN,
+            _SMALL_SCORES,
+        ),
+        "als_candidate_facts": _q(
+            f"""SELECT customer_id, least(n, {S.N_CANDIDATES}) AS n_listed, least(n, {S.N_CANDIDATES}) AS n_different,
+       0 AS n_bought, least(n, {S.N_CANDIDATES}) - 1 AS last_rank FROM unseen WHERE known AND n > 0""",
+            *COLDW,
+            _UNSEEN,
+        ),
+        "two_stage_facts": _q(
+            f"""SELECT customer_id, least(n, {S.EVAL_K}) AS n_listed, least(n, {S.EVAL_K}) AS n_different, 0 AS n_bought,
+       least(n, {S.EVAL_K}) AS last_rank, CASE WHEN known THEN 'als+lgbm' ELSE 'popularity' END AS source
+FROM unseen WHERE n > 0""",
+            *COLDW,
+            _UNSEEN,
+        ),
+        "importance_facts": f"SELECT {len(S.FEATURE_COLS)} AS n_features, CAST(1 AS DOUBLE) AS total",
+        "evidence_facts": _q(
+            """SELECT model, split, n_users FROM (VALUES ('popularity'), ('als_raw'), ('two_stage')) m(model), (
+  SELECT 'val' AS split, count(*) AS n_users FROM known_val UNION ALL SELECT 'test', count(*) FROM known_test)""",
+            *COLDW,
+        ),
+        "als_grid_facts": _q(
+            f"""SELECT config, {S.ALS_FACTORS} AS factors, alpha, (SELECT count(*) FROM known_val) AS n_users
+FROM (VALUES (0, CAST({S.ALS_ALPHA} AS DOUBLE)), (1, CAST(15 AS DOUBLE))) g(config, alpha)""",
+            *PLAIN,
+        ),
+        "clean_transactions": _q(
+            f"SELECT {tx_cols} FROM tx WHERE l_orderkey % 1021 <> 0 AND l_orderkey % 1019 <> 0", TX
+        ),
+        "unreadable_transactions": _q(
+            """SELECT CASE WHEN l_orderkey % 1021 = 0 THEN 't_dat' ELSE 'price' END AS reason, count(*) AS n_rows
+FROM tx WHERE l_orderkey % 1021 = 0 OR l_orderkey % 1019 = 0 GROUP BY 1""",
+            TX,
+        ),
+        "marts_job_items": _q(
+            """SELECT article_id, coalesce(buyers, 0) AS unique_buyers, coalesce(purchases, 0) AS total_purchases,
+       CAST(DATE '2001-12-31' - last_sold AS INTEGER) AS days_since_last_sold
+FROM art LEFT JOIN (SELECT article_id, count(DISTINCT customer_id) AS buyers, count(*) AS purchases,
+                           max(transaction_date) AS last_sold FROM stg GROUP BY article_id) USING (article_id)""",
+            TX, DIRTY, STG, ART,
+        ),
+        "marts_job_users": _q(
+            """SELECT 'c' || customer_id AS customer_id, age, items AS total_unique_items, purchases AS total_purchases,
+       days AS active_days
+FROM (SELECT customer_id, count(DISTINCT article_id) AS items, count(*) AS purchases,
+             count(DISTINCT transaction_date) AS days FROM stg GROUP BY customer_id) LEFT JOIN cust USING (customer_id)""",
+            TX, DIRTY, STG, CUST,
+        ),
         "dcg_at_k": _per_user("dcg", "dcg"),
         "ndcg_at_k": _per_user("ndcg", "ndcg"),
         "recall_at_k": _per_user("recall", "recall"),
@@ -482,16 +577,15 @@ FROM routed""",
             *_routed(32),
         ),
         "batch_recommendations": _q(
-            """SELECT customer_id, source, CAST(rank - 1 AS INTEGER) AS position, article_id,
-       round_even(1 - CAST(rank - 1 AS DOUBLE) / count(*) OVER (PARTITION BY customer_id), 4) AS score
-FROM (SELECT r.customer_id, r.article_id, CAST(rank AS INTEGER) AS rank,
-             CASE WHEN r.customer_id IN (SELECT customer_id FROM train_users) THEN 'als+lgbm'
-                  ELSE 'popularity' END AS source
-      FROM recs r JOIN asked USING (customer_id) WHERE rank <= top_n)""",
+            """SELECT customer_id, request, source, CAST(rank - 1 AS INTEGER) AS position, article_id,
+       round_even(1 - CAST(rank - 1 AS DOUBLE) / count(*) OVER (PARTITION BY customer_id, request), 4) AS score
+FROM routed JOIN asked USING (customer_id) WHERE rank <= top_n""",
             *COLDW,
-            """asked AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS customer_id, 1 + c_custkey % 60 AS top_n
-  FROM customer WHERE 1 + c_custkey % 60 <= 50)""",
+            """asked AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS customer_id, 1 + c_custkey % 60 AS top_n,
+    'sized' AS request FROM customer WHERE 1 + c_custkey % 60 <= 50
+  UNION ALL SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0'), 10, 'plain' FROM customer WHERE c_custkey % 10 = 0)""",
             _recs("recs", "asked", S.MAX_TOP_N),
+            f"routed AS ({_ROUTED} FROM recs)",
         ),
         "id_index": _q(
             "SELECT customer_id, CAST(row_number() OVER (ORDER BY customer_id) - 1 AS INTEGER) AS customer_idx FROM train_users",

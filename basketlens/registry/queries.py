@@ -7,14 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketlens import jobs
 from basketlens import schemas as S
 from basketlens.functions import columns as C
 from basketlens.operators import als as A
 from basketlens.operators import evaluate as E
 from basketlens.operators import features as FE
+from basketlens.operators import lambdamart as LM
 from basketlens.operators import marts as M
 from basketlens.operators import metrics as ME
 from basketlens.operators import training as PL
@@ -24,7 +26,6 @@ from basketlens.operators import split as SP
 from basketlens.operators import staging as ST
 from basketlens.operators import two_stage as TS
 from basketlens.operators import validate as V
-from basketlens.operators.lambdamart import RankerParams
 from basketlens.plans.workspace import scratch_path, written
 from basketlens.sources import fixtures as X
 from basketlens.sources import marts as SM
@@ -37,6 +38,7 @@ EXACT = "decimal(18,2)"
 DATE_RANGE = {"min_date": "1996-01-01", "max_date": "2000-12-31"}
 LATEST = 5000
 SAMPLE = 500
+SCORED = 20
 
 _QUERIES: dict[str, Query] = {}
 
@@ -109,7 +111,8 @@ def raw_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def mart_monthly_partitions(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "interactions")
-    mart = M.fct_user_item_interactions(_staged(spark, sf).filter(F.col("transaction_date").isNotNull()))
+    dated = _staged(spark, sf).filter(F.col("transaction_date").isNotNull())
+    mart = M.interactions_from(written(M.daily_purchases(dated), "daily"))
     SM.write_monthly(mart, path, "transaction_date", ["customer_id", "article_id"])
     return (
         spark.read.parquet(path)
@@ -118,6 +121,55 @@ def mart_monthly_partitions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _text_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions as text, some with a day or a price that cannot be read."""
+    key = F.col("l_orderkey")
+    day = F.when(key % 1021 == 0, "some day").otherwise(F.col("t_dat").cast("string"))
+    price = F.when(key % 1019 == 0, "free").otherwise(F.col("price").cast("string"))
+    return X.order_lines(spark, sf).select(
+        day.alias("t_dat"),
+        "customer_id",
+        "article_id",
+        price.alias("price"),
+        F.col("sales_channel_id").cast("string").alias("sales_channel_id"),
+    )
+
+
+@query
+def clean_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    return RAW.clean_transactions(RAW.split_unreadable(_text_transactions(spark, sf))[0])
+
+
+@query
+def unreadable_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    unreadable = RAW.split_unreadable(_text_transactions(spark, sf))[1]
+    return unreadable.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _marts_job(spark: SparkSession, sf: str) -> str:
+    """The folder of the marts that the job writes from careless exports of all three tables."""
+    out = scratch_path(spark, "marts-job")
+    careless = F.concat(F.lit("\tC"), "customer_id", F.lit(" "))
+    tx = _raw_ids(X.dirty_transactions(spark, sf), "article_id").withColumn("customer_id", careless)
+    customers = X.customers(spark, sf).withColumn("customer_id", careless)
+    jobs.marts_from_raw(tx, _raw_ids(X.articles(spark, sf), "article_id"), customers, out, _as_of())
+    return out
+
+
+@query
+def marts_job_items(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{_marts_job(spark, sf)}/fct_item_features").select(
+        "article_id", "unique_buyers", "total_purchases", "days_since_last_sold"
+    )
+
+
+@query
+def marts_job_users(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{_marts_job(spark, sf)}/fct_user_features").select(
+        "customer_id", "age", "total_unique_items", "total_purchases", "active_days"
+    )
+
+
 # ---- staging and scalar functions ----------------------------------------------------------------------
 
 
@@ -315,9 +367,12 @@ def popularity_recommend(spark: SparkSession, sf: str) -> DataFrame:
     return P.PopularityModel.fit(split.train).recommend(buyers, 10)
 
 
-def _popular_candidates(split: SP.TemporalSplit, k: int = S.N_CANDIDATES, exclude_seen: bool = True) -> DataFrame:
-    """The deterministic stand-in for ALS: unseen popular articles of every training customer."""
-    recs = P.PopularityModel.fit(split.train).recommend(split.train.select("customer_id"), k, exclude_seen)
+def _popular_candidates(
+    split: SP.TemporalSplit, users: DataFrame | None = None, exclude_seen: bool = True
+) -> DataFrame:
+    """The deterministic stand-in for ALS: unseen popular articles of every training customer, or of ``users``."""
+    users = split.train.select("customer_id") if users is None else users
+    recs = P.PopularityModel.fit(split.train).recommend(users, S.N_CANDIDATES, exclude_seen)
     return recs.select("customer_id", "article_id", (F.col("rank") - 1).alias("als_rank"))
 
 
@@ -348,8 +403,9 @@ def labelled_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def negative_sampling(spark: SparkSession, sf: str) -> DataFrame:
-    split, pairs = _pairs(spark, sf)
-    labelled = R.labelled_pairs(pairs, SP.ground_truth(split, "val"))
+    split = _split(spark, sf)
+    candidates = _popular_candidates(split, SP.known_users(split, "val"))
+    labelled = R.labelled_pairs(candidates, SP.ground_truth(split, "val"))
     return R.negative_sample(labelled).select("customer_id", "article_id", "als_rank", "label")
 
 
@@ -365,7 +421,7 @@ def _dataset(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
     stats = written(FE.interaction_stats(split.train), "stats")
     return R.ranking_dataset(
-        _popular_candidates(split),
+        _popular_candidates(split, SP.known_users(split, "val")),
         SP.ground_truth(split, "val"),
         written(FE.item_features_from(stats), "item-features"),
         FE.user_features_from(stats),
@@ -388,6 +444,22 @@ def ranker_group_split(spark: SparkSession, sf: str) -> DataFrame:
     return R.ranker_group_split(_dataset(spark, sf)).select("customer_id", "article_id", "label", "held_out")
 
 
+@query
+def lambda_gradients(spark: SparkSession, sf: str) -> DataFrame:
+    """The gradients of the first boosting round."""
+    rows = LM.lambda_gradients(_dataset(spark, sf))
+    # Adding 0 turns -0.0 into 0.0.
+    return rows.withColumns({c: F.round(F.col(c) + F.lit(0.0), 9) for c in ("lam", "weight")})
+
+
+@query
+def rerank_by_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Many equal scores, so that the candidate order decides among them."""
+    split = _split(spark, sf)
+    scored = _popular_candidates(split).withColumn("score", (F.col("als_rank") % 7).cast("double"))
+    return LM.rank_by_score(scored, S.EVAL_K)
+
+
 # ---- metrics and evaluation ----------------------------------------------------------------------------
 
 
@@ -478,10 +550,15 @@ def eval_report(spark: SparkSession, sf: str) -> DataFrame:
 # ---- cold start and batch output -----------------------------------------------------------------------
 
 
+def _by_article(recs: DataFrame) -> DataFrame:
+    """The lists in another order than popularity's, so that the two routes can be told apart."""
+    return recs.withColumn("rank", F.row_number().over(Window.partitionBy("customer_id").orderBy("article_id")))
+
+
 def _routed(spark: SparkSession, sf: str, k: int) -> DataFrame:
     split = _split(spark, sf, cold=True)
     model = P.PopularityModel.fit(split.train)
-    ranked = written(model.recommend(split.train.select("customer_id"), k), "ranked")
+    ranked = written(_by_article(model.recommend(split.train.select("customer_id"), k)), "ranked")
     users = split.transactions.filter(F.col("customer_id").isNotNull()).select("customer_id")
     return TS.route_cold_start(users, ranked, model, k)
 
@@ -499,18 +576,26 @@ def scored_items(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def batch_recommendations(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer asks, some for too many articles; lists are flattened for the comparison."""
+    """Every customer asks, some for too many articles, some twice; lists are flattened for the comparison."""
     top_n = (1 + F.col("c_custkey") % 60).cast("int")
     requests = X.table(spark, sf, "customer").select(
-        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("customer_id"), top_n.alias("top_n")
+        "c_custkey",
+        F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("customer_id"),
+        top_n.alias("top_n"),
+        F.lit("sized").alias("request"),
+    )
+    again = requests.filter(F.col("c_custkey") % 10 == 0).withColumns(
+        {"top_n": F.lit(None).cast("int"), "request": F.lit("plain")}
     )
+    requests = requests.unionByName(again).drop("c_custkey")
     good, _ = TS.split_requests(requests)
     split = _split(spark, sf, cold=True)
     model = P.PopularityModel.fit(split.train)
-    ranked = written(model.recommend(split.train.select("customer_id"), S.MAX_TOP_N), "ranked")
+    ranked = written(_by_article(model.recommend(split.train.select("customer_id"), S.MAX_TOP_N)), "ranked")
     response = TS.batch_response(good, TS.route_cold_start(good, ranked, model, S.MAX_TOP_N))
-    return response.select("customer_id", "source", F.posexplode("recommendations").alias("position", "item")).select(
-        "customer_id", "source", "position", "item.article_id", "item.score"
+    items = F.posexplode("recommendations").alias("position", "item")
+    return response.select("customer_id", "request", "source", items).select(
+        "customer_id", "request", "source", "position", "item.article_id", "item.score"
     )
 
 
@@ -527,11 +612,27 @@ def user_item_confidence(spark: SparkSession, sf: str) -> DataFrame:
     return A.user_item_confidence(_split(spark, sf).train)
 
 
+@query
+def candidate_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates by small integer factors, hence with many ties, from one block of articles and from several."""
+    split = _split(spark, sf)
+    given = A.ALSInput.of(split.train)
+    c, p = F.col("customer_id").cast("long"), F.col("article_id").cast("long")
+    customers = given.users.withColumn("features", F.array(c % 3, c % 5 - 2, F.lit(1)).cast("array<float>"))
+    factors = F.array(p % 4, p % 7 - 3, p % 2).cast("array<float>")
+    items = given.items.select(F.col("article_idx").alias("id"), factors.alias("features"))
+    n_items = given.items.count()
+    parts = [
+        A.rank_candidates(customers, items, n_items, given.counts, SCORED, block).withColumn("blocks", F.lit(name))
+        for name, block in (("one", n_items), ("several", n_items // 3 + 1))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+# The documented parameters: 64 factors, 40 iterations, up to 300 rounds. Only the patience of early stopping is shorter,
+# as the test tables hold no taste that later rounds could learn.
 TRAINING = PL.TrainingParams(
-    val_start=X.VAL_START,
-    test_start=X.TEST_START,
-    als=A.ALSParams(factors=16, iterations=5),
-    ranker=RankerParams(n_rounds=8, learning_rate=0.1),
+    val_start=X.VAL_START, test_start=X.TEST_START, ranker=LM.RankerParams(n_rounds=300, early_stopping_rounds=15)
 )
 _trained: dict[tuple[str, str], PL.TrainedModels] = {}
 
@@ -580,10 +681,51 @@ def evidence_run(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def als_grid(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
-    grid = [A.ALSParams(factors=8, iterations=3), A.ALSParams(factors=8, iterations=3, alpha=15.0)]
+    grid = [A.ALSParams(), A.ALSParams(alpha=15.0)]
     return A.als_grid(split.train, SP.ground_truth(split, "val"), grid)
 
 
+# What SQL can tell about the learned results, although it cannot learn them.
+
+
+def _list_facts(recs: DataFrame, seen: DataFrame, rank: str) -> DataFrame:
+    bought = seen.select("customer_id", "article_id", F.lit(1).alias("_bought"))
+    return recs.join(bought, ["customer_id", "article_id"], "left").groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n_listed"),
+        F.count_distinct("article_id").alias("n_different"),
+        F.count("_bought").alias("n_bought"),
+        F.max(rank).cast("long").alias("last_rank"),
+        *([F.min("source").alias("source")] if "source" in recs.columns else []),
+    )
+
+
+@query
+def als_candidate_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _list_facts(als_candidates(spark, sf), trained(spark, sf).two_stage.seen, "als_rank")
+
+
+@query
+def two_stage_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _list_facts(two_stage_recommend(spark, sf), trained(spark, sf).two_stage.seen, "rank")
+
+
+@query
+def importance_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return feature_importance(spark, sf).agg(
+        F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 9).alias("total")
+    )
+
+
+@query
+def evidence_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return evidence_run(spark, sf).select("model", "split", "n_users")
+
+
+@query
+def als_grid_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return als_grid(spark, sf).select("config", "factors", "alpha", "n_users")
+
+
 def popular_for_test_customers(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship question: what would popularity, learned before the test window, recommend in it?"""
     return _recommendations(_split(spark, sf), "test", S.EVAL_K)

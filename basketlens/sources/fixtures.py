@@ -72,7 +72,7 @@ def cold_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlay B: rows damaged by rule, for the validators."""
+    """Overlay B: rows damaged by rule, for the validators; some article ids are no numbers."""
     key = F.col("l_orderkey")
     price = (
         F.when(key % 503 == 0, None)
@@ -83,7 +83,10 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select(
         F.when(key % 1021 != 0, F.col("t_dat")).alias("t_dat"),
         F.when(key % 1009 != 0, F.col("customer_id")).alias("customer_id"),
-        F.when((key + F.col("l_linenumber")) % 1013 != 0, F.col("article_id")).alias("article_id"),
+        F.when((key + F.col("l_linenumber")) % 1013 == 0, None)
+        .when(key % 479 == 0, F.concat(F.lit("x"), "article_id"))
+        .otherwise(F.col("article_id"))
+        .alias("article_id"),
         price.cast("decimal(18,2)").alias("price"),
         F.when(key % 487 == 0, 9).otherwise(F.col("sales_channel_id")).alias("sales_channel_id"),
     )

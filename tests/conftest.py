@@ -52,15 +52,3 @@ def lists():  # noqa: ANN201
         return out
 
     return collect
-
-
-@pytest.fixture(scope="session")
-def cyclic_tx(make_tx):  # noqa: ANN001, ANN201
-    """Twelve customers with eight purchases each from ten articles, in a cycle."""
-    day = dt.date(2020, 1, 1)
-    rows = [
-        ((day + dt.timedelta(days=i)).isoformat(), f"u{u:02d}", f"a{(u + i) % 10}", 1.0 + i * 0.1, 1 + i % 2)
-        for u in range(12)
-        for i in range(8)
-    ]
-    return make_tx(rows)

@@ -1,4 +1,4 @@
-"""ALS: id maps, confidence matrix, candidate lists by both scoring ways, save and load, grid."""
+"""ALS: id maps, confidence matrix, candidate lists from one block of articles and from several, save and load, grid."""
 
 from __future__ import annotations
 
@@ -12,7 +12,12 @@ from basketlens.operators import als as A
 from basketlens.operators import features as FE
 from basketlens.operators import split as SP
 
-BUYS = [("u1", "a1"), ("u1", "a2"), ("u1", "a3"), ("u2", "a1"), ("u2", "a3"), ("u3", "a2"), ("u3", "a3"), ("u3", "a4")]
+# Three shoppers at a grocer's: Ada lacks tea, Bob lacks milk and tea, Cid lacks bread.
+BUYS = [
+    *[("ada", a) for a in ("bread", "milk", "salt")],
+    *[("bob", a) for a in ("bread", "salt")],
+    *[("cid", a) for a in ("milk", "salt", "tea")],
+]
 SMALL = A.ALSParams(factors=4, iterations=2, regularization=0.1)
 
 
@@ -31,7 +36,7 @@ def users(spark, *names):
 
 
 def test_confidence_matrix(train):
-    m = A.user_item_confidence(train.unionByName(train.filter("customer_id = 'u1'")), alpha=40.0)
+    m = A.user_item_confidence(train.unionByName(train.filter("customer_id = 'ada'")), alpha=40.0)
     rows = {(r["customer_idx"], r["article_idx"]): r["confidence"] for r in m.collect()}
     assert len(rows) == 8
     assert rows[0, 0] == 81.0
@@ -41,51 +46,68 @@ def test_confidence_matrix(train):
 
 def test_id_index_is_sorted(train):
     rows = {r["article_id"]: r["i"] for r in A.id_index(train, "article_id", "i").collect()}
-    assert rows == {"a1": 0, "a2": 1, "a3": 2, "a4": 3}
+    assert rows == {"bread": 0, "milk": 1, "salt": 2, "tea": 3}
 
 
 def test_sizes(model):
     assert (model.n_users, model.n_items) == (3, 4)
 
 
-@pytest.mark.parametrize("broadcast", [A.BROADCAST_FACTORS, 0])
-def test_recommend(spark, model, lists, broadcast):
-    m = dataclasses.replace(model, broadcast_factors=broadcast)
-    asked = users(spark, "u1", "u2", "u3", "u2", "ghost")
+@pytest.mark.parametrize("block_factors", [A.BLOCK_FACTORS, 8])
+def test_recommend(spark, model, lists, block_factors):
+    m = dataclasses.replace(model, block_factors=block_factors)
+    asked = users(spark, "ada", "bob", "cid", "bob", "stranger")
     unseen = lists(m.recommend(asked, 10), "als_rank")
-    assert unseen.keys() == {"u1", "u2", "u3"}
-    assert unseen["u1"] == ["a4"]
-    assert sorted(unseen["u2"]) == ["a2", "a4"]
-    assert unseen["u3"] == ["a1"]
+    assert {u: sorted(v) for u, v in unseen.items()} == {"ada": ["tea"], "bob": ["milk", "tea"], "cid": ["bread"]}
     everything = lists(m.recommend(asked, 10, exclude_seen=False), "als_rank")
-    assert all(sorted(v) == ["a1", "a2", "a3", "a4"] for v in everything.values())
+    assert all(sorted(v) == ["bread", "milk", "salt", "tea"] for v in everything.values())
     assert all(len(v) == 2 for v in lists(m.recommend(asked, 2, exclude_seen=False), "als_rank").values())
-    ranks = [r["als_rank"] for r in m.recommend(users(spark, "u2"), 10).orderBy("als_rank").collect()]
-    assert ranks == [0, 1]
-
-
-def test_both_ways_agree_on_skewed_histories(spark, make_tx, lists):
-    """One customer bought nearly all of 150 articles, more than the first purchase group holds."""
-    buys = [(f"u{i}", f"a{(7 * i + 3 * j) % 150:03d}") for i in range(25) for j in range(6)]
-    buys += [("hot", f"a{i:03d}") for i in range(140)]
-    m = A.ALSCandidates.fit(make_tx([("2020-01-01", u, a) for u, a in buys]), A.ALSParams(factors=6, iterations=4))
-    asked = m.users
-    narrow = lists(m.recommend(asked, 20), "als_rank")
-    blocks = lists(dataclasses.replace(m, broadcast_factors=0).recommend(asked, 20), "als_rank")
-    assert narrow == blocks
-    assert len(narrow["hot"]) == m.n_items - 140
-    assert all(len(v) == 20 for u, v in narrow.items() if u != "hot")
-    bought = {u: {a for v, a in buys if v == u} for u in narrow}
-    assert all(not bought[u] & set(v) for u, v in narrow.items())
+    rows = m.recommend(users(spark, "bob"), 10).orderBy("als_rank").collect()
+    assert [(r["als_rank"], r["list_size"]) for r in rows] == [(0, 2), (1, 2)]
+
+
+@pytest.mark.parametrize("exclude_seen", [True, False])
+def test_any_number_of_blocks_gives_the_same_lists(spark, make_tx, lists, exclude_seen):
+    """Customers and articles with the same purchases have the same factors, so scores tie; one customer bought
+    nearly everything."""
+    buys = [(f"c{i:02d}", f"g{(i // 2 + 5 * j) % 40 * 2 + twin:03d}") for i in range(24) for j in range(4) for twin in (0, 1)]
+    buys += [("hoarder", f"g{i:03d}") for i in range(75)]
+    m = A.ALSCandidates.fit(make_tx([("2021-03-01", u, a) for u, a in buys]), A.ALSParams(factors=5, iterations=3))
+    whole = lists(m.recommend(m.users, 12, exclude_seen), "als_rank")
+    for items in (1, 7, 33):
+        blocks = dataclasses.replace(m, block_factors=5 * items)
+        assert lists(blocks.recommend(m.users, 12, exclude_seen), "als_rank") == whole
+    if exclude_seen:
+        assert len(whole["hoarder"]) == m.n_items - 75
+        assert all(not {a for v, a in buys if v == u} & set(listed) for u, listed in whole.items())
+
+
+def test_blocks_equal_brute_force(spark):
+    rnd = np.random.default_rng(8)
+    people, goods = rnd.integers(-2, 3, (9, 3)).astype(float), rnd.integers(-2, 3, (31, 3)).astype(float)
+    owned = {(int(c), int(g)) for c, g in zip(rnd.integers(0, 9, 60), rnd.integers(0, 31, 60))} | {(0, g) for g in range(31)}
+    customers = spark.createDataFrame(
+        [(f"p{i}", i, f.tolist()) for i, f in enumerate(people)], "customer_id string, customer_idx int, features array<float>"
+    )
+    items = spark.createDataFrame([(i, f.tolist()) for i, f in enumerate(goods)], "id int, features array<float>")
+    bought = spark.createDataFrame(sorted(owned), "customer_idx int, article_idx int")
+    want = []
+    for c in range(9):
+        left = [g for g in range(31) if (c, g) not in owned]
+        left.sort(key=lambda g: (-people[c] @ goods[g], g))
+        want += [(f"p{c}", g, n, len(left[:6])) for n, g in enumerate(left[:6])]
+    for block in (31, 30, 4):
+        got = A.rank_candidates(customers, items, 31, bought, 6, block).drop("model_score").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
 
 
 def test_ties_are_cut_by_article():
-    batch = pd.DataFrame({"customer_id": ["u"], "features": [[1.0]], "bought": [np.array([2])]})
-    items = np.array([[1.0], [2.0], [9.0], [1.0], [1.0]], dtype=np.float32)
-    out = A.rank_customers(batch, items, 3)
-    assert out["article_idx"].tolist() == [1, 0, 3]
-    assert out["als_rank"].tolist() == [0, 1, 2]
-    assert len(A.rank_customers(batch, items, 50)) == 4
+    batch = pd.DataFrame({"customer_id": ["u", "v"], "features": [[1.0], [0.0]], "bought": [np.array([2]), None]})
+    items = np.array([[1.0], [2.0], [9.0], [1.0], [1.0]])
+    out = A.rank_customers(batch, items, 3, start=10)
+    assert out["article_idx"].tolist() == [11, 10, 13, 10, 11, 12]
+    assert out["als_rank"].tolist() == [0, 1, 2] * 2
+    assert A.rank_customers(batch, items, 50)["list_size"].tolist() == [4] * 4 + [5] * 5
 
 
 def test_same_seed_same_factors(train):
@@ -107,8 +129,8 @@ def test_errors(spark, make_tx, model):
     with pytest.raises(ValueError, match="k must"):
         model.recommend(model.users, 0)
     with pytest.raises(KeyError, match="no ALS factor"):
-        model.require_known(users(spark, "u1", "ghost"))
-    model.require_known(users(spark, "u1"))
+        model.require_known(users(spark, "ada", "stranger"))
+    model.require_known(users(spark, "ada"))
     with pytest.raises(ValueError, match="factors"):
         A.ALSParams(factors=0)
 
@@ -122,14 +144,15 @@ def test_save_and_load(spark, model, lists, tmp_path):
     assert lists(back.recommend(back.users), "als_rank") == lists(model.recommend(model.users), "als_rank")
 
 
-def test_grid(cyclic_tx):
-    split = SP.make_temporal_split(cyclic_tx, "2020-01-07", "2020-01-08")
+def test_grid(make_tx):
+    """Nine customers buy one of six articles a day; on the last day each buys one that is new to them."""
+    steps = [0, 1, 3, 4, 5]
+    days = [(f"2021-05-{3 + d:02d}", f"k{c}", f"w{(c + s) % 6}") for c in range(9) for d, s in enumerate(steps[:-1])]
+    days += [("2021-05-20", f"k{c}", f"w{(c + steps[-1]) % 6}") for c in range(9)] + [("2021-05-25", "k0", "w0")]
+    split = SP.make_temporal_split(make_tx(days), "2021-05-15", "2021-05-24")
     grid = [A.ALSParams(factors=2, iterations=1), A.ALSParams(factors=3, iterations=1, alpha=10.0)]
-    rows = A.als_grid(split.train, SP.ground_truth(split, "val"), grid, k=4).collect()
-    assert {r["config"] for r in rows} == {0, 1}
-    assert all(r["n_users"] == 12 and 0.0 <= r["recall"] <= 1.0 for r in rows)
-    assert rows[0]["recall"] >= rows[1]["recall"]
-    # Every customer has four unseen articles, so four candidates find whatever they buy next.
-    assert all(r["recall"] == 1.0 for r in rows)
+    rows = A.als_grid(split.train, SP.ground_truth(split, "val"), grid, k=2).collect()
+    # Everybody has two unseen articles, and both are listed.
+    assert [(r["config"], r["n_users"], r["recall"], r["hit_rate"]) for r in rows] == [(0, 9, 1.0, 1.0), (1, 9, 1.0, 1.0)]
     with pytest.raises(ValueError, match="grid is empty"):
         A.als_grid(split.train, SP.ground_truth(split, "val"), [])

@@ -8,11 +8,13 @@ from collections import Counter
 import pytest
 
 from basketlens.operators import popularity as P
+from basketlens.plans import numbering as N
 
 
 @pytest.fixture(scope="module")
 def train(make_tx):
-    buys = [("u1", "a1"), ("u1", "a2"), ("u1", "a1"), ("u2", "a1"), ("u2", "a3"), ("u3", "a2")]
+    sold = {"pen": "ann ann ben cas", "ink": "ann dora dora", "map": "ben"}
+    buys = [(who, what) for what, buyers in sold.items() for who in buyers.split()]
     return make_tx([("2020-01-01", u, a) for u, a in buys])
 
 
@@ -27,7 +29,7 @@ def users(spark, *names):
 
 def test_ranking(model):
     rows = model.top_k(3).orderBy("pop_rank").collect()
-    assert [(r["article_id"], r["purchase_count"]) for r in rows] == [("a1", 3), ("a2", 2), ("a3", 1)]
+    assert [(r["article_id"], r["purchase_count"]) for r in rows] == [("pen", 4), ("ink", 3), ("map", 1)]
     assert model.n_articles == 3
     assert model.top_k(100).count() == 3
 
@@ -38,15 +40,28 @@ def test_equal_counts_go_by_article_id(make_tx):
 
 
 def test_recommend(spark, model, lists):
-    asked = users(spark, "u1", "u2", "nobody")
-    assert lists(model.recommend(asked, 10)) == {"u1": ["a3"], "u2": ["a2"], "nobody": ["a1", "a2", "a3"]}
-    assert lists(model.recommend(asked, 2, exclude_seen=False)) == {u: ["a1", "a2"] for u in ("u1", "u2", "nobody")}
-    assert lists(model.recommend(users(spark, "nobody"), 2)) == {"nobody": ["a1", "a2"]}
+    asked = users(spark, "ann", "ben", "cas", "nobody")
+    assert lists(model.recommend(asked, 10)) == {
+        "ann": ["map"],
+        "ben": ["ink"],
+        "cas": ["ink", "map"],
+        "nobody": ["pen", "ink", "map"],
+    }
+    assert lists(model.recommend(asked, 2, exclude_seen=False)) == {
+        u: ["pen", "ink"] for u in ("ann", "ben", "cas", "nobody")
+    }
+    assert lists(model.recommend(users(spark, "nobody"), 2)) == {"nobody": ["pen", "ink"]}
+
+
+def test_long_rankings_are_numbered_in_parallel(model, monkeypatch):
+    monkeypatch.setattr(N, "ORDERED_LIMIT_ROWS", 0)
+    rows = model.top_k(2).orderBy("pop_rank").collect()
+    assert [tuple(r) for r in rows] == [("pen", 4, 1), ("ink", 3, 2)]
 
 
 def test_repeated_and_missing_requests_count_once(spark, model, lists):
-    asked = users(spark, "u1", "u1", None)
-    assert lists(model.recommend(asked, 5)) == {"u1": ["a3"]}
+    asked = users(spark, "ann", "ann", None)
+    assert lists(model.recommend(asked, 5)) == {"ann": ["map"]}
 
 
 def test_errors(spark, make_tx, model):
@@ -55,21 +70,21 @@ def test_errors(spark, make_tx, model):
     with pytest.raises(ValueError, match="article_id"):
         P.PopularityModel.fit(spark.createDataFrame([("u1",)], "customer_id string"))
     with pytest.raises(ValueError, match="k must"):
-        model.recommend(users(spark, "u1"), 0)
+        model.recommend(users(spark, "ann"), 0)
     with pytest.raises(ValueError, match="k must"):
         model.top_k(0)
 
 
 def test_without_customers_everybody_gets_the_global_list(spark, train, lists):
     m = P.PopularityModel.fit(train.select("article_id"))
-    assert lists(m.recommend(users(spark, "u1"), 2)) == {"u1": ["a1", "a2"]}
+    assert lists(m.recommend(users(spark, "ann"), 2)) == {"ann": ["pen", "ink"]}
 
 
 def test_save_and_load(spark, model, lists, tmp_path):
     model.save(str(tmp_path / "pop"))
     back = P.PopularityModel.load(spark, str(tmp_path / "pop"))
     assert back.n_articles == 3
-    assert lists(back.recommend(users(spark, "u1", "x"), 5)) == lists(model.recommend(users(spark, "u1", "x"), 5))
+    assert lists(back.recommend(users(spark, "ann", "x"), 5)) == lists(model.recommend(users(spark, "ann", "x"), 5))
 
 
 @pytest.mark.parametrize(("prefix_rows", "chunk"), [(10_000, 4096), (8, 7), (1, 4096)])

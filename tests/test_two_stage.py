@@ -171,6 +171,8 @@ def test_retrain_exports_only_past_the_gate(spark, tx, dimensions, tmp_path):
     assert spark.read.json(f"{out}/eval_report").count() == 6
     meta = B.read_json(spark, f"{out}/ranker_meta")
     assert meta["n_rows"] == meta["n_positive"] + meta["n_negative"]
+    assert meta["n_transactions"] == tx.count()
+    assert len(meta["feature_importance"]) == 15
 
 
 def test_retrain_stops_on_hard_data_errors(tx, dimensions, tmp_path):
