@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.plans.workspace import written
@@ -13,6 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(docs: DataFrame) -> Column:
+    """All columns but ``text`` as one struct, so that none can clash with a column that an operator makes."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+
+
+def put_back(columns: list[str], row: str, text: str | Column = "text") -> list[Column]:
+    """The ``columns`` that were set aside in ``row``, with ``text`` in its place."""
+    text = F.col(text) if isinstance(text, str) else text
+    return [(text if c == "text" else F.col(row).getField(c)).alias(c) for c in columns]
+
+
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of ``n`` positions the smallest position reachable over the pairs (a[i], b[i])."""
     root = np.arange(n)

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.llm.common import put_back, set_aside
 from basketlens.plans.workspace import written
 
 # Line hashes in the rolling hash, its base and its modulus (a prime; the products stay below 2^63).
@@ -124,7 +125,9 @@ def remove_repeated_chunks(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     empty text is one empty line. ``hash_bits`` shortens the chunk hash, to test hashes with unlike texts.
     """
     own = docs.drop("n_lines", "n_chunks", "n_removed")
-    keyed = own.withColumns({"_id": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text")})
+    keyed = own.select(
+        set_aside(own).alias("_row"), "text", F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_mark")
+    )
     part = keyed.where(F.col("_id").isNotNull() & F.col("text").isNotNull())
     rest = keyed.where(F.col("_id").isNull() | F.col("text").isNull())
     gone = repeated_places(part.select("_id", "_mark", "text"), hash_bits)
@@ -136,10 +139,11 @@ def remove_repeated_chunks(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
         F.array_join(F.transform(kept, lambda k: _text(F.get("_chunks", k))), "\n")
     )
     done = chunked.select(
-        *[text.alias("text") if c == "text" else F.col(c) for c in own.columns],
+        *put_back(own.columns, "_row", text),
         F.size("_lines").cast("long").alias("n_lines"),
         n.cast("long").alias("n_chunks"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
     zero = F.lit(0).cast("long")
-    return done.unionByName(rest.select(*own.columns, zero.alias("n_lines"), zero.alias("n_chunks"), zero.alias("n_removed")))
+    counts = [zero.alias(c) for c in ("n_lines", "n_chunks", "n_removed")]
+    return done.unionByName(rest.select(*put_back(own.columns, "_row"), *counts))

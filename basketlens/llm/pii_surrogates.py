@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketlens.llm.common import put_back, set_aside
 from basketlens.plans.workspace import written
 
 # ---- names (fixed values: given names by script and gender, parts of family names by script) -------------------
@@ -393,8 +394,11 @@ def replace_entities(docs: DataFrame, key: bytes, drawn: Callable = surrogate) -
     if not 16 <= len(key) <= 64:
         raise ValueError("the key must have 16 to 64 bytes")
     own = docs.drop("n_entities", "kinds")
-    keyed = own.withColumns(
-        {"text": F.col("text").cast("string"), "_id": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text")}
+    keyed = own.select(
+        set_aside(own).alias("_row"),
+        F.col("text").cast("string").alias("text"),
+        F.col("doc_id").cast("long").alias("_id"),
+        F.xxhash64("text").alias("_mark"),
     )
     rows = keyed.where(F.col("text").isNotNull()).select("_id", "_mark", "text")
     found = written(rows.mapInArrow(_entity_rows, "_id long, _mark long, kind string, canon string"), "entity-rows")
@@ -405,7 +409,8 @@ def replace_entities(docs: DataFrame, key: bytes, drawn: Callable = surrogate) -
     by_doc = written(by_doc.agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("_again")), "again-by-doc")
     there = by_doc.select(F.col("_id").alias("_id2"), F.col("_mark").alias("_mark2"), "_again")
     joined = keyed.join(there, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_mark") == F.col("_mark2")), "left")
-    source = joined.select(*own.columns, "_again")
+    source = joined.select("_row", "text", "_again")
     added = [T.StructField("n_entities", T.LongType()), T.StructField("kinds", T.ArrayType(T.StringType()))]
     schema = T.StructType([*source.drop("_again").schema.fields, *added])
-    return source.mapInArrow(_rewrite(key, drawn), schema)
+    done = source.mapInArrow(_rewrite(key, drawn), schema)
+    return done.select(*put_back(own.columns, "_row"), "n_entities", "kinds")

@@ -187,5 +187,5 @@ def keep_one(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFrame:
     """
     found = near_duplicates(docs, shingle, limit)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    whole = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    whole = docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
     return whole.unionByName(docs.where(F.col("doc_id").isNull()))

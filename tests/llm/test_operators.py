@@ -52,7 +52,8 @@ COLUMNS = "doc_id long, text string, lang string, n_removed long"
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    return spark.createDataFrame(ODD, COLUMNS).withColumns({"score": F.lit(1), "fp": F.lit(2), "shard": F.lit(0)})
+    clashing = "score fp shard pos hash n _id _mark _row _lines _chunks _wanted _gone _again _kept component_id"
+    return spark.createDataFrame(ODD, COLUMNS).withColumns({c: F.lit(i) for i, c in enumerate(clashing.split())})
 
 
 @pytest.fixture(scope="module")
