@@ -321,7 +321,7 @@ def _clean(
                 covered = sum(b - a for a, b in spans)
                 whole = covered > max_coverage * len(words)
                 # A span goes when it alone is long or when spans make up too much of the document.
-                gone = [s for s in spans if whole or s[1] - s[0] > max_words or s[1] - s[0] >= window]
+                gone = [s for s in spans if whole or s[1] - s[0] > max_words]
                 texts.append(_cut(text, gone) if gone else text)
                 keep.append(not (gone and not words_of(texts[-1])))
             place = batch.schema.get_field_index("text")

@@ -235,6 +235,9 @@ def test_passages_are_cut_and_clean_texts_stay(spark, odd, none):
     docs = spark.createDataFrame([(1, f"Before it. {item.upper()}. After, it."), (2, item), (3, "clean text")], "doc_id long, text string")
     out = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items).collect()}
     assert out == {1: "Before it. After, it.", 3: "clean text"}
+    # A limit above the window spares shorter spans, unless they cover too much of the document.
+    spared = decontaminate.decontaminate(docs, items, max_words=1000, max_coverage=1.0)
+    assert spared.exceptAll(docs).count() == 0 and spared.count() == docs.count()
     assert decontaminate.find_contamination(odd, items).where(F.size("spans") > 0).count() == 0
     same = decontaminate.decontaminate(odd, items)
     assert same.columns == odd.columns and same.count() == len(ODD)
