@@ -1,4 +1,4 @@
-"""Line dedup by content-defined chunks of lines, in DataFrame functions only.
+"""Line dedup by content-defined chunks of lines, or by all passages of lines, in DataFrame functions only.
 
 A document's lines are hashed; a rolling hash covers the last ``ROLL`` of these line hashes. A chunk ends after
 a line whose rolling hash is smaller than its neighbours' on both sides. As that depends on a few lines around
@@ -10,10 +10,16 @@ removed elsewhere.
 Only hashes and places are grouped to find repeated chunks. The texts of those, and of no others, are then
 grouped by their bytes. Should a hash have more than one text, its places are decided by the texts themselves.
 What is known of each document grows with the corpus, so it is joined by sorting, never broadcast.
+
+Chunks miss repeated passages that hold few boundaries. Passages are found by overlapping pieces instead: every line
+with the line after it. A line goes when a piece that holds it occurs earlier, so a repeated passage of two or more
+lines grows line by line until the texts differ, wherever it begins or ends.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +72,21 @@ def with_chunks(docs: DataFrame) -> DataFrame:
     return chunked.drop("_hashes", "_roll", "_ends")
 
 
+def with_pairs(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_lines`` and ``_chunks`` as of :func:`with_chunks`: at each line the piece of it and the next.
+
+    A piece of blank lines only is no passage, so it has length 1 like that of the last line.
+    """
+    lines = docs.withColumn("_lines", F.split("text", "\n", -1))
+    n = F.size("_lines")
+
+    def piece(line: Column, i: Column) -> Column:
+        blank = (F.trim(line) == "") & (F.trim(F.get("_lines", i + 1)) == "")
+        return F.struct(i.alias("start"), F.when((i < n - 1) & ~blank, F.lit(2)).otherwise(F.lit(1)).alias("length"))
+
+    return lines.withColumn("_chunks", F.transform("_lines", piece))
+
+
 def _text(chunk: Column) -> Column:
     return F.array_join(F.slice("_lines", chunk["start"] + 1, chunk["length"]), "\n")
 
@@ -86,10 +107,16 @@ def _places(chunked: DataFrame, hash_bits: int) -> DataFrame:
     return rows.where(F.col("hash").isNotNull())
 
 
-def repeated_places(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
-    """(_id, _mark, pos): the chunks to remove from ``docs`` (_id, _mark, text)."""
+def repeated_places(
+    docs: DataFrame, hash_bits: int = 64, cut: Callable[[DataFrame], DataFrame] = with_chunks, apart: int = 1
+) -> DataFrame:
+    """(_id, _mark, pos): the chunks to remove from ``docs`` (_id, _mark, text).
+
+    ``cut`` makes the chunks. In the document that has the first of equal chunks, those less than ``apart`` places
+    after it stay.
+    """
     order = F.struct("_id", "_mark", "pos")
-    places = written(_places(with_chunks(docs), hash_bits), "chunk-places")
+    places = written(_places(cut(docs), hash_bits), "chunk-places")
     known = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     known = written(known.where("n > 1").select("hash", "first"), "repeated-hashes")
     marked = written(places.join(known, "hash"), "marked-places")
@@ -100,7 +127,7 @@ def repeated_places(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     found = F.transform(
         "_wanted", lambda w: F.struct(w["pos"], w["hash"], _text(F.get("_chunks", w["pos"])).alias("chunk"))
     )
-    texts = with_chunks(lined.join(wanted.hint("merge"), ["_id", "_mark"])).select("_id", "_mark", F.inline(found))
+    texts = cut(lined.join(wanted.hint("merge"), ["_id", "_mark"])).select("_id", "_mark", F.inline(found))
     groups = texts.groupBy("hash", "chunk").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
     groups = written(groups, "chunk-texts")
     unlike = groups.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("hash")
@@ -113,7 +140,17 @@ def repeated_places(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
         told_apart = texts.join(unlike, "hash").join(several, ["hash", "chunk"])
         sure = marked.join(unlike, "hash", "left_anti")
         every = sure.select(*every.columns).unionByName(told_apart.select(*every.columns))
-    return every.where(order != F.col("first")).select("_id", "_mark", "pos")
+    elsewhere = (F.col("_id") != F.col("first._id")) | (F.col("_mark") != F.col("first._mark"))
+    return every.where(elsewhere | (F.col("pos") >= F.col("first.pos") + apart)).select("_id", "_mark", "pos")
+
+
+def _parts(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``own`` as (_row, text, _id, _mark): the rows with doc_id and text, and the others."""
+    keyed = own.select(
+        set_aside(own).alias("_row"), "text", F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_mark")
+    )
+    part = keyed.where(F.col("_id").isNotNull() & F.col("text").isNotNull())
+    return part, keyed.where(F.col("_id").isNull() | F.col("text").isNull())
 
 
 def remove_repeated_chunks(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
@@ -125,11 +162,7 @@ def remove_repeated_chunks(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     empty text is one empty line. ``hash_bits`` shortens the chunk hash, to test hashes with unlike texts.
     """
     own = docs.drop("n_lines", "n_chunks", "n_removed")
-    keyed = own.select(
-        set_aside(own).alias("_row"), "text", F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_mark")
-    )
-    part = keyed.where(F.col("_id").isNotNull() & F.col("text").isNotNull())
-    rest = keyed.where(F.col("_id").isNull() | F.col("text").isNull())
+    part, rest = _parts(own)
     gone = repeated_places(part.select("_id", "_mark", "text"), hash_bits)
     by_doc = written(gone.groupBy("_id", "_mark").agg(F.collect_set("pos").alias("_gone")), "removals")
     chunked = with_chunks(part.join(by_doc.hint("merge"), ["_id", "_mark"], "left"))
@@ -147,3 +180,31 @@ def remove_repeated_chunks(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     zero = F.lit(0).cast("long")
     counts = [zero.alias(c) for c in ("n_lines", "n_chunks", "n_removed")]
     return done.unionByName(rest.select(*put_back(own.columns, "_row"), *counts))
+
+
+def remove_repeated_passages(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
+    """``docs`` (doc_id, text, …) without the lines of passages that occur earlier, and two counts.
+
+    A passage is two or more lines, not all blank, that stand in the same order with the same bytes in a document
+    before (smallest doc_id) or farther up in the same one. Every line that goes is still somewhere in the texts.
+    Adds ``n_lines`` and ``n_removed`` (lines removed; columns of these names are replaced). Rows, odd rows and
+    ``hash_bits`` are treated as by :func:`remove_repeated_chunks`.
+    """
+    own = docs.drop("n_lines", "n_removed")
+    part, rest = _parts(own)
+    # Of equal lines in a row the first two stay: what overlaps the first piece is no other occurrence of it.
+    gone = repeated_places(part.select("_id", "_mark", "text"), hash_bits, with_pairs, apart=2)
+    by_doc = written(gone.groupBy("_id", "_mark").agg(F.collect_set("pos").alias("_starts")), "removals")
+    joined = part.join(by_doc.hint("merge"), ["_id", "_mark"], "left").withColumn("_lines", F.split("text", "\n", -1))
+    joined = joined.withColumn("_gone", F.array_union("_starts", F.transform("_starts", lambda i: i + 1)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
+    )
+    done = joined.select(
+        *put_back(own.columns, "_row", text),
+        F.size("_lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+    )
+    counts = [F.lit(0).cast("long").alias(c) for c in ("n_lines", "n_removed")]
+    return done.unionByName(rest.select(*put_back(own.columns, "_row"), *counts))

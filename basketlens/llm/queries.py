@@ -48,6 +48,11 @@ def op2_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return line_chunks.remove_repeated_chunks(docs)
 
 
+def op2_line_passages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return line_chunks.remove_repeated_passages(docs)
+
+
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     model = language_id.fit(docs.where(~language_id.held_out()))
@@ -132,6 +137,7 @@ def llm_queries() -> dict[str, Query]:
     own = [
         op1_pii_surrogates,
         op2_line_chunks,
+        op2_line_passages,
         op3_language_id,
         op4_warc_zstd,
         op5_decontaminate,

@@ -138,6 +138,33 @@ def test_line_dedup_of_odd_rows(odd, none):
     assert line_chunks.remove_repeated_chunks(none).count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 6])
+def test_short_passages_between_differing_lines_are_removed_whole(spark, n):
+    shared = [f"{s} {i} " + "a line of more than enough words to count for fifty " * 3 for s in "xy" for i in range(n)]
+    one, two = shared[:n], shared[n:]
+    own = [f"own line {i} that no other document has" for i in range(12)]
+    texts = [own[:2] + one + own[2:4], own[4:5] + one + own[5:6] + two, own[6:9] + two + own[9:10] + one + own[10:]]
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for bits in (64, 2):
+        out = by_id(line_chunks.remove_repeated_passages(docs, hash_bits=bits))
+        assert out[0]["text"] == "\n".join(texts[0])
+        assert out[1]["text"].split("\n") == own[4:6] + two
+        assert out[2]["text"].split("\n") == own[6:]
+        assert [out[i]["n_removed"] for i in range(3)] == [0, n, 2 * n]
+    staged = by_id(corpus_pipeline.without_repeated_lines(spark, docs, SF))
+    assert {k: r["text"] for k, r in staged.items()} == {k: r["text"] for k, r in out.items()}
+
+
+def test_passages_within_a_document_and_odd_rows(spark, odd, none):
+    texts = ["a\na\na", "b\nb\nb\nb\nc", "d\n\n\ne\n\n\nf", "d\ng\nd\ng"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = by_id(line_chunks.remove_repeated_passages(docs))
+    assert [out[i]["text"] for i in range(4)] == ["a\na\na", "b\nb\nc", "d\n\n\ne\n\n\nf", "d\ng"]
+    rows = line_chunks.remove_repeated_passages(odd)
+    assert sorted(str((r["doc_id"], r["text"])) for r in rows.collect()) == sorted(str(r[:2]) for r in ODD)
+    assert line_chunks.remove_repeated_passages(none).count() == 0
+
+
 # ---- 3 ----------------------------------------------------------------------------------------------------------
 
 
