@@ -196,6 +196,17 @@ def test_language_of_odd_rows(odd, none):
     assert {r["lang_pred"] for r in language_id.identify(odd, empty).collect()} == {"und"}
 
 
+def test_language_stage_keeps_short_texts_and_drops_unknown_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    more = [(-1, "Avec."), (-2, "De."), (-3, "Re."), (-4, "xqzv jkwx qqzz kvvq wxjz"), (-5, "..."), (-6, None)]
+    more = spark.createDataFrame(more, "doc_id long, text string").withColumn("lang", F.lit(None).cast("string"))
+    docs = docs.unionByName(more)
+    kept = by_id(corpus_pipeline.by_language(spark, docs, SF))
+    found = by_id(language_id.identify(docs, language_id.fit(docs)))
+    assert min(found[i]["score"] for i in (-1, -2, -3)) < corpus_pipeline.LEAST_SCORE
+    assert sorted(i for i in kept if i < 0) == [-3, -2, -1]
+
+
 # ---- 4 ----------------------------------------------------------------------------------------------------------
 
 
