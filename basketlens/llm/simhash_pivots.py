@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import connected_components, local_roots
+from basketlens.llm.common import connected_components, local_roots, put_back, set_aside
 from basketlens.plans.workspace import written
 
 SEED = 42
@@ -189,3 +189,28 @@ def keep_one(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFrame:
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     whole = docs.join(kept, docs["doc_id"].cast("long") == kept["_kept"], "left_semi")
     return whole.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def keep_single(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFrame:
+    """One row of each group of ``docs`` (doc_id, text, …), with all columns.
+
+    It has the smallest doc_id of the group; of rows that share it, the one with the smallest hash of its columns.
+    Rows without doc_id take part with a number made of their text, above 2^62; they are kept only if none of their
+    group has a smaller doc_id.
+    """
+    made = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    keyed = docs.select(
+        set_aside(docs).alias("_row"), "text", F.coalesce(F.col("doc_id").cast("long"), made).alias("doc_id"),
+        F.xxhash64(*hashed).alias("_mark"),
+    )
+    found = near_duplicates(keyed, shingle, limit)
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    copies = keyed.groupBy("doc_id", "_mark").agg(F.count(F.lit(1)).alias("n"))
+    first = copies.groupBy("doc_id").agg(F.min(F.struct("_mark", "n")).alias("first"))
+    chosen = written(kept.join(first, "doc_id").select("doc_id", "first._mark", "first.n"), "kept")
+    once = keyed.join(chosen.where("n = 1"), ["doc_id", "_mark"], "left_semi")
+    if not (again := chosen.where("n > 1")).isEmpty():
+        equal = keyed.join(again, ["doc_id", "_mark"], "left_semi")
+        once = once.unionByName(equal.dropDuplicates(["doc_id", "_mark"]))
+    return once.select(*put_back(docs.columns, "_row"))

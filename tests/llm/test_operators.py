@@ -347,6 +347,20 @@ def test_fingerprints_and_groups_of_odd_rows(odd, none):
     assert simhash_pivots.near_duplicates(none).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_ids(spark, odd, none):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(5, " ".join(words), 1), (5, " ".join(words), 1), (5, " ".join(words), 2), (7, " ".join(words), 1)]
+    rows += [(None, " ".join(words), 1), (None, "only without id", 1), (None, "only without id", 1), (None, "Only Without id", 2)]
+    rows += [(9, "other text altogether", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    out = corpus_pipeline.without_near_duplicates(spark, docs, SF).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == ["5", "9", "None"] and {tuple(r) for r in out} <= set(rows)
+    kept = simhash_pivots.keep_single(odd)
+    assert kept.columns == odd.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "5", "6", "7", "None"]
+    assert simhash_pivots.keep_single(none).count() == 0
+
+
 def test_components_equal_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.integers(-(2**63), 2**63 - 1, 40)
