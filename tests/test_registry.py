@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from basketlens import schemas as S
+from basketlens.operators.lambdamart import RankerParams
 from basketlens.registry import queries as Q
 from basketlens.registry.oracle import all_oracles
 from basketlens.registry.queries import all_queries
@@ -48,6 +49,10 @@ def test_query_equals_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
+def test_learned_queries_are_as_patient_as_the_library():
+    assert Q.TRAINING.ranker.early_stopping_rounds == RankerParams().early_stopping_rounds == 50
+
+
 def test_entry_gives_lists_for_known_customers(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["customer_id", "article_id", "rank"]
