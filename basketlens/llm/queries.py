@@ -17,6 +17,7 @@ from basketlens.llm import (
     pii_surrogates,
     pivot_permutation,
     simhash_pivots,
+    spelling_kdtree,
     url_vocabulary,
     virtual_slots,
     warc_zstd,
@@ -133,6 +134,11 @@ def op10_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_spelling_kdtree(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return spelling_kdtree.group_variants(spelling_kdtree.word_counts(docs, damage=True))
+
+
 def llm_queries() -> dict[str, Query]:
     own = [
         op1_pii_surrogates,
@@ -146,5 +152,6 @@ def llm_queries() -> dict[str, Query]:
         op8_url_vocabulary,
         op9_pivot_permutation,
         op10_virtual_slots,
+        op13_spelling_kdtree,
     ]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
