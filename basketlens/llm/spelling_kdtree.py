@@ -425,14 +425,17 @@ def near_words(
 
     Words are near if they differ by exactly one inserted, deleted or replaced letter; letters are code points U+0041 to
     U+00FF. ``near`` is the near word with the largest ``n``, the smallest in code-point order among several. Words without any
-    have ``n_near`` 0 and nulls. ``sample_words`` words at most make the upper tree; all words are in it.
+    have ``n_near`` 0 and nulls. About ``sample_words`` words make the upper tree; all words are in it.
     """
-    sample = words.orderBy(F.xxhash64("word"), "word").limit(sample_words).select("word").toPandas()["word"].tolist()
-    trees = upper_trees(sample, words.count(), cell_words)
+    n_words = words.count()
+    # The words with the smallest hashes, about ``sample_words`` of them.
+    share = F.lit(int(2**31 * min(1.0, sample_words / max(1, n_words))))
+    sample = words.where(F.pmod(F.xxhash64("word"), F.lit(2**31)) < share).select("word").toPandas()["word"].tolist()
+    trees = upper_trees(sorted(sample), n_words, cell_words)
     schema = "length int, cell int, kind int, word string, n long"
     # A pass over the vocabulary that deals a word to its cells costs less than a table of what was dealt.
     dealt = words.select("word", "n").mapInArrow(_dealt(trees), schema)
-    sizes = dealt.groupBy("length", "cell").agg(F.count(F.lit(1)).alias("size"))
+    sizes = dealt.groupBy("length", "cell").agg(F.count_if(F.col("kind") == _OWN).alias("size"))
     large = written(sizes.where(F.col("size") > max_cell_words).select("length", "cell"), "large-cells")
     small = dealt if large.isEmpty() else dealt.join(large, ["length", "cell"], "left_anti")
     keys = ["length", "cell"]
