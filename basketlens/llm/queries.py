@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from basketlens.llm import (
+    conversation_repair,
     decontaminate,
     language_id,
     line_chunks,
@@ -23,7 +24,7 @@ from basketlens.llm import (
     warc_zstd,
 )
 from basketlens.llm.common import table
-from basketlens.plans.workspace import scratch_path
+from basketlens.plans.workspace import scratch_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,6 +135,28 @@ def op10_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_four_russians(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations")
+    rows = written(conversation_repair.repair(conversation_repair.damaged(conversations)), "repaired")
+    span = F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn")
+    counts = rows.groupBy("conv_id").agg(
+        F.coalesce(span, F.lit(0)).cast("long").alias("gaps"),
+        *[F.count_if(F.col("fault") == f).alias(f) for f in ("blank", "duplicate", "truncated")],
+        F.count_if("illegal").alias("illegal"),
+        F.sum("cost").cast("long").alias("cost"),
+    )
+    found = counts.join(conversation_repair.audits(rows).withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv")))
+    asked = conversations.select(F.col("conv_id").alias("asked")).distinct()
+    joined = asked.join(found.drop("_conv"), F.col("asked").eqNullSafe(F.col("conv_id")), "left")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return joined.select(
+        F.col("asked").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_spelling_kdtree(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return spelling_kdtree.group_variants(spelling_kdtree.word_counts(docs, damage=True))
@@ -152,6 +175,7 @@ def llm_queries() -> dict[str, Query]:
         op8_url_vocabulary,
         op9_pivot_permutation,
         op10_virtual_slots,
+        op12_four_russians,
         op13_spelling_kdtree,
     ]
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
