@@ -17,6 +17,7 @@ from basketlens.llm import (
     packing,
     pii_surrogates,
     pivot_permutation,
+    repeat_intervals,
     simhash_pivots,
     spelling_kdtree,
     url_vocabulary,
@@ -135,6 +136,12 @@ def op10_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_repeat_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    cut = repeat_intervals.remove_repeats(docs)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_four_russians(spark: SparkSession, sf: str) -> DataFrame:
     conversations = table(spark, sf, "conversations")
     rows = written(conversation_repair.repair(conversation_repair.damaged(conversations)), "repaired")
@@ -175,6 +182,7 @@ def llm_queries() -> dict[str, Query]:
         op8_url_vocabulary,
         op9_pivot_permutation,
         op10_virtual_slots,
+        op11_repeat_intervals,
         op12_four_russians,
         op13_spelling_kdtree,
     ]
