@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,16 +68,35 @@ class TrainedModels:
         return self.two_stage.popularity
 
 
-def train_models(tx: DataFrame, params: TrainingParams | None = None) -> TrainedModels:
-    """Fit popularity, ALS and the ranker. Raw transactions are aggregated once, into ``stats``."""
+@dataclass
+class FirstStage:
+    """Everything but the ranker: the split, the purchase counts, and the recommender without its second stage."""
+
+    split: TemporalSplit
+    two_stage: TwoStageRecommender
+
+    @property
+    def als(self) -> ALSCandidates:
+        return self.two_stage.als
+
+
+def train_first_stage(tx: DataFrame, params: TrainingParams | None = None) -> FirstStage:
+    """Fit popularity, ALS and the feature tables. Raw transactions are aggregated once, into ``stats``."""
     params = params or TrainingParams()
     split = make_temporal_split(tx, params.val_start, params.test_start)
     stats = written(interaction_stats(split.train), "stats")
     popularity = PopularityModel.fit(split.train, stats)
     als = ALSCandidates.fit(split.train, params.als, stats=stats)
     two_stage = TwoStageRecommender(als, None, popularity, params.n_candidates).fit_features(split.train, stats)
+    return FirstStage(split, two_stage)
+
+
+def train_ranker(first: FirstStage, params: TrainingParams | None = None) -> TrainedModels:
+    """Fit the second stage on labelled candidates of the validation window's known customers."""
+    params = params or TrainingParams()
+    split, two_stage = first.split, first.two_stage
     learners = sample_users(known_users(split, "val"), params.max_train_users, params.seed)
-    candidates = written(als.recommend(learners, params.n_candidates), "candidates")
+    candidates = written(two_stage.als.recommend(learners, params.n_candidates), "candidates")
     dataset = ranking_dataset(
         candidates,
         ground_truth(split, "val"),
@@ -87,8 +106,13 @@ def train_models(tx: DataFrame, params: TrainingParams | None = None) -> Trained
         seed=params.seed,
     )
     dataset = written(ranker_group_split(written(dataset, "ranking")), "ranking-split")
-    two_stage.ranker = fit_lambdamart(dataset, params.ranker)
-    return TrainedModels(split, two_stage, dataset)
+    ranked = replace(two_stage, ranker=fit_lambdamart(dataset, params.ranker))
+    return TrainedModels(split, ranked, dataset)
+
+
+def train_models(tx: DataFrame, params: TrainingParams | None = None) -> TrainedModels:
+    """Both stages, one after the other."""
+    return train_ranker(train_first_stage(tx, params), params)
 
 
 def compare_trained(models: TrainedModels, params: TrainingParams) -> DataFrame:

@@ -631,23 +631,31 @@ def candidate_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 # The documented parameters: 64 factors, 40 iterations, up to 300 rounds, a patience of 50.
 TRAINING = PL.TrainingParams(val_start=X.VAL_START, test_start=X.TEST_START, ranker=LM.RankerParams(n_rounds=300))
+_first_stage: dict[tuple[str, str], PL.FirstStage] = {}
 _trained: dict[tuple[str, str], PL.TrainedModels] = {}
 
 
+def first_stage(spark: SparkSession, sf: str) -> PL.FirstStage:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _first_stage:
+        _first_stage[key] = PL.train_first_stage(X.cold_transactions(spark, sf), TRAINING)
+    return _first_stage[key]
+
+
 def trained(spark: SparkSession, sf: str) -> PL.TrainedModels:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _trained:
-        _trained[key] = PL.train_models(X.cold_transactions(spark, sf), TRAINING)
+        _trained[key] = PL.train_ranker(first_stage(spark, sf), TRAINING)
     return _trained[key]
 
 
-def _buyers(models: PL.TrainedModels) -> DataFrame:
+def _buyers(models: PL.TrainedModels | PL.FirstStage) -> DataFrame:
     return models.split.transactions.select("customer_id").distinct()
 
 
 @query
 def als_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    models = trained(spark, sf)
+    models = first_stage(spark, sf)
     return models.als.recommend(_buyers(models))
 
 
@@ -698,7 +706,7 @@ def _list_facts(recs: DataFrame, seen: DataFrame, rank: str) -> DataFrame:
 
 @query
 def als_candidate_facts(spark: SparkSession, sf: str) -> DataFrame:
-    return _list_facts(als_candidates(spark, sf), trained(spark, sf).two_stage.seen, "als_rank")
+    return _list_facts(als_candidates(spark, sf), first_stage(spark, sf).two_stage.seen, "als_rank")
 
 
 @query

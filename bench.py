@@ -94,6 +94,7 @@ def main() -> None:
         ),
     )
     two.ranker = timed(f"train_ranker_{params.ranker.n_rounds}_rounds", lambda: fit_lambdamart(dataset, params.ranker))
+    history = two.ranker.history
     buyers = split.transactions.select("customer_id").distinct()
     timed("serve_all_customers", lambda: consume(two.recommend(buyers)))
     timed("compare_trained", lambda: consume(PL.compare_trained(PL.TrainedModels(split, two, dataset), params)))
@@ -105,6 +106,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "ranker": {"rounds_fitted": max(len(history), two.ranker.best_iteration), "best_round": two.ranker.best_iteration},
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

@@ -69,7 +69,7 @@ def toy(spark):
     return spark.createDataFrame(rows, schema)
 
 
-PARAMS = L.RankerParams(n_rounds=12, learning_rate=0.3, min_leaf_rows=1, max_depth=3)
+PARAMS = L.RankerParams(n_rounds=12, learning_rate=0.3, min_leaf_rows=1, leaves=8)
 
 
 @pytest.fixture(scope="module")
@@ -121,24 +121,73 @@ def test_scores_survive_the_periodic_write(toy, monkeypatch, model):
     assert again.best_iteration == model.best_iteration
 
 
-def test_ensemble_score_is_the_sum_of_trees(toy, model):
-    scored = model.score(toy)
-    total = scored.select("score", *S.FEATURE_COLS).limit(5).collect()
-    for r in total:
-        vector = L.VectorAssembler(inputCols=S.FEATURE_COLS, outputCol="f")
-        one = vector.transform(toy.sparkSession.createDataFrame([r])).first()["f"]
-        parts = sum(t.predict(one) for t in model.ensemble.trees)
-        assert r["score"] == pytest.approx(parts * PARAMS.learning_rate)
+def test_score_is_the_sum_of_trees(toy, model):
+    """Every row, followed down each tree by its values."""
+    for r in model.score(toy).limit(25).collect():
+        total = 0.0
+        for tree in model.trees:
+            node = 0
+            while tree.left[node] != node:
+                bounds = [*model.edges[tree.feature[node]], float("inf")]
+                below = r[model.feature_cols[tree.feature[node]]] <= bounds[tree.cut[node]]
+                node = tree.left[node] if below else tree.right[node]
+            total += tree.value[node]
+        assert r["score"] == pytest.approx(total * PARAMS.learning_rate)
+
+
+def test_first_tree_has_the_best_split_and_newton_values(toy):
+    """The first split against all possible ones, and each leaf against the gradients of its rows."""
+    params = L.RankerParams(n_rounds=1, learning_rate=1.0, min_leaf_rows=1, leaves=8)
+    noise = toy.drop("held_out").withColumn("item_avg_price", F.col("user_total_spend"))
+    model = L.fit_lambdamart(noise, params)
+    rows = noise.join(L.lambda_gradients(noise, params), ["customer_id", "article_id"]).toPandas()
+    tree = model.trees[0]
+    assert tree.n_leaves == 8
+
+    def worth(part):
+        return part["lam"].sum() ** 2 / part["weight"].sum()
+
+    gains = {}
+    for f, name in enumerate(S.FEATURE_COLS):
+        for cut, bound in enumerate(model.edges[f]):
+            below = rows[name] <= bound
+            if min(rows[below]["weight"].sum(), rows[~below]["weight"].sum()) >= 1e-3:
+                gains[f, cut] = worth(rows[below]) + worth(rows[~below]) - worth(rows)
+    assert gains[tree.feature[0], tree.cut[0]] == pytest.approx(max(gains.values()))
+    assert tree.gain[0] == pytest.approx(max(gains.values()))
+    scored = model.score(noise).select("customer_id", "article_id", "score").toPandas()
+    both = rows.merge(scored, on=["customer_id", "article_id"])
+    for score, part in both.groupby("score"):
+        assert score == pytest.approx(part["lam"].sum() / part["weight"].sum())
+
+
+def test_aggregated_sums_give_the_same_trees(toy, monkeypatch, model):
+    """Sums added by Spark instead of the driver, in more tasks and blocks."""
+    monkeypatch.setattr(L, "DRIVER_SUMS", 0)
+    monkeypatch.setattr(L, "ROWS_PER_TASK", 90)
+    monkeypatch.setattr(L, "ROWS_PER_BLOCK", 20)
+    again = L.fit_lambdamart(toy, PARAMS)
+    assert [t.feature for t in again.trees] == [t.feature for t in model.trees]
+    assert [t.cut for t in again.trees] == [t.cut for t in model.trees]
+    assert again.history == pytest.approx(model.history)
+
+
+def test_missing_features_count_as_smallest(toy, model):
+    names = [c for c in S.FEATURE_COLS if c != "als_rank"]
+    one = toy.filter("customer_id = 'u01'")
+    missing = one.withColumns({c: F.lit(None).cast("float") for c in names})
+    least = one.withColumns({c: F.lit(-1e9).cast("float") for c in names})
+    assert [r["score"] for r in model.score(missing).collect()] == [r["score"] for r in model.score(least).collect()]
 
 
 def test_early_stopping_and_best_round(toy):
     params = L.RankerParams(
-        n_rounds=30, learning_rate=1.0, min_leaf_rows=1, max_depth=3, early_stopping_rounds=2
+        n_rounds=30, learning_rate=1.0, min_leaf_rows=1, leaves=8, early_stopping_rounds=2
     )
     m = L.fit_lambdamart(toy, params)
     assert len(m.history) < 30
     assert m.best_iteration == int(np.argmax(m.history)) + 1
-    assert m.ensemble.getNumTrees == m.best_iteration
+    assert len(m.trees) == m.best_iteration
 
 
 def test_without_hold_out_all_rounds_run(toy):

@@ -36,7 +36,7 @@ PARAMS = PL.TrainingParams(
     n_candidates=15,
     max_negatives=8,
     als=A.ALSParams(factors=4, iterations=3),
-    ranker=L.RankerParams(n_rounds=3, learning_rate=0.3, min_leaf_rows=2, max_depth=3),
+    ranker=L.RankerParams(n_rounds=3, learning_rate=0.3, min_leaf_rows=2, leaves=8),
 )
 
 
