@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Accumulator
+from pyspark.core.broadcast import Broadcast
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens import schemas as S
@@ -19,8 +21,10 @@ from basketlens.plans.workspace import shared_dir, written
 
 # Item factors are broadcast in blocks of at most this many 32-bit numbers (64 MB).
 BLOCK_FACTORS = 16_000_000
-# Scores held at a time by one task while it ranks a batch of customers.
+# Articles whose scores are bounded together, scores held at a time by a task, and customers for which it fetches the blocks.
+SLICE_ITEMS = 4096
 _SCORES_PER_STEP = 2_000_000
+_CUSTOMERS_PER_PASS = 10_000
 # Pairs per factor block of the library's solver.
 _PAIRS_PER_BLOCK = 4_000_000
 
@@ -153,7 +157,13 @@ class ALSCandidates:
         if unknown is not None:
             raise KeyError(f"no ALS factor for customer {unknown['customer_id']!r}")
 
-    def recommend(self, users: DataFrame, k: int = S.N_CANDIDATES, exclude_seen: bool = True) -> DataFrame:
+    def recommend(
+        self,
+        users: DataFrame,
+        k: int = S.N_CANDIDATES,
+        exclude_seen: bool = True,
+        counts: SearchCounts | None = None,
+    ) -> DataFrame:
         """Top ``k`` per known customer.
 
         Returns (customer_id, article_id, als_rank from 0, list_size, model_score). Customers without training
@@ -164,7 +174,7 @@ class ALSCandidates:
         customers = wanted.join(self.model.userFactors.withColumnRenamed("id", "customer_idx"), "customer_idx")
         bought = self.counts if exclude_seen else None
         block_items = max(1, self.block_factors // self.model.rank)
-        ranked = rank_candidates(customers, self.model.itemFactors, self.n_items, bought, k, block_items)
+        ranked = rank_candidates(customers, self.model.itemFactors, bought, k, block_items, counts)
         return lookup_join(ranked, self.items, "article_idx", "inner").select(
             "customer_id", "article_id", "als_rank", "list_size", "model_score"
         )
@@ -185,98 +195,176 @@ class ALSCandidates:
         return cls(params, ALSModel.load(f"{path}/model"), *tables)
 
 
+@dataclass
+class SearchCounts:
+    """How many slices of articles were scored for a customer, and how many were skipped; repeated tasks count again."""
+
+    scored: Accumulator
+    skipped: Accumulator
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> SearchCounts:
+        return cls(spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0))
+
+    @property
+    def skipped_share(self) -> float:
+        return self.skipped.value / max(1, self.scored.value + self.skipped.value)
+
+
+@dataclass
+class Slice:
+    """Some articles in the order of their indices, and the largest norm among them."""
+
+    ids: np.ndarray
+    factors: np.ndarray
+    norm: float
+
+
+def norm_slices(ids: np.ndarray, factors: np.ndarray, size: int) -> list[Slice]:
+    """Articles cut into slices of falling norms."""
+    norms = np.linalg.norm(factors.astype(np.float64), axis=1)
+    order = np.lexsort((ids, -norms))
+    cuts = (order[at : at + size] for at in range(0, len(order), size))
+    by_id = (cut[np.argsort(ids[cut])] for cut in cuts)
+    return [Slice(ids[cut], factors[cut], float(norms[cut].max())) for cut in by_id]
+
+
 def rank_candidates(
-    customers: DataFrame, items: DataFrame, n_items: int, bought: DataFrame | None, k: int, block_items: int
+    customers: DataFrame,
+    items: DataFrame,
+    bought: DataFrame | None,
+    k: int,
+    block_items: int,
+    counts: SearchCounts | None = None,
 ) -> DataFrame:
     """The first ``k`` articles of every customer by the product of factors; equal products go by article index.
 
-    ``customers`` are (customer_id, customer_idx, features), ``items`` (id, features) with ids below ``n_items``,
-    ``bought`` (customer_idx, article_idx) pairs to leave out. The articles are cut into blocks of ``block_items``; a
-    block's factors are broadcast, and each customer's first ``k`` of the block are found with its bought articles
-    masked, so no list is longer than a block. The lists of several blocks are stored one after the
-    other and merged; any number of blocks gives the same lists.
+    ``customers`` are (customer_id, customer_idx, features), ``items`` (id, features), ``bought`` (customer_idx, article_idx)
+    pairs to leave out. Articles are ordered by the norm of their factors and cut into blocks of ``block_items``, which tasks
+    fetch one after the other. A task keeps the best ``k`` of each of its customers so far; no product exceeds that of the
+    norms, so a slice of articles is skipped for a customer whose k-th score is above that bound, and the blocks after it are
+    not even fetched when nobody needs them. Any number of blocks gives the same lists.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    starts = range(0, max(1, n_items), block_items)
-    if len(starts) == 1:
-        return _rank_block(customers, items, n_items, bought, k, 0)
-    customers = written(customers, "als-wanted")
-    lists = None
-    for start in starts:
-        width = min(block_items, n_items - start)
-        part = written(_rank_block(customers, items, width, bought, k, start), "als-block")
-        lists = part if lists is None else lists.unionByName(part)
-    group = Window.partitionBy("customer_id")
-    order = group.orderBy(F.desc("model_score"), "article_idx")
-    first = lists.withColumn("als_rank", F.row_number().over(order) - 1).filter(F.col("als_rank") < k)
-    return first.withColumn("list_size", F.count(F.lit(1)).over(group).cast("int")).select(*lists.columns)
-
-
-def _rank_block(
-    customers: DataFrame, items: DataFrame, width: int, bought: DataFrame | None, k: int, start: int
-) -> DataFrame:
-    """The first ``k`` of the articles ``start`` to ``start + width`` of every customer."""
-    inside = items.filter((F.col("id") >= start) & (F.col("id") < start + width)).toPandas()
-    table = np.zeros((width, len(inside["features"].iloc[0]) if len(inside) else 1), dtype=np.float32)
-    if len(inside):
-        table[inside["id"].to_numpy(dtype=np.int64) - start] = np.stack(inside["features"].to_numpy())
-    shared = customers.sparkSession.sparkContext.broadcast(table)
+    blocks, bounds = _item_blocks(items, block_items)
     if bought is None:
         rows = customers.withColumn("bought", F.array().cast("array<int>"))
     else:
-        place = F.col("article_idx") - start
-        here = bought.filter((place >= 0) & (place < width)).groupBy("customer_idx")
-        rows = customers.join(here.agg(F.collect_list(place).alias("bought")), "customer_idx", "left")
+        owned = bought.groupBy("customer_idx").agg(F.collect_list(F.col("article_idx").cast("int")).alias("bought"))
+        rows = customers.join(owned, "customer_idx", "left")
+
+    def fetched() -> Iterator[tuple[float, Callable[[], list[Slice]]]]:
+        for bound, block in zip(bounds, blocks):
+            yield bound, lambda block=block: _fetch(block)
 
-    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        factors = shared.value.astype(np.float64)
-        step = max(1, _SCORES_PER_STEP // len(factors))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
         for batch in batches:
-            for at in range(0, len(batch), step):
-                yield rank_customers(batch.iloc[at : at + step], factors, k, start)
+            waiting.append(batch)
+            if sum(map(len, waiting)) >= _CUSTOMERS_PER_PASS:
+                yield rank_customers(pd.concat(waiting), fetched(), k, counts)
+                waiting = []
+        if waiting:
+            yield rank_customers(pd.concat(waiting), fetched(), k, counts)
 
     return rows.select("customer_id", "features", "bought").mapInPandas(
-        rank, "customer_id string, article_idx int, als_rank int, list_size int, model_score float"
+        run, "customer_id string, article_idx int, als_rank int, list_size int, model_score float"
     )
 
 
-def rank_customers(batch: pd.DataFrame, factors: np.ndarray, k: int, start: int = 0) -> pd.DataFrame:
+def _item_blocks(items: DataFrame, block_items: int) -> tuple[list[Broadcast], list[float]]:
+    """The blocks by falling norms, and the largest norm in each. The driver holds one at a time."""
+    sc = items.sparkSession.sparkContext
+    n_blocks = -(-items.count() // block_items)
+    if n_blocks <= 1:
+        placed = items.withColumn("_block", F.lit(0))
+    else:
+        squares = F.aggregate("features", F.lit(0.0), lambda total, x: total + x.cast("double") * x)
+        numbered = number_rows(items.withColumn("_norm", F.sqrt(squares)), [F.desc("_norm"), F.asc("id")], "_pos")
+        placed = written(numbered.withColumn("_block", F.floor(F.col("_pos") / block_items)), "item-blocks")
+    blocks, bounds = [], []
+    for number in range(n_blocks):
+        block = placed.filter(F.col("_block") == number).select("id", "features").toPandas()
+        factors = np.stack(block["features"].to_numpy()).astype(np.float32)
+        slices = norm_slices(block["id"].to_numpy(dtype=np.int64), factors, SLICE_ITEMS)
+        bounds.append(slices[0].norm)
+        blocks.append(sc.broadcast(slices))
+    return blocks, bounds
+
+
+def _fetch(block: Broadcast) -> list[Slice]:
+    slices = block.value
+    # A worker would keep every block that it has read.
+    block.__dict__.pop("_value", None)
+    return slices
+
+
+def rank_customers(
+    batch: pd.DataFrame, blocks: Iterable[tuple[float, Callable[[], list[Slice]]]], k: int, counts: SearchCounts | None = None
+) -> pd.DataFrame:
     """The first ``k`` article indices per row of (customer_id, features, bought), by score, then index.
 
-    Sums are taken in double precision and rounded to single, so that articles with the same factors
-    have the same score wherever they stand.
+    ``blocks`` are (largest norm, how to get the slices) by falling norms. Sums are taken in double precision and rounded to
+    single, so that articles with the same factors have the same score wherever they stand.
     """
     users = np.stack(batch["features"].to_numpy()).astype(np.float64)
-    scores = (users @ factors.T).astype(np.float32)
-    for row, owned in zip(scores, batch["bought"]):
-        if owned is not None and len(owned):
-            row[np.asarray(owned, dtype=np.int64)] = -np.inf
-    n = min(k, scores.shape[1])
-    top = np.sort(np.argpartition(-scores, n - 1, axis=1)[:, :n], axis=1)
-    values = np.take_along_axis(scores, top, 1)
-    order = np.argsort(-values, axis=1, kind="stable")
-    top, values = np.take_along_axis(top, order, 1), np.take_along_axis(values, order, 1)
-    # Where more articles reach the last score than fit, the smallest indices among them are taken.
-    last = values[:, -1:]
-    tied = np.isfinite(last[:, 0]) & ((scores >= last).sum(axis=1) > n)
-    for i in np.flatnonzero(tied):
-        kept = np.flatnonzero(scores[i] >= last[i])
-        top[i] = kept[np.argsort(-scores[i, kept], kind="stable")][:n]
-        values[i] = scores[i, top[i]]
-    real = np.isfinite(values)
+    # More than any rounding can add to a product.
+    reach = np.linalg.norm(users, axis=1) * (1 + 1e-6) + 1e-30
+    owned = [np.zeros(0, np.int64) if o is None else np.asarray(o, dtype=np.int64) for o in batch["bought"]]
+    best, ids = np.full((len(users), k), -np.inf, np.float32), np.full((len(users), k), -1, np.int64)
+    scored = skipped = 0
+    for bound, get in blocks:
+        if not (reach * bound >= best[:, -1]).any():
+            break
+        for part in get():
+            active = np.flatnonzero(reach * part.norm >= best[:, -1])
+            scored, skipped = scored + len(active), skipped + len(users) - len(active)
+            step = max(1, _SCORES_PER_STEP // len(part.ids))
+            for at in range(0, len(active), step):
+                rows = active[at : at + step]
+                _improve(best, ids, rows, users[rows] @ part.factors.astype(np.float64).T, [owned[r] for r in rows], part.ids)
+    if counts is not None:
+        counts.scored.add(scored)
+        counts.skipped.add(skipped)
+    real = ids >= 0
     sizes = real.sum(axis=1)
     return pd.DataFrame(
         {
             "customer_id": np.repeat(batch["customer_id"].to_numpy(), sizes),
-            "article_idx": (top[real] + start).astype(np.int32),
-            "als_rank": np.broadcast_to(np.arange(n), real.shape)[real].astype(np.int32),
+            "article_idx": ids[real].astype(np.int32),
+            "als_rank": np.broadcast_to(np.arange(k), real.shape)[real].astype(np.int32),
             "list_size": np.repeat(sizes, sizes).astype(np.int32),
-            "model_score": values[real],
+            "model_score": best[real],
         }
     )
 
 
+def _improve(
+    best: np.ndarray, ids: np.ndarray, rows: np.ndarray, products: np.ndarray, owned: list[np.ndarray], articles: np.ndarray
+) -> None:
+    """Merge a slice's scores into the best lists of ``rows``; ``articles`` are in the order of their indices."""
+    scores = products.astype(np.float32)
+    lengths = np.fromiter(map(len, owned), np.int64, len(owned))
+    if lengths.any():
+        who, what = np.repeat(np.arange(len(rows)), lengths), np.concatenate(owned)
+        at = np.minimum(np.searchsorted(articles, what), len(articles) - 1)
+        here = articles[at] == what
+        scores[who[here], at[here]] = -np.inf
+    n = min(best.shape[1], scores.shape[1])
+    top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+    last = np.take_along_axis(scores, top, 1).min(axis=1)
+    # Where more articles reach the last score than fit, the smallest indices among them are taken.
+    for i in np.flatnonzero(np.isfinite(last) & ((scores >= last[:, None]).sum(axis=1) > n)):
+        kept = np.flatnonzero(scores[i] >= last[i])
+        top[i] = kept[np.argsort(-scores[i, kept], kind="stable")][:n]
+    values = np.concatenate([best[rows], np.take_along_axis(scores, top, 1)], axis=1)
+    names = np.concatenate([ids[rows], articles[top]], axis=1)
+    names[~np.isfinite(values)] = -1
+    order = np.lexsort((names, -values), axis=1)[:, : best.shape[1]]
+    best[rows], ids[rows] = np.take_along_axis(values, order, 1), np.take_along_axis(names, order, 1)
+
+
 def als_grid(
     train: DataFrame, truth: DataFrame, grid: list[ALSParams], k: int = S.N_CANDIDATES, users: DataFrame | None = None
 ) -> DataFrame:

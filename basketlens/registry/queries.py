@@ -623,7 +623,7 @@ def candidate_scoring(spark: SparkSession, sf: str) -> DataFrame:
     items = given.items.select(F.col("article_idx").alias("id"), factors.alias("features"))
     n_items = given.items.count()
     parts = [
-        A.rank_candidates(customers, items, n_items, given.counts, SCORED, block).withColumn("blocks", F.lit(name))
+        A.rank_candidates(customers, items, given.counts, SCORED, block).withColumn("blocks", F.lit(name))
         for name, block in (("one", n_items), ("several", n_items // 3 + 1))
     ]
     return parts[0].unionByName(parts[1])

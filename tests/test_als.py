@@ -82,7 +82,7 @@ def test_any_number_of_blocks_gives_the_same_lists(spark, make_tx, lists, exclud
         assert all(not {a for v, a in buys if v == u} & set(listed) for u, listed in whole.items())
 
 
-def test_blocks_equal_brute_force(spark):
+def test_blocks_equal_brute_force(spark, monkeypatch):
     rnd = np.random.default_rng(8)
     people, goods = rnd.integers(-2, 3, (9, 3)).astype(float), rnd.integers(-2, 3, (31, 3)).astype(float)
     owned = {(int(c), int(g)) for c, g in zip(rnd.integers(0, 9, 60), rnd.integers(0, 31, 60))} | {(0, g) for g in range(31)}
@@ -96,18 +96,56 @@ def test_blocks_equal_brute_force(spark):
         left = [g for g in range(31) if (c, g) not in owned]
         left.sort(key=lambda g: (-people[c] @ goods[g], g))
         want += [(f"p{c}", g, n, len(left[:6])) for n, g in enumerate(left[:6])]
-    for block in (31, 30, 4):
-        got = A.rank_candidates(customers, items, 31, bought, 6, block).drop("model_score").collect()
+    for block, size in ((31, 4096), (31, 5), (30, 4096), (4, 3)):
+        monkeypatch.setattr(A, "SLICE_ITEMS", size)
+        got = A.rank_candidates(customers, items, bought, 6, block).drop("model_score").collect()
         assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_slices_out_of_reach_are_skipped(spark):
+    """A few articles with large factors, and many that cannot beat them."""
+    rnd = np.random.default_rng(3)
+    goods = np.abs(rnd.normal(size=(600, 4))) * np.where(np.arange(600) % 100 == 0, 10.0, 0.1)[:, None]
+    people = np.abs(rnd.normal(size=(40, 4)))
+    customers = spark.createDataFrame(
+        [(f"p{i}", i, f.tolist()) for i, f in enumerate(people)], "customer_id string, customer_idx int, features array<float>"
+    )
+    items = spark.createDataFrame([(i, f.tolist()) for i, f in enumerate(goods)], "id int, features array<float>")
+    lists = {}
+    for block in (600, 20):
+        counts = A.SearchCounts.of(spark)
+        rows = A.rank_candidates(customers, items, None, 5, block, counts).collect()
+        lists[block] = sorted((r["customer_id"], r["als_rank"], r["article_idx"]) for r in rows)
+        assert counts.scored.value > 0
+    assert lists[600] == lists[20]
+    assert {i for *_, i in lists[20]} <= set(range(0, 600, 100))
+    assert counts.scored.value == 40
+
+
+def test_blocks_are_fetched_only_while_needed():
+    """Once everybody's list is out of reach, later blocks are not read."""
+    batch = pd.DataFrame({"customer_id": ["u"], "features": [[1.0, 0.0]], "bought": [None]})
+    near, far = np.array([[9.0, 0.0], [8.0, 0.0]]), np.array([[0.5, 0.0]])
+
+    def unread():
+        raise AssertionError("this block cannot matter")
+
+    blocks = [(9.0, lambda: A.norm_slices(np.array([7, 3]), near, 1)), (0.5, unread)]
+    assert A.rank_customers(batch, blocks, 2)["article_idx"].tolist() == [7, 3]
+    with pytest.raises(AssertionError):
+        A.rank_customers(batch, blocks, 3)
+    assert A.rank_customers(batch, [blocks[0], (0.5, lambda: A.norm_slices(np.array([5]), far, 1))], 3)["article_idx"].tolist() == [7, 3, 5]
+
+
 def test_ties_are_cut_by_article():
-    batch = pd.DataFrame({"customer_id": ["u", "v"], "features": [[1.0], [0.0]], "bought": [np.array([2]), None]})
+    batch = pd.DataFrame({"customer_id": ["u", "v"], "features": [[1.0], [0.0]], "bought": [np.array([12]), None]})
     items = np.array([[1.0], [2.0], [9.0], [1.0], [1.0]])
-    out = A.rank_customers(batch, items, 3, start=10)
-    assert out["article_idx"].tolist() == [11, 10, 13, 10, 11, 12]
-    assert out["als_rank"].tolist() == [0, 1, 2] * 2
-    assert A.rank_customers(batch, items, 50)["list_size"].tolist() == [4] * 4 + [5] * 5
+    for size in (1, 2, 5):
+        blocks = [(9.0, lambda: A.norm_slices(np.arange(10, 15), items, size))]  # noqa: B023
+        out = A.rank_customers(batch, blocks, 3)
+        assert out["article_idx"].tolist() == [11, 10, 13, 10, 11, 12]
+        assert out["als_rank"].tolist() == [0, 1, 2] * 2
+        assert A.rank_customers(batch, blocks, 50)["list_size"].tolist() == [4] * 4 + [5] * 5
 
 
 def test_same_seed_same_factors(train):
