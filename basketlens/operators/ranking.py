@@ -66,20 +66,19 @@ def labelled_pairs(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 def negative_sample(labelled: DataFrame, max_negatives: int = S.MAX_NEGATIVES, seed: int = S.SEED) -> DataFrame:
     """All positives and up to ``max_negatives`` negatives per customer who has a positive.
 
-    Negatives are chosen by a hash of seed, customer and article. Both windows share one shuffle by
-    customer, and a customer's group is never longer than the candidate list.
+    Negatives are chosen by a hash of seed, customer and article. One aggregation gathers a customer's rows, never more than
+    the candidate list, and drops those without a positive; the choice is made within these arrays, so no rows are sorted.
     """
-    group = Window.partitionBy("customer_id")
-    has_positive = F.max("label").over(group)
-    within = Window.partitionBy("customer_id", "label").orderBy("_key", "article_id")
-    return (
-        labelled.withColumn("_hit", has_positive)
-        .filter(F.col("_hit") == 1)
-        .withColumn("_key", sample_key(seed, "customer_id", "article_id"))
-        .withColumn("_nth", F.row_number().over(within))
-        .filter((F.col("label") == 1) | (F.col("_nth") <= max_negatives))
-        .drop("_hit", "_key", "_nth")
+    columns = [c for c in labelled.columns if c != "customer_id"]
+    row = F.struct(*columns)
+    keyed = F.struct(sample_key(seed, "customer_id", "article_id").alias("key"), "article_id", row.alias("row"))
+    positive = F.col("label") == 1
+    lists = labelled.groupBy("customer_id").agg(
+        F.collect_list(F.when(positive, row)).alias("_positives"), F.collect_list(F.when(~positive, keyed)).alias("_negatives")
     )
+    chosen = F.transform(F.slice(F.array_sort("_negatives"), 1, max_negatives), lambda n: n["row"])
+    rows = lists.filter(F.size("_positives") > 0).select("customer_id", F.inline(F.concat("_positives", chosen)))
+    return rows.select(*labelled.columns)
 
 
 def ranking_dataset(

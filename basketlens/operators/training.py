@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field, replace
+from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens import schemas as S
@@ -19,9 +23,10 @@ from basketlens.operators.split import EVAL_SPLITS, TemporalSplit, ground_truth,
 from basketlens.operators.two_stage import TwoStageRecommender
 from basketlens.operators.validate import check_articles, check_customers, check_transactions
 from basketlens.plans.workspace import written
-from basketlens.sources.bundle import write_json, write_report
+from basketlens.sources.bundle import is_finished, write_json
 
 log = logging.getLogger(__name__)
+T = TypeVar("T")
 
 
 class PromotionBlocked(RuntimeError):
@@ -80,19 +85,46 @@ class FirstStage:
         return self.two_stage.als
 
 
-def train_first_stage(tx: DataFrame, params: TrainingParams | None = None) -> FirstStage:
-    """Fit popularity, ALS and the feature tables. Raw transactions are aggregated once, into ``stats``."""
+def train_first_stage(
+    tx: DataFrame, params: TrainingParams | None = None, stage_path: str | None = None
+) -> FirstStage:
+    """Fit popularity, ALS and the feature tables. Raw transactions are aggregated once, into ``stats``.
+
+    With ``stage_path`` the fitted ALS is stored there, and taken from there if a run before has finished it.
+    """
     params = params or TrainingParams()
     split = make_temporal_split(tx, params.val_start, params.test_start)
     stats = written(interaction_stats(split.train), "stats")
     popularity = PopularityModel.fit(split.train, stats)
-    als = ALSCandidates.fit(split.train, params.als, stats=stats)
+    als = _stage(
+        tx.sparkSession, stage_path, "als", ALSCandidates.load, lambda: ALSCandidates.fit(split.train, params.als, stats=stats)
+    )
     two_stage = TwoStageRecommender(als, None, popularity, params.n_candidates).fit_features(split.train, stats)
     return FirstStage(split, two_stage)
 
 
-def train_ranker(first: FirstStage, params: TrainingParams | None = None) -> TrainedModels:
-    """Fit the second stage on labelled candidates of the validation window's known customers."""
+def _stage(
+    spark: SparkSession, path: str | None, name: str, load: Callable[[SparkSession, str], T], fit: Callable[[], T]
+) -> T:
+    """A fitted part: from its stage folder if that was finished, else fitted and stored there."""
+    if path is None:
+        return fit()
+    if is_finished(spark, f"{path}/{name}-done"):
+        log.info("taking up the finished stage %s", name)
+        return load(spark, f"{path}/{name}")
+    part = fit()
+    part.save(f"{path}/{name}")
+    write_json(spark, {"stage": name}, f"{path}/{name}-done")
+    return part
+
+
+def train_ranker(
+    first: FirstStage, params: TrainingParams | None = None, stage_path: str | None = None
+) -> TrainedModels:
+    """Fit the second stage on labelled candidates of the validation window's known customers.
+
+    With ``stage_path`` the ranker is stored there, and taken from there if a run before has finished it.
+    """
     params = params or TrainingParams()
     split, two_stage = first.split, first.two_stage
     learners = sample_users(known_users(split, "val"), params.max_train_users, params.seed)
@@ -106,7 +138,10 @@ def train_ranker(first: FirstStage, params: TrainingParams | None = None) -> Tra
         seed=params.seed,
     )
     dataset = written(ranker_group_split(written(dataset, "ranking")), "ranking-split")
-    ranked = replace(two_stage, ranker=fit_lambdamart(dataset, params.ranker))
+    ranker = _stage(
+        candidates.sparkSession, stage_path, "ranker", LambdaMartModel.load, lambda: fit_lambdamart(dataset, params.ranker)
+    )
+    ranked = replace(two_stage, ranker=ranker)
     return TrainedModels(split, ranked, dataset)
 
 
@@ -138,6 +173,14 @@ def compare_trained(models: TrainedModels, params: TrainingParams) -> DataFrame:
     return compare_models(recs, truths, params.k)
 
 
+def run_fingerprint(tx: DataFrame, params: TrainingParams) -> str:
+    """A name for a run: its parameters, and the number and the hashes of the purchases, in whatever order."""
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in S.REQUIRED_TRANSACTION_COLS])
+    # Equal rows cancel out in one of the two sums only.
+    row = tx.agg(F.count(F.lit(1)), F.bit_xor(spread), F.sum(F.pmod(spread, F.lit(1 << 31)))).first()
+    return hashlib.sha256(json.dumps([asdict(params), *map(str, row)]).encode()).hexdigest()[:20]
+
+
 def retrain(
     tx: DataFrame,
     articles: DataFrame,
@@ -149,19 +192,20 @@ def retrain(
 ) -> DataFrame:
     """All stages in order. Hard data errors or a metric below the threshold stop before the export.
 
-    Returns the comparison of the models on the validation and test windows.
+    Fitted stages are kept under ``out_path``/stages by a fingerprint of parameters and purchases, so a run that was broken off and is
+    started again takes up those that it finished. Returns the comparison of the models on the validation and test windows.
     """
     params = params or TrainingParams()
     reports = [check_transactions(tx, *date_range), check_articles(articles), check_customers(customers)]
     for report in reports:
         report.raise_on_errors()
-    models = train_models(tx, params)
+    stages = f"{out_path}/stages/{run_fingerprint(tx, params)}"
+    models = train_ranker(train_first_stage(tx, params, stages), params, stages)
     comparison = written(compare_trained(models, params), "comparison")
     gate = promotion_gate(comparison.filter("model = 'two_stage' AND split = 'val'"), threshold).first()
     if not gate["promoted"]:
         raise PromotionBlocked(f"NDCG@{params.k} {gate['ndcg']:.4f} is below {threshold:.4f}")
     log.info("promoted: NDCG@%d %.4f", params.k, gate["ndcg"])
-    models.two_stage.save(out_path)
     stats = ranking_dataset_stats(models.dataset).first().asDict()
     meta = {
         "n_candidates": params.n_candidates,
@@ -173,6 +217,5 @@ def retrain(
         "feature_importance": {r["feature"]: r["importance"] for r in models.ranker.importance().collect()},
         **stats,
     }
-    write_json(tx.sparkSession, meta, f"{out_path}/ranker_meta")
-    write_report(comparison, f"{out_path}/eval_report")
+    models.two_stage.save(out_path, meta, comparison)
     return comparison

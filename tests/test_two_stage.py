@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import random
 
@@ -131,7 +132,38 @@ def test_bundle_round_trip(spark, two, lists, tmp_path):
     back = TS.TwoStageRecommender.load(spark, path)
     assert back.n_candidates == two.n_candidates
     assert lists(back.recommend(asked, 5)) == lists(two.recommend(asked, 5))
-    assert B.read_json(spark, f"{path}/feature_schema")["feature_cols"] == two.ranker.feature_cols
+    assert B.read_json(spark, f"{B.current_path(spark, path)}/feature_schema")["feature_cols"] == two.ranker.feature_cols
+
+
+class _BrokenOff(RuntimeError):
+    pass
+
+
+def test_a_save_that_stops_half_way_serves_the_old_bundle(spark, two, tmp_path, monkeypatch):
+    path = str(tmp_path / "bundle")
+    assert two.save(path) == 1
+    monkeypatch.setattr(type(two.popularity), "save", lambda *_: (_ for _ in ()).throw(_BrokenOff()))
+    with pytest.raises(_BrokenOff):
+        dataclasses.replace(two, n_candidates=7).save(path)
+    monkeypatch.undo()
+    assert B.current_version(spark, path) == 1
+    assert B.missing_parts(spark, path) == []
+    assert TS.TwoStageRecommender.load(spark, path).n_candidates == two.n_candidates
+    assert dataclasses.replace(two, n_candidates=8).save(path) == 3
+    assert TS.TwoStageRecommender.load(spark, path).n_candidates == 8
+    assert two.save(path) == 4
+    assert B.drop_old_versions(spark, path) == [1, 2]
+    assert TS.TwoStageRecommender.load(spark, path).n_candidates == two.n_candidates
+
+
+def test_a_version_with_lost_rows_is_refused(spark, two, tmp_path):
+    path = str(tmp_path / "bundle")
+    two.save(path)
+    seen = f"{B.current_path(spark, path)}/seen"
+    spark.createDataFrame(two.seen.limit(1).collect(), two.seen.schema).write.mode("overwrite").parquet(seen)
+    assert B.missing_parts(spark, path) == ["seen"]
+    with pytest.raises(FileNotFoundError, match="incomplete"):
+        TS.TwoStageRecommender.load(spark, path)
 
 
 def test_incomplete_bundle_is_refused(spark, tmp_path):
@@ -168,8 +200,8 @@ def test_retrain_exports_only_past_the_gate(spark, tx, dimensions, tmp_path):
     assert all(0.0 <= r["ndcg"] <= 1.0 for r in rows.values())
     assert {r["n_users"] for (m, s), r in rows.items() if s == "test"} == {40}
     assert B.missing_parts(spark, out) == []
-    assert spark.read.json(f"{out}/eval_report").count() == 6
-    meta = B.read_json(spark, f"{out}/ranker_meta")
+    assert spark.read.json(f"{B.current_path(spark, out)}/eval_report").count() == 6
+    meta = B.read_json(spark, f"{B.current_path(spark, out)}/ranker_meta")
     assert meta["n_rows"] == meta["n_positive"] + meta["n_negative"]
     assert meta["n_transactions"] == tx.count()
     assert len(meta["feature_importance"]) == 15
@@ -179,3 +211,21 @@ def test_retrain_stops_on_hard_data_errors(tx, dimensions, tmp_path):
     bad = tx.withColumn("price", F.when(F.col("customer_id") == "u01", -1.0).otherwise(F.col("price")))
     with pytest.raises(DataValidationError, match="non_positive_price"):
         PL.retrain(bad, *dimensions, str(tmp_path / "m"), PARAMS, threshold=0.0)
+
+
+def test_a_broken_run_is_taken_up_after_its_finished_stages(spark, tx, dimensions, tmp_path, monkeypatch):
+    out, fits = str(tmp_path / "model"), []
+    fit = PL.ALSCandidates.fit.__func__
+    monkeypatch.setattr(PL.ALSCandidates, "fit", classmethod(lambda cls, *a, **k: fits.append(1) or fit(cls, *a, **k)))
+    with monkeypatch.context() as broken:
+        broken.setattr(PL, "fit_lambdamart", lambda *_: (_ for _ in ()).throw(_BrokenOff()))
+        with pytest.raises(_BrokenOff):
+            PL.retrain(tx, *dimensions, out, PARAMS, threshold=0.0)
+    assert B.current_version(spark, out) is None
+    PL.retrain(tx, *dimensions, out, PARAMS, threshold=0.0)
+    assert len(fits) == 1
+    assert B.missing_parts(spark, out) == []
+    # Other purchases or parameters are another run.
+    assert PL.run_fingerprint(tx, PARAMS) == PL.run_fingerprint(tx.orderBy("price"), PARAMS)
+    assert PL.run_fingerprint(tx, PARAMS) != PL.run_fingerprint(tx.limit(5), PARAMS)
+    assert PL.run_fingerprint(tx, PARAMS) != PL.run_fingerprint(tx, dataclasses.replace(PARAMS, seed=1))
