@@ -12,15 +12,17 @@ grouped by their bytes. Should a hash have more than one text, its places are de
 What is known of each document grows with the corpus, so it is joined by sorting, never broadcast.
 
 Chunks miss repeated passages that hold few boundaries. Passages are found by overlapping pieces instead: every line
-with the line after it. A line goes when a piece that holds it occurs earlier, so a repeated passage of two or more
-lines grows line by line until the texts differ, wherever it begins or ends.
+with the line after it. Pieces that follow each other here and at their first occurrences make up a passage, which so grows
+line by line until the texts differ, wherever it begins or ends. The first occurrence of a repeated piece is a source and
+keeps its lines. A stretch of repeated pieces goes if the whole of it stands at its sources in one row; one that is put
+together from several places stays where it comes first, and goes elsewhere.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import put_back, set_aside
@@ -107,14 +109,8 @@ def _places(chunked: DataFrame, hash_bits: int) -> DataFrame:
     return rows.where(F.col("hash").isNotNull())
 
 
-def repeated_places(
-    docs: DataFrame, hash_bits: int = 64, cut: Callable[[DataFrame], DataFrame] = with_chunks, apart: int = 1
-) -> DataFrame:
-    """(_id, _mark, pos): the chunks to remove from ``docs`` (_id, _mark, text).
-
-    ``cut`` makes the chunks. In the document that has the first of equal chunks, those less than ``apart`` places
-    after it stay.
-    """
+def _known_places(docs: DataFrame, hash_bits: int, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(_id, _mark, pos, first) of every repeated chunk that ``cut`` makes of ``docs`` (_id, _mark, text), the first ones included."""
     order = F.struct("_id", "_mark", "pos")
     places = written(_places(cut(docs), hash_bits), "chunk-places")
     known = places.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
@@ -140,8 +136,56 @@ def repeated_places(
         told_apart = texts.join(unlike, "hash").join(several, ["hash", "chunk"])
         sure = marked.join(unlike, "hash", "left_anti")
         every = sure.select(*every.columns).unionByName(told_apart.select(*every.columns))
-    elsewhere = (F.col("_id") != F.col("first._id")) | (F.col("_mark") != F.col("first._mark"))
-    return every.where(elsewhere | (F.col("pos") >= F.col("first.pos") + apart)).select("_id", "_mark", "pos")
+    return every
+
+
+def _elsewhere() -> Column:
+    return (F.col("_id") != F.col("first._id")) | (F.col("_mark") != F.col("first._mark"))
+
+
+def repeated_places(
+    docs: DataFrame, hash_bits: int = 64, cut: Callable[[DataFrame], DataFrame] = with_chunks
+) -> DataFrame:
+    """(_id, _mark, pos): the chunks to remove from ``docs`` (_id, _mark, text); ``cut`` makes the chunks."""
+    every = _known_places(docs, hash_bits, cut)
+    return every.where(_elsewhere() | (F.col("pos") > F.col("first.pos"))).select("_id", "_mark", "pos")
+
+
+def _repeated_stretches(every: DataFrame) -> DataFrame:
+    """(_id, _mark, start, n): stretches of n pieces, that is n + 1 lines, that stand elsewhere in a row and can go.
+
+    ``every`` is a stored table of :func:`_known_places` over pairs of lines.
+    """
+    # Of equal lines in a row the first two stay: what overlaps the first piece is no other occurrence of it.
+    later = every.where(_elsewhere() | (F.col("pos") >= F.col("first.pos") + 2))
+    own = later.groupBy("_id", "_mark", "pos").agg(F.first("first").alias("first"))
+    in_doc = Window.partitionBy("_id", "_mark").orderBy("pos")
+    new = F.coalesce(F.col("pos") != F.lag("pos").over(in_doc) + 1, F.lit(True)).cast("int")
+    placed = own.withColumn("stretch", F.sum(new).over(in_doc))
+    in_stretch = Window.partitionBy("_id", "_mark", "stretch").orderBy("pos")
+    shift = F.struct("first._id", "first._mark", (F.col("pos") - F.col("first.pos")).alias("shift"))
+    # Only the place that the first piece comes from can hold the whole stretch. It does if its pieces cover all lines.
+    along = placed.withColumn("along", (shift == F.first(shift).over(in_stretch)).cast("int"))
+    begins = F.col("along") * (1 - F.coalesce(F.lag("along").over(in_stretch), F.lit(0)))
+    along = along.withColumn("begins", begins)
+    stretches = written(
+        along.groupBy("_id", "_mark", "stretch").agg(
+            F.min("pos").alias("start"),
+            F.count(F.lit(1)).alias("n"),
+            (F.sum("along") + F.sum("begins")).alias("covered"),
+            F.when(F.sum("along") + F.sum("begins") <= F.count(F.lit(1)), F.sort_array(F.collect_list(F.struct("pos", "first")))).alias(
+                "pieces"
+            ),
+        ),
+        "line-stretches",
+    )
+    whole = stretches.where("covered = n + 1").select("_id", "_mark", "start", "n")
+    # Equal stretches have the same pieces, each known by its first occurrence.
+    mixed = stretches.where("covered <= n").withColumn("pieces", F.transform("pieces", lambda p: p["first"]))
+    place = F.struct("_id", "_mark", "start")
+    sources = mixed.groupBy("pieces").agg(F.min(place).alias("source"))
+    again = mixed.join(sources, "pieces").where(place != F.col("source"))
+    return whole.unionByName(again.select("_id", "_mark", "start", "n"))
 
 
 def _parts(own: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -186,17 +230,24 @@ def remove_repeated_passages(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """``docs`` (doc_id, text, …) without the lines of passages that occur earlier, and two counts.
 
     A passage is two or more lines, not all blank, that stand in the same order with the same bytes in a document
-    before (smallest doc_id) or farther up in the same one. Every line that goes is still somewhere in the texts.
+    before (smallest doc_id) or farther up in the same one. What goes still stands somewhere: every pair of lines that
+    occurs more than once is kept at its first occurrence, and every stretch that goes is kept whole elsewhere, in one row.
     Adds ``n_lines`` and ``n_removed`` (lines removed; columns of these names are replaced). Rows, odd rows and
     ``hash_bits`` are treated as by :func:`remove_repeated_chunks`.
     """
     own = docs.drop("n_lines", "n_removed")
     part, rest = _parts(own)
-    # Of equal lines in a row the first two stay: what overlaps the first piece is no other occurrence of it.
-    gone = repeated_places(part.select("_id", "_mark", "text"), hash_bits, with_pairs, apart=2)
-    by_doc = written(gone.groupBy("_id", "_mark").agg(F.collect_set("pos").alias("_starts")), "removals")
+    every = written(_known_places(part.select("_id", "_mark", "text"), hash_bits, with_pairs), "piece-places")
+    stretches = _repeated_stretches(every)
+    lines = F.flatten(F.collect_list(F.sequence("start", (F.col("start") + F.col("n")).cast("int"))))
+    removable = stretches.groupBy("_id", "_mark").agg(lines.alias("_lines_gone"))
+    at_source = every.where(~_elsewhere() & (F.col("pos") == F.col("first.pos")))
+    sources = at_source.groupBy("_id", "_mark").agg(F.collect_set("pos").alias("_source"))
+    by_doc = removable.join(sources.hint("merge"), ["_id", "_mark"], "left")
+    source = F.coalesce("_source", F.array().cast("array<int>"))
+    protected = F.array_union(source, F.transform(source, lambda i: i + 1))
+    by_doc = written(by_doc.select("_id", "_mark", F.array_except("_lines_gone", protected).alias("_gone")), "removals")
     joined = part.join(by_doc.hint("merge"), ["_id", "_mark"], "left").withColumn("_lines", F.split("text", "\n", -1))
-    joined = joined.withColumn("_gone", F.array_union("_starts", F.transform("_starts", lambda i: i + 1)))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")

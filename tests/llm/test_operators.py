@@ -165,6 +165,73 @@ def test_passages_within_a_document_and_odd_rows(spark, odd, none):
     assert line_chunks.remove_repeated_passages(none).count() == 0
 
 
+def brute_passages(texts):
+    """What is left of each text, by the rules, and the stretches that went."""
+    lines = [t.split("\n") for t in texts]
+    places = {}
+    for d, own in enumerate(lines):
+        for i, pair in enumerate(zip(own, own[1:])):
+            if any(x.strip(" ") for x in pair):
+                places.setdefault(pair, []).append((d, i))
+    first = {p: places[pair][0] for pair in places if len(places[pair]) > 1 for p in places[pair]}
+    seen, left, gone = set(), [], []
+    for d, own in enumerate(lines):
+        later = [i for i in range(len(own)) if (f := first.get((d, i))) and (f[0] != d or i >= f[1] + 2)]
+        drop, start = set(), 0
+        while start < len(later):
+            end = start
+            while end + 1 < len(later) and later[end + 1] == later[end] + 1:
+                end += 1
+            low, high = later[start], later[end] + 1
+            src, at = first[d, low]
+            along = {j for i in later[start : end + 1] if first[d, i] == (src, at + i - low) for j in (i, i + 1)}
+            key = tuple(own[low : high + 1])
+            if along == set(range(low, high + 1)) or key in seen:
+                drop |= set(range(low, high + 1))
+                gone.append("\n".join(key))
+            else:
+                seen.add(key)
+            start = end + 1
+        kept = {j for i in range(len(own)) if first.get((d, i)) == (d, i) for j in (i, i + 1)}
+        left.append("\n".join(x for i, x in enumerate(own) if i not in drop - kept))
+    return left, gone
+
+
+def test_passages_survive_where_they_come_from(spark):
+    """The third text is made of two sources, and is the source of the others."""
+    texts = ["Q\nX\na", "b\nY\nR", "X\na\nb\nY", "K\na\nb\nM", "K2\na\nb\nM2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = by_id(line_chunks.remove_repeated_passages(docs))
+    assert [out[i]["text"] for i in range(5)] == ["Q\nX\na", "b\nY\nR", "a\nb", "K\nM", "K2\nM2"]
+    # Put together from two sources with a line in common: it stays where it comes first.
+    texts = ["l1\nl2\nA", "l2\nl3\nB", "C\nl1\nl2\nl3\nC2", "D\nl1\nl2\nl3\nD2", "E\nl1\nl2\nE2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = by_id(line_chunks.remove_repeated_passages(docs))
+    assert [out[i]["text"] for i in range(5)] == [*texts[:3], "D\nD2", "E\nE2"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_equal_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    blocks = [[f"b{b} {i}" for i in range(int(rng.integers(2, 6)))] for b in range(6)]
+    texts = []
+    for d in range(60):
+        own = []
+        for _ in range(int(rng.integers(1, 5))):
+            part = blocks[int(rng.integers(0, 6))]
+            low = int(rng.integers(0, len(part)))
+            own += part[low:] if rng.random() < 0.7 else [f"own {d} {rng.integers(0, 9)}", ""]
+        texts.append("\n".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    left, gone = brute_passages(texts)
+    for bits in (64, 3):
+        out = by_id(line_chunks.remove_repeated_passages(docs, hash_bits=bits))
+        assert [out[i]["text"] for i in range(60)] == left
+    # Whatever went stands whole in what is left.
+    assert len(gone) > 40
+    assert all(any(f"\n{g}\n" in f"\n{t}\n" for t in left) for g in gone)
+
+
 # ---- 3 ----------------------------------------------------------------------------------------------------------
 
 
