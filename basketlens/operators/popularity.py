@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.operators.features import seen_items_from, user_seen_items
-from basketlens.plans.numbering import fits_one_task, number_rows
+from basketlens.plans.numbering import first_rows, fits_one_task, number_rows
 from basketlens.plans.skew import fits_broadcast
 from basketlens.plans.workspace import written
 
@@ -40,7 +40,9 @@ def top_k(counts: DataFrame, k: int) -> DataFrame:
     if k < 1:
         raise ValueError("k must be at least 1")
     if not fits_one_task(counts, k):
-        numbered = number_rows(counts, _order(), "_pos").filter(F.col("_pos") < k)
+        falling = counts.withColumn("_fewer", -F.col("purchase_count"))
+        first = first_rows(falling, ["_fewer", "article_id"], k).drop("_fewer")
+        numbered = number_rows(first, _order(), "_pos")
         return numbered.withColumn("pop_rank", (F.col("_pos") + 1).cast("int")).drop("_pos")
     rank = F.row_number().over(Window.orderBy(*_order()))
     return counts.orderBy(*_order()).limit(k).withColumn("pop_rank", rank)

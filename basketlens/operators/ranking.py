@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens import schemas as S
 from basketlens.functions.columns import sample_key
 from basketlens.operators.features import feature_matrix
-from basketlens.plans.numbering import number_rows
+from basketlens.plans.numbering import nth_value
+from basketlens.plans.workspace import written
 
 
 _KEYS = ["customer_id", "article_id"]
@@ -112,8 +115,11 @@ def ranking_dataset_stats(dataset: DataFrame) -> DataFrame:
 
 
 def ranker_group_split(dataset: DataFrame, share: float = S.TRAIN_GROUP_SHARE) -> DataFrame:
-    """Whole customers to training or hold-out: the first ``share`` of them in id order train."""
-    users = number_rows(dataset.select("customer_id").distinct(), [F.col("customer_id")], "_pos")
-    cut = F.floor(users.agg(F.count(F.lit(1))).scalar() * F.lit(share))
-    held = users.select("customer_id", (F.col("_pos") >= cut).alias("held_out"))
-    return dataset.join(held, "customer_id")
+    """Whole customers to training or hold-out: the first ``share`` of them in id order train.
+
+    The id at the cut is selected from the distinct customers, so nothing is numbered or joined.
+    """
+    known = dataset.filter(F.col("customer_id").isNotNull())
+    users = written(known.select("customer_id").distinct(), "ranked-customers")
+    edge = nth_value(users, "customer_id", math.floor(users.count() * share))
+    return known.withColumn("held_out", F.lit(False) if edge is None else F.col("customer_id") >= F.lit(edge))

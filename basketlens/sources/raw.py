@@ -70,7 +70,7 @@ def latest_transactions(tx: DataFrame, n_rows: int = S.LATEST_ROWS) -> DataFrame
     if edge is None:
         return tx.limit(0)
     whole_days = tx.filter(F.col("t_dat") > F.lit(edge))
-    others = [F.col(c) for c in tx.columns if c != "t_dat"]
+    others = [c for c in tx.columns if c != "t_dat"]
     return whole_days.unionByName(first_rows(tx.filter(F.col("t_dat") == F.lit(edge)), others, missing))
 
 

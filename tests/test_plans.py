@@ -17,15 +17,52 @@ def test_number_rows_is_dense_and_ordered(spark):
     assert got == {v: i for i, v in enumerate(sorted(values, reverse=True))}
 
 
-@pytest.mark.parametrize("n", [1, 99, 5000])
-def test_first_rows_parallel_equals_ordered_limit(spark, monkeypatch, n):
-    df = spark.range(0, 3000).select((F.hash("id") % 50).alias("k"), "id")
-    order = [F.col("k"), F.col("id")]
-    want = {r["id"] for r in numbering.first_rows(df, order, n).collect()}
-    monkeypatch.setattr(numbering, "ORDERED_LIMIT_ROWS", 0)
-    got = [r["id"] for r in numbering.first_rows(df, order, n).collect()]
+def _mixed(spark):
+    """Ties, nulls, signs, long and short texts, days and repeated rows."""
+    i = F.col("id")
+    return spark.range(0, 3000).select(
+        (F.hash("id") % 50).alias("k"),
+        F.when(i % 7 != 0, (F.hash("id") * 1.5 - 1e6).cast("double")).alias("x"),
+        F.when(i % 11 != 0, F.substring(F.md5((i % 900).cast("string")), 1, (i % 5 * 8).cast("int"))).alias("s"),
+        F.date_add(F.lit("2020-01-01"), (F.hash("id") % 400).cast("int")).alias("d"),
+        "id",
+    )
+
+
+@pytest.mark.parametrize("order", [["k", "id"], ["x", "id"], ["s", "k", "id"], ["d", "s", "id"], ["id"]])
+@pytest.mark.parametrize("n", [1, 99, 2999, 5000])
+def test_selected_rows_equal_the_ordered_limit(spark, monkeypatch, n, order):
+    df = _mixed(spark)
+    want = {r["id"] for r in df.orderBy(*order).limit(n).collect()}
+    monkeypatch.setattr(numbering, "ORDERED_LIMIT_ROWS", 7)
+    monkeypatch.setattr(numbering, "_BUCKETS", 8)
+    first = numbering.first_rows(df, order, n)
+    got = [r["id"] for r in first.collect()]
     assert len(got) == min(n, 3000)
     assert set(got) == want
+    # The rows themselves are neither sorted nor written, but for the last bucket.
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort " not in plan.split("Union")[0]
+
+
+def test_equal_rows_beyond_one_task(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "ORDERED_LIMIT_ROWS", 7)
+    same = spark.range(500).select(F.lit(1).alias("a"), F.lit("x").alias("s"))
+    assert numbering.first_rows(same, ["a", "s"], 123).count() == 123
+    assert numbering.first_rows(same.limit(0), ["a", "s"], 123).count() == 0
+    odd = spark.createDataFrame([(float("nan"),), (None,), (1.0,), (float("inf"),), (-2.0,)] * 30, "x double")
+    got = sorted(str(r["x"]) for r in numbering.first_rows(odd, ["x"], 100).collect())
+    assert got == sorted(str(r["x"]) for r in odd.orderBy("x").limit(100).collect())
+
+
+def test_nth_value(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "ORDERED_LIMIT_ROWS", 7)
+    df = _mixed(spark)
+    for name in ("id", "s", "x", "d"):
+        values = [r[0] for r in df.select(name).orderBy(name).collect()]
+        for n in (0, 1, 700, 2999):
+            assert numbering.nth_value(df, name, n) == values[n]
+        assert numbering.nth_value(df, name, 3000) is None
 
 
 def _skewed(spark):
