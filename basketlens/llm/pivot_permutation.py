@@ -31,6 +31,8 @@ BLOCK_ROWS = 2048
 _SEED = 20_240_229
 # More than any number of reference points; the members of a subset are digits to this base.
 PIVOTS_BASE = 1 << 16
+# Names of vectors without an id begin here.
+MADE_IDS = 1 << 62
 # Vectors described in one matrix product.
 _BATCH = 2048
 
@@ -188,7 +190,7 @@ def near_duplicates(
     """(vec_id, n_links, component_id, kept) for every row of ``embeddings`` (vec_id, embedding, …).
 
     Two vectors are linked when their cosine is ``threshold`` or more. ``component_id`` is the smallest vec_id
-    reachable, ``kept`` whether that is the vector itself. Vectors that are null, empty, zero or hold null or non-finite
+    reachable (ids are below 2^62), ``kept`` whether that is the vector itself. Vectors that are null, empty, zero or hold null or non-finite
     components have no links. Vectors of different dimension are never compared. Rows that repeat a
     vec_id are vectors of their own and share a component; a row without vec_id counts as a link of
     others and has component null and is not kept. Other columns are not read.
@@ -201,8 +203,10 @@ def near_duplicates(
     vectors = written(source.mapInArrow(_clean, "vec_id long, vec binary"), "vectors")
     usable = vectors.where(F.col("vec").isNotNull())
     classes = usable.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    # A class without any vec_id still is a link of others; it is named by its vector, above all ids.
+    made = F.xxhash64("vec").bitwiseAND(F.lit(MADE_IDS - 1)).bitwiseOR(F.lit(MADE_IDS))
     # A repeated vec_id can stand for several classes; its hash tells them apart.
-    classes = classes.where(F.col("rep").isNotNull()).select("rep", F.xxhash64("vec").alias("mark"), "copies", "vec")
+    classes = classes.select(F.coalesce("rep", made).alias("rep"), F.xxhash64("vec").alias("mark"), "copies", "vec")
     schema = "rep long, mark long, copies long, vec binary, near array<int>"
     described = classes.mapInArrow(_describe(n_pivots, nearest), schema)
     described = written(described, "vector-classes")

@@ -38,6 +38,22 @@ def with_slots(docs: DataFrame, n_slots: int = SLOTS) -> DataFrame:
     return rows.withColumn("virtual_slot", F.pmod("_hash", F.lit(n_slots)).cast("int"))
 
 
+def with_slots_apart(docs: DataFrame, n_slots: int = SLOTS) -> DataFrame:
+    """:func:`with_slots`, stored, with equal rows spread over the slots.
+
+    Rows that repeat another in doc_id and text are hashed once more, with their place in the stored table. A key that many
+    rows share so neither fills a slot nor a task.
+    """
+    stored = written(with_slots(docs, n_slots).withColumn("_place", F.monotonically_increasing_id()), "slotted")
+    again = stored.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = written(again.select("_hash", F.lit(True).alias("_again")), "repeated-rows")
+    if again.isEmpty():
+        return stored.drop("_place")
+    apart = F.when(F.col("_again"), F.xxhash64("_hash", "_place")).otherwise(F.col("_hash"))
+    spread = stored.join(again, "_hash", "left").withColumn("_hash", apart).drop("_again", "_place")
+    return written(spread.withColumn("virtual_slot", F.pmod("_hash", F.lit(n_slots)).cast("int")), "slotted")
+
+
 def slot_bytes(slotted: DataFrame, n_slots: int) -> list[int]:
     """Bytes per slot; ``n_slots`` numbers, whatever the input."""
     sums = [0] * n_slots
@@ -97,6 +113,8 @@ def rebalanced(shards: list[int], sizes: list[int], n_shards: int, tolerance: fl
 def store_map(spark: SparkSession, path: str, version: int, shards: list[int], sizes: list[int]) -> None:
     """Add a version of the map to the table at ``path``: (version, virtual_slot, shard, bytes)."""
     written_as = F.from_json(F.lit(json.dumps([[a, b] for a, b in zip(shards, sizes)])), "array<array<long>>")
+    if version in map_versions(spark, path):
+        raise ValueError(f"the map at {path} has a version {version} already")
     rows = spark.range(1).select(F.posexplode(written_as).alias("virtual_slot", "entry"))
     rows = rows.select(
         F.lit(version).alias("version"),
@@ -107,6 +125,14 @@ def store_map(spark: SparkSession, path: str, version: int, shards: list[int], s
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def map_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions stored at ``path``, none if nothing is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return []
+    return sorted(r["version"] for r in spark.read.parquet(path).select("version").distinct().collect())
+
+
 def read_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, list[int], list[int]]:
     """(version, shard of each slot, bytes of each slot) of a version, the latest by default."""
     stored = spark.read.parquet(path)
@@ -148,13 +174,19 @@ def number_in_shards(assigned: DataFrame, name: str = "slot") -> DataFrame:
 def shard_documents(docs: DataFrame, n_shards: int, path: str, n_slots: int = SLOTS) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot, shard, slot) for every row of ``docs`` (doc_id, text, …).
 
-    Stores version 1 of the map at ``path`` and assigns by what is stored there. Rows equal in doc_id and text
-    share a virtual slot; null ids and null texts are values like others, and a null text has checksum 0
-    and no bytes of its own. Other columns are not read. No rows give none, and a map all the same.
+    Stores version 1 of the map at ``path``, or, if there is a map already, its next version, edited for the new sizes, and
+    assigns by what is stored. Rows equal in doc_id and text are spread like others; null ids and null texts are values like
+    others, and a null text has checksum 0 and no bytes of its own. Other columns are not read. No rows give none, and a map all the same.
     """
     spark = docs.sparkSession
-    slotted = written(with_slots(docs, n_slots), "slotted")
+    slotted = with_slots_apart(docs, n_slots)
     sizes = slot_bytes(slotted, n_slots)
-    store_map(spark, path, 1, first_map(sizes, n_shards), sizes)
+    if known := map_versions(spark, path):
+        _, before, _ = read_map(spark, path)
+        if len(before) != n_slots:
+            raise ValueError(f"the map at {path} has {len(before)} slots")
+        store_map(spark, path, known[-1] + 1, rebalanced(before, sizes, n_shards), sizes)
+    else:
+        store_map(spark, path, 1, first_map(sizes, n_shards), sizes)
     _, shards, _ = read_map(spark, path)
     return number_in_shards(assign(slotted, shards)).drop("_hash")

@@ -501,6 +501,19 @@ def test_links_have_recall_and_no_false_pair(spark):
     assert pivot_permutation.near_duplicates(empty).count() == 0
 
 
+def test_vectors_without_id_count_as_links(spark):
+    rng = np.random.default_rng(11)
+    a = rng.normal(size=16)
+    near = a + 0.001 * rng.normal(size=16)
+    data = [(1, a.tolist()), (None, near.tolist()), (None, near.tolist()), (2, rng.normal(size=16).tolist()), (None, (-a).tolist())]
+    data.append((3, (near + 0.001 * rng.normal(size=16)).tolist()))
+    rows = pivot_permutation.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    out = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rows if r["vec_id"] is not None}
+    assert out == {1: (3, 1, True), 2: (0, 2, True), 3: (3, 1, False)}
+    assert sorted(r["n_links"] for r in rows if r["vec_id"] is None) == [0, 3, 3]
+    assert all(r["component_id"] is None and not r["kept"] for r in rows if r["vec_id"] is None)
+
+
 # ---- 10 ---------------------------------------------------------------------------------------------------------
 
 
@@ -519,6 +532,25 @@ def test_shards_hold_nearly_equal_bytes(spark, odd, none):
     assert virtual_slots.shard_documents(none, 3, scratch_path(spark, "map")).count() == 0
 
 
+def test_equal_rows_are_spread(spark):
+    """Half of the rows are equal, without id and text, and half are not; 100,000 rows of one key and one number."""
+    n = 50_000
+    docs = spark.range(2 * n).select(F.when(F.col("id") >= n, F.col("id")).alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    path = scratch_path(spark, "map")
+    rows = virtual_slots.shard_documents(docs, 10, path)
+    found = rows.groupBy("shard").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"), F.max("slot").alias("last"), F.count_distinct("slot").alias("slots")).collect()
+    loads = np.array([r["bytes"] for r in found])
+    assert loads.max() <= 1.05 * loads.mean() and loads.min() >= 0.95 * loads.mean()
+    assert all(r["n"] == r["slots"] == r["last"] + 1 for r in found)
+    # Again on the same map: it is edited, under a new version.
+    virtual_slots.shard_documents(docs, 11, path)
+    assert virtual_slots.map_versions(spark, path) == [1, 2]
+    first, second = (virtual_slots.read_map(spark, path, v)[1] for v in (1, 2))
+    assert len(first) == virtual_slots.SLOTS and sum(a != b for a, b in zip(first, second)) < virtual_slots.SLOTS / 5
+    with pytest.raises(ValueError, match="version 2 already"):
+        virtual_slots.store_map(spark, path, 2, first, first)
+
+
 def test_map_is_edited_not_made_anew(spark):
     rng = np.random.default_rng(2)
     sizes = [int(x) for x in rng.integers(1, 1000, 512)]
