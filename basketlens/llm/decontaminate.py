@@ -307,7 +307,7 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def _clean(
-    blocks: list, window: int, max_words: int, max_coverage: float
+    blocks: list, window: int, max_words: int, max_coverage: float, short_words: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = _built(blocks, window)
@@ -320,8 +320,9 @@ def _clean(
                 spans = _merged([s for x in automata for s in x.scan(words)[0]])
                 covered = sum(b - a for a, b in spans)
                 whole = covered > max_coverage * len(words)
-                # A span goes when it alone is long or when spans make up too much of the document.
-                gone = [s for s in spans if whole or s[1] - s[0] > max_words]
+                # A span goes when it alone is long, when it is a short item as a whole (nothing else is hit by less than a
+                # window), or when spans make up too much of the document.
+                gone = [s for s in spans if whole or s[1] - s[0] > max_words or short_words <= s[1] - s[0] < window]
                 texts.append(_cut(text, gone) if gone else text)
                 keep.append(not (gone and not words_of(texts[-1])))
             place = batch.schema.get_field_index("text")
@@ -332,17 +333,22 @@ def _clean(
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, max_words: int = 9, max_coverage: float = 0.1
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    max_words: int = 9,
+    max_coverage: float = 0.1,
+    short_words: int = 5,
 ) -> DataFrame:
     """``docs`` with contaminated spans removed from ``text``; all other columns as they were.
 
-    A span longer than ``max_words`` words is cut out, and if all spans of a document together exceed
-    ``max_coverage`` of its words, all of them are (this is what catches items shorter than the length limit in
-    short documents). A document of which nothing but punctuation is left is dropped. Clean documents, null and
+    A span longer than ``max_words`` words is cut out, and so is an item of ``short_words`` words or more that is shorter than
+    the window. If all spans of a document together exceed ``max_coverage`` of its words, all of them are, those of the
+    shortest items included; elsewhere these are too common to tell anything. A document of which nothing but punctuation is left is dropped. Clean documents, null and
     empty texts stay untouched. Repeated rows are treated alike.
     """
     blocks = _broadcast(items)
     kind = docs.schema["text"].dataType
     rows = docs.withColumn("text", F.col("text").cast("binary"))
-    cleaned = rows.mapInArrow(_clean(blocks, window, max_words, max_coverage), rows.schema)
+    cleaned = rows.mapInArrow(_clean(blocks, window, max_words, max_coverage, short_words), rows.schema)
     return cleaned.withColumn("text", F.col("text").cast(kind))

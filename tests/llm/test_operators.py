@@ -350,6 +350,14 @@ def test_passages_are_cut_and_clean_texts_stay(spark, odd, none):
     assert decontaminate.decontaminate(none, items).count() == 0
 
 
+def test_short_items_are_cut_whole(spark):
+    own = " ".join(f"own{i}" for i in range(60))
+    items = spark.createDataFrame([(1, "a b c d e f g h i"), (2, "x y")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{own} A b c d e f g h i. {own}"), (2, f"{own} x y {own}"), (3, "x y")], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items).collect()}
+    assert out == {1: f"{own} {own}", 2: f"{own} x y {own}"}
+
+
 # ---- 6 ----------------------------------------------------------------------------------------------------------
 
 
