@@ -3,10 +3,10 @@
 The kernel of two texts is the number of character n-grams, of all lengths 1 to ``order``, present in both, divided
 by the geometric mean of the numbers in each (blended spectrum, presence). Texts are lower-cased and
 every run of other characters than letters is one space; n-grams are hashed to 18 bits, so every script is treated
-alike. A bounded sample of labelled texts is the training set, a part of it the landmarks. Nyström features of a text
+alike. A sample of bounded size per language is the training set, a part of it the landmarks. Nyström features of a text
 are its kernels with the landmarks times the inverse square root of the landmarks' own kernel matrix; on
-them one ridge regression per language, against the rest, is solved. A batch of texts is scored by two matrix products:
-presence matrix times landmark matrix, then times the coefficients.
+them one ridge regression per language, against the rest, is solved, from sums that tasks make over the sample. A batch of
+texts is scored by two matrix products: presence matrix times landmark matrix, then times the coefficients.
 """
 
 from __future__ import annotations
@@ -17,18 +17,26 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketlens.plans.workspace import written
+
 UNKNOWN = "und"
 GRAM_BITS = 18
 ORDER = 3
-# Bounds of the sample that the model is fitted on: rows per language, languages, landmarks in all.
+# Bound of the sample that the model is fitted on: rows per language. Every language is learned.
 ROWS_PER_LANGUAGE = 300
-MAX_LANGUAGES = 128
+# Landmarks in all, or per language where that is more.
 LANDMARKS = 128
+LANDMARKS_PER_LANGUAGE = 2
 RIDGE = 1e-3
+# Parts that the sample is summed in; fixed, so that rounding does not depend on the cluster.
+_SUM_PARTS = 32
+# Landmarks in one matrix product, a multiple of eight.
+_LANDMARK_BLOCK = 128
 # Texts in one matrix product, and characters whose n-grams are hashed at a time.
 _BATCH = 256
 _PART = 1 << 20
@@ -86,15 +94,41 @@ class Presence:
 
 @dataclass
 class LanguageModel:
-    """Landmark n-grams and coefficients; a few megabytes, whatever the corpus."""
+    """Landmark n-grams, a bit each, and coefficients; a few megabytes for some hundred languages, whatever the corpus."""
 
     languages: list[str]
     order: int
     column: np.ndarray  # n-gram number -> column of the landmark matrix, or -1
-    landmarks: np.ndarray  # columns x landmarks, 0/1
+    landmarks: np.ndarray  # columns x landmarks, 0/1, eight landmarks to a byte
     norms: np.ndarray  # square root of each landmark's number of n-grams
     weights: np.ndarray  # landmarks x languages
 
+    @classmethod
+    def around(cls, languages: list[str], order: int, marks: list[np.ndarray]) -> LanguageModel:
+        """A model of these landmarks, given by their n-grams, still without coefficients."""
+        column = np.full(1 << GRAM_BITS, -1, np.int32)
+        used = np.unique(np.concatenate([np.zeros(0, np.int32), *marks]))
+        column[used] = np.arange(len(used))
+        bits = np.zeros((len(used), -(-len(marks) // 8)), np.uint8)
+        for j, grams in enumerate(marks):
+            bits[column[grams], j // 8] |= np.uint8(128 >> j % 8)
+        norms = np.sqrt(np.array([len(g) for g in marks], np.float64))
+        return cls(languages, order, column, bits, norms, np.zeros((len(marks), len(languages))))
+
+    def __post_init__(self) -> None:
+        self._block: tuple[int, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_block": None}
+
+    def _landmark_block(self, start: int) -> np.ndarray:
+        """Columns x landmarks from ``start`` on, as numbers; the last block asked for is kept."""
+        if self._block is None or self._block[0] != start:
+            bits = self.landmarks[:, start // 8 : (start + _LANDMARK_BLOCK) // 8]
+            n = min(_LANDMARK_BLOCK, len(self.norms) - start)
+            self._block = start, np.unpackbits(bits, axis=1, count=n).astype(np.float32)
+        return self._block[1]
+
     def kernel(self, grams: list[np.ndarray]) -> np.ndarray:
         """Kernel of each text, given by its n-grams, with each landmark."""
         present = np.zeros((len(grams), self.landmarks.shape[0]), np.float32)
@@ -102,7 +136,8 @@ class LanguageModel:
             places = self.column[found]
             row[places[places >= 0]] = 1
         sizes = np.sqrt(np.array([max(1, len(g)) for g in grams], np.float64))
-        return (present @ self.landmarks) / (sizes[:, None] * self.norms)
+        shared = [present @ self._landmark_block(at) for at in range(0, len(self.norms), _LANDMARK_BLOCK)]
+        return np.concatenate(shared, axis=1) / (sizes[:, None] * self.norms)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. The score is the best class's regression value, cut to [0, 1]; equal
@@ -124,19 +159,17 @@ class LanguageModel:
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """At most ``per_language`` rows (lang, text) of each of the MAX_LANGUAGES most frequent languages.
+    """At most ``per_language`` rows (lang, mark, text) of each language.
 
     Rows are hashed into slots per language, and the row with the smallest hash of a slot is taken, so no task
-    sees more of a language than one row per slot, however frequent it is.
+    sees more of a language than one row per slot, however frequent it is. The hash is of id, language and text: rows
+    without an id are told apart, and rows with the same hash are the same.
     """
-    frequent = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
-    mark = F.xxhash64("doc_id", "lang")
-    slot = F.pmod(F.shiftright(mark, 16), F.lit(per_language))
-    marked = labelled.withColumn("mark", mark)
-    chosen = marked.groupBy("lang", slot.alias("slot")).agg(F.min("mark").alias("mark"))
-    chosen = chosen.join(F.broadcast(frequent.limit(MAX_LANGUAGES)), "lang").select("lang", "mark")
-    # At most per_language * MAX_LANGUAGES rows of two values.
-    return marked.join(F.broadcast(chosen), ["lang", "mark"], "left_semi").dropDuplicates(["lang", "mark"])
+    mark = F.xxhash64("doc_id", "lang", "text")
+    slot = F.pmod(F.shiftright("mark", 16), F.lit(per_language)).alias("slot")
+    marked = labelled.select("lang", "text", mark.alias("mark"))
+    chosen = marked.groupBy("lang", slot).agg(F.min("mark").alias("mark")).select("lang", "mark")
+    return marked.join(chosen, ["lang", "mark"], "left_semi").dropDuplicates(["lang", "mark"])
 
 
 def _grams(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -149,7 +182,7 @@ def _grams(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 [
                     batch.column("lang").take(pa.array(keep, pa.int64())),
                     batch.column("mark").take(pa.array(keep, pa.int64())),
-                    pa.array([found[i].astype(np.int32) for i in keep], pa.list_(pa.int32())),
+                    pa.array([found[i].astype("<i4").tobytes() for i in keep], pa.binary()),
                 ],
                 ["lang", "mark", "grams"],
             )
@@ -157,6 +190,45 @@ def _grams(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
+def _unpacked(grams: bytes) -> np.ndarray:
+    return np.frombuffer(grams, "<i4")
+
+
+def _sums(sample: DataFrame, model: LanguageModel, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Products of the sample's weighted features with each other, and their sums per language.
+
+    Rows weigh so that each language counts the same, and 1 in all. Tasks add; the driver holds two sums at a time.
+    """
+    counts = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    place = {lang: i for i, lang in enumerate(model.languages)}
+    held = sample.sparkSession.sparkContext.broadcast((model, root, counts, place))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, root, counts, place = held.value
+        products = np.zeros((root.shape[1], root.shape[1]))
+        targets = np.zeros((root.shape[1], len(place)))
+        for batch in batches:
+            for start in range(0, batch.num_rows, _BATCH):
+                rows = batch.slice(start, _BATCH)
+                features = model.kernel([_unpacked(g) for g in rows.column("grams").to_pylist()]) @ root
+                langs = rows.column("lang").to_pylist()
+                weighted = features * (1 / (len(place) * np.array([counts[lang] for lang in langs])))[:, None]
+                products += features.T @ weighted
+                np.add.at(targets.T, [place[lang] for lang in langs], weighted)
+        values = [[TaskContext.get().partitionId()], [products.tobytes()], [targets.tobytes()]]
+        kinds = [pa.int32(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["part", "products", "targets"])
+
+    spread = sample.repartition(_SUM_PARTS, "mark").sortWithinPartitions("mark", "lang")
+    parts = written(spread.mapInArrow(run, "part int, products binary, targets binary"), "language-sums")
+    products, targets = np.zeros((root.shape[1], root.shape[1])), np.zeros((root.shape[1], len(place)))
+    for row in parts.orderBy("part").toLocalIterator():
+        products += np.frombuffer(row["products"]).reshape(products.shape)
+        targets += np.frombuffer(row["targets"]).reshape(targets.shape)
+    held.unpersist()
+    return products, targets
+
+
 def fit(
     labelled: DataFrame,
     per_language: int = ROWS_PER_LANGUAGE,
@@ -166,41 +238,31 @@ def fit(
 ) -> LanguageModel:
     """Fit on at most ``per_language`` rows of each language of ``labelled`` (doc_id, text, lang).
 
-    Rows with a null text or lang, and texts without letters, are left out. Without any row the model
-    knows no language and says ``und``. The driver gets, of each sampled row, its distinct n-gram numbers: at
-    most 2^18 of them, for at most ``per_language`` times MAX_LANGUAGES rows.
+    Every language with a text is learned. Rows with a null text or lang, and texts without letters, are left out. Without
+    any row the model knows no language and says ``und``. There are ``n_landmarks`` landmarks, or
+    LANDMARKS_PER_LANGUAGE for each language where that is more. The driver gets the landmarks' n-gram numbers (at most 2^18
+    of four bytes for each) and sums of landmarks x (landmarks + languages) numbers, no other row.
     """
     rows = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    sample = _sample(rows, per_language).select("lang", "mark", "text")
-    found = sample.mapInArrow(_grams(order), "lang string, mark long, grams array<int>").collect()
-    found.sort(key=lambda r: (r["mark"], r["lang"]))
-    languages = sorted({r["lang"] for r in found})
-    column = np.full(1 << GRAM_BITS, -1, np.int32)
-    if not found:
-        return LanguageModel([], order, column, np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0)))
-    # Landmarks: the languages in turn.
-    queues = {lang: [r for r in found if r["lang"] == lang] for lang in languages}
-    turns = max(map(len, queues.values()))
-    marks = [queues[lang][i] for i in range(turns) for lang in languages if i < len(queues[lang])][:n_landmarks]
-    used = np.unique(np.concatenate([np.array(r["grams"]) for r in marks]))
-    column[used] = np.arange(len(used))
-    present = np.zeros((len(used), len(marks)), np.float32)
-    for j, r in enumerate(marks):
-        present[column[np.array(r["grams"])], j] = 1
-    model = LanguageModel(languages, order, column, present, np.sqrt(present.sum(axis=0)), np.zeros((0, 0)))
-    own = model.kernel([np.array(r["grams"]) for r in marks])
+    found = _sample(rows, per_language).select("lang", "mark", "text")
+    sample = written(found.mapInArrow(_grams(order), "lang string, mark long, grams binary"), "language-sample")
+    languages = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    if not languages:
+        return LanguageModel.around([], order, [])
+    # Landmarks: the languages in turn. A language has at most per_language rows here.
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("mark")).alias("turn")
+    wanted = max(n_landmarks, LANDMARKS_PER_LANGUAGE * len(languages))
+    first = sample.select("lang", "mark", turn).where(F.col("turn") <= wanted).orderBy("turn", "lang").limit(wanted)
+    marks = sample.join(F.broadcast(first), ["lang", "mark"]).orderBy("turn", "lang").select("grams").collect()
+    model = LanguageModel.around(languages, order, [_unpacked(r["grams"]) for r in marks])
+    own = np.concatenate(
+        [model.kernel([_unpacked(r["grams"]) for r in marks[i : i + _BATCH]]) for i in range(0, len(marks), _BATCH)]
+    )
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     solid = values > 1e-8 * values.max()
     root = vectors[:, solid] / np.sqrt(values[solid])
-    features = np.concatenate(
-        [model.kernel([np.array(r["grams"]) for r in found[i : i + _BATCH]]) for i in range(0, len(found), _BATCH)]
-    ) @ root
-    names = np.array([r["lang"] for r in found])
-    target = (names[:, None] == np.array(languages)).astype(np.float64)
-    # Rows weigh so that each language counts the same, and 1 in all.
-    weight = (1 / (len(languages) * target.sum(axis=0)))[target.argmax(axis=1)][:, None]
-    gram = features.T @ (weight * features) + ridge * np.eye(features.shape[1])
-    model.weights = root @ np.linalg.solve(gram, features.T @ (weight * target))
+    products, targets = _sums(sample, model, root)
+    model.weights = root @ np.linalg.solve(products + ridge * np.eye(len(products)), targets)
     return model
 
 

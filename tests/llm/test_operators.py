@@ -263,6 +263,39 @@ def test_language_of_odd_rows(odd, none):
     assert {r["lang_pred"] for r in language_id.identify(odd, empty).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for lang in range(140):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(12)]
+        rows += [(None, " ".join(rng.choice(words, 30)), f"l{lang:03}") for _ in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, per_language=64)
+    assert len(model.languages) == 140 and len(model.norms) == 280
+    # Rows without an id are told apart by their texts, and the order of rows does not matter.
+    again = language_id.fit(spark.createDataFrame(rows[::-1], docs.schema).repartition(5), per_language=64)
+    assert np.array_equal(again.weights, model.weights)
+    found = language_id.identify(docs, model).collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in found) >= 0.97 * len(rows)
+
+
+def test_language_model_is_the_direct_solution(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("lang is not null")
+    model = language_id.fit(docs, per_language=40, n_landmarks=20)
+    sample = language_id._sample(docs.where("text is not null"), 40).collect()
+    finder = language_id.Presence(language_id.ORDER)
+    grams = [(r["lang"], finder.grams(r["text"])) for r in sample]
+    grams = [g for g in grams if g[1] is not None]
+    kernels = model.kernel([g for _, g in grams])
+    target = np.array([[lang == other for other in model.languages] for lang, _ in grams], float)
+    weight = (1 / (len(model.languages) * target.sum(axis=0)))[target.argmax(axis=1)][:, None]
+    # The ridge on Nyström features is one on the landmarks' kernel matrix. Landmarks are among the sample's rows.
+    here = [kernels[np.flatnonzero(np.isclose(kernels[:, j], 1))[0]] for j in range(20)]
+    own = np.array(here)
+    left = kernels.T @ (weight * kernels) + language_id.RIDGE * (own + own.T) / 2
+    assert kernels @ model.weights == pytest.approx(kernels @ np.linalg.lstsq(left, kernels.T @ (weight * target))[0], abs=1e-5)
+
+
 def test_language_stage_keeps_short_texts_and_drops_unknown_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     more = [(-1, "Avec."), (-2, "De."), (-3, "Re."), (-4, "xqzv jkwx qqzz kvvq wxjz"), (-5, "..."), (-6, None)]
@@ -509,6 +542,25 @@ def test_links_have_recall_and_no_false_pair(spark):
     assert pivot_permutation.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("sides", [False, True])
+def test_pairs_of_a_list_are_verified_where_they_meet_first(sides):
+    rng = np.random.default_rng(8)
+    n, shared, last = 1300, 3, 12
+    vectors = rng.standard_normal((1, 16)) + 0.25 * rng.standard_normal((n, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    others = [c for c in range(30) if c not in (4, 9, last)]
+    near = np.array([[4, 9, last, *rng.choice(others, 5, replace=False)] for _ in range(n)], np.int32)
+    side = np.arange(n) % 2 if sides else None
+    a, b = pivot_permutation._links(vectors, near, last, shared, 0.95, side)
+    codes = [set(row) for row in near.tolist()]
+    want = {
+        (i, j)
+        for i, j in zip(*np.nonzero(np.triu(vectors @ vectors.T >= 0.95, 1)))
+        if sorted(codes[i] & codes[j])[:shared] == [4, 9, last] and (not sides or (i - j) % 2)
+    }
+    assert len(a) == len(want) > 1000 and set(zip(a.tolist(), b.tolist())) == want
+
+
 def test_vectors_without_id_count_as_links(spark):
     rng = np.random.default_rng(11)
     a = rng.normal(size=16)
