@@ -33,8 +33,12 @@ _SEED = 20_240_229
 PIVOTS_BASE = 1 << 16
 # Names of vectors without an id begin here.
 MADE_IDS = 1 << 62
-# Vectors described in one matrix product.
+# Vectors described in one matrix product, and rows of a list compared with the others at a time.
 _BATCH = 2048
+_STRIP = 512
+# Columns that tell a list and its two blocks, and numbers of its rows.
+_LIST = ["dimension", "subset", "i", "j"]
+_NUMBERS = ["subset", "i", "j", "side", "rep", "mark", "copies"]
 
 
 @cache
@@ -101,15 +105,42 @@ def _subset_columns(nearest: int, shared: int) -> Column:
     return F.array(*codes)
 
 
-def _subsets(members: np.ndarray, shared: int) -> np.ndarray:
-    """The same numbers for rows of sorted members; rows x subsets."""
-    out = []
-    for chosen in combinations(range(members.shape[1]), shared):
-        code = np.zeros(len(members), np.int64)
-        for c in chosen:
-            code = code * PIVOTS_BASE + members[:, c]
-        out.append(code)
-    return np.stack(out, axis=1)
+def _meets_first(near: np.ndarray, last: int) -> np.ndarray:
+    """Presence rows over the reference points up to ``last``, the largest that names the list. The product of two rows
+    is the number of these points that both have; it is the size of the name if the list is the pair's first."""
+    points, place = np.unique(near, return_inverse=True)
+    present = np.zeros((len(near), len(points)), np.float32)
+    np.put_along_axis(present, place.reshape(near.shape), 1, axis=1)
+    return present[:, points <= last]
+
+
+def _links(
+    vectors: np.ndarray, near: np.ndarray, last: int, shared: int, threshold: float, side: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (a < b) of one list that are as near as ``threshold`` and meet nowhere before; with ``side`` only
+    those of different sides."""
+    left, right, present = [], [], None
+    for start in range(0, len(vectors), _STRIP):
+        # A strip against itself and the rows after it.
+        cosine = vectors[start : start + _STRIP] @ vectors[start:].T
+        a, b = np.nonzero(cosine >= threshold - 1e-12)
+        a, b = a[a < b], b[a < b]
+        if not len(a):
+            continue
+        if present is None:
+            present = _meets_first(near, last)
+        go = (present[start : start + _STRIP] @ present[start:].T)[a, b] == shared
+        # The order of sums in a product is open; next to the threshold they are taken in one order.
+        close = np.flatnonzero(go & (np.abs(cosine[a, b] - threshold) <= 1e-12))
+        go[close] = [vectors[start + i].dot(vectors[start + j]) >= threshold for i, j in zip(a[close], b[close])]
+        a, b = a[go] + start, b[go] + start
+        if side is not None:
+            a, b = a[side[a] != side[b]], b[side[a] != side[b]]
+        left.append(a)
+        right.append(b)
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _verify(
@@ -117,60 +148,44 @@ def _verify(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows come sorted by list and block pair; a list may go on in the next batch."""
 
-    def links(rows: list[tuple], out: list[list]) -> None:
-        subset = rows[0][1]
-        side, rep, mark, copies = (np.array([r[i] for r in rows]) for i in (4, 5, 6, 7))
-        vectors = _unit(np.stack([np.frombuffer(r[8], "<f8") for r in rows]))
-        near = np.sort(np.array([r[9] for r in rows]), axis=1)
-        # Vectors with the same nearest points share the same lists, so the first list is found per kind.
-        kinds, kind = np.unique(near, axis=0, return_inverse=True)
-        kind = kind.ravel()
-        codes = _subsets(kinds, shared)
-        order = np.argsort(kind, kind="stable")
-        starts = np.searchsorted(kind[order], np.arange(len(kinds) + 1))
-        crossing = rows[0][2] != rows[0][3]
-        left, right = [], []
-        for k in range(len(kinds)):
-            common = np.isin(codes[k:], codes[k])
-            first = np.where(common, codes[k:], np.iinfo(np.int64).max).min(axis=1) == subset
-            others = k + np.flatnonzero(first)
-            if not len(others):
+    def links(rows: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        """Links of the lists that begin at ``starts`` and end where the next one, or the last entry, begins."""
+        subset, i, j, side, rep, mark, copies = (rows.column(c).to_numpy() for c in _NUMBERS)
+        packed = rows.column("vec").cast(pa.large_binary())
+        ends = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
+        data = np.frombuffer(packed.buffers()[2], np.uint8)
+        near = rows.column("near").flatten().to_numpy().reshape(rows.num_rows, -1)
+        out: list[list] = [[], [], [], []]
+        for at, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            n = end - at
+            vectors = _unit(data[ends[at] : ends[end]].view("<f8").reshape(n, -1))
+            last = int(subset[at]) % PIVOTS_BASE
+            sides = side[at:end] if i[at] != j[at] else None
+            a, b = _links(vectors, near[at:end], last, shared, threshold, sides)
+            if not len(a):
                 continue
-            mine = order[starts[k] : starts[k + 1]]
-            theirs = np.concatenate([order[starts[j] : starts[j + 1]] for j in others])
-            a, b = np.nonzero(vectors[mine] @ vectors[theirs].T >= threshold - 1e-12)
-            a, b = mine[a], theirs[b]
-            # Within a kind each pair once; between blocks only across.
-            go = ((kind[a] != kind[b]) | (a < b)) & ((side[a] != side[b]) if crossing else True)
-            left.append(a[go])
-            right.append(b[go])
-        if not left:
-            return
-        a, b = np.concatenate(left), np.concatenate(right)
-        exact = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= threshold
-        a, b = a[exact], b[exact]
-        n = np.zeros(len(rows), np.int64)
-        np.add.at(n, a, copies[b])
-        np.add.at(n, b, copies[a])
-        root = local_roots(len(rows), a, b)
-        found = np.flatnonzero(n)
-        for column, values in zip(out, (rep, mark, n, rep[root])):
-            column += values[found].tolist()
+            counts = np.zeros(n, np.int64)
+            np.add.at(counts, a, copies[at + b])
+            np.add.at(counts, b, copies[at + a])
+            found = np.flatnonzero(counts)
+            root = local_roots(n, a, b)[found]
+            for column, values in zip(out, (rep[at + found], mark[at + found], counts[found], rep[at + root])):
+                column += values.tolist()
+        return _batch(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
+        held = None
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if group and row[:4] != group[0][:4]:
-                    links(group, out)
-                    group = []
-                group.append(row)
-            yield _batch(out)
-        out = [[], [], [], []]
-        if group:
-            links(group, out)
-        yield _batch(out)
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _LIST])
+            starts = np.concatenate(([0], 1 + np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))))
+            yield links(batch, starts)
+            held = batch.slice(starts[-1])
+        if held is not None:
+            yield links(held, np.array([0, held.num_rows]))
 
     return run
 
@@ -222,9 +237,8 @@ def near_duplicates(
     i, j = F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j")
     met = written(met.select("dimension", "subset", i, j, "side", "rep", "mark"), "list-members")
 
-    keys = ["dimension", "subset", "i", "j"]
-    rows = met.join(described, ["rep", "mark"]).select(*keys, "side", "rep", "mark", "copies", "vec", "near")
-    found = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+    rows = met.join(described, ["rep", "mark"]).select(*_LIST, "side", "rep", "mark", "copies", "vec", "near")
+    found = rows.repartition(*_LIST).sortWithinPartitions(*_LIST).mapInArrow(
         _verify(shared, threshold), "rep long, mark long, n long, root long"
     )
     found = written(found, "vector-links")
