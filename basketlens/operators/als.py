@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import asdict, dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import Accumulator
+from pyspark import Accumulator, inheritable_thread_target
 from pyspark.core.broadcast import Broadcast
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -365,33 +367,108 @@ def _improve(
     best[rows], ids[rows] = np.take_along_axis(values, order, 1), np.take_along_axis(names, order, 1)
 
 
+# Fits and evaluations that run at the same time.
+GRID_JOBS = 4
+
+
+def _grid_points(
+    given: ALSInput, truth: DataFrame, points: dict[int, ALSParams], k: int, users: DataFrame | None, jobs: int
+) -> dict[int, DataFrame]:
+    """Parameters and metrics of each point, a stored table of one row.
+
+    Points are fitted and evaluated by ``jobs`` threads at a time, each in a pool of its own: with
+    ``spark.scheduler.mode`` FAIR they share the executors, so one's short stages fill the gaps of another's.
+    """
+    from basketlens.operators.metrics import mean_metrics, per_user_metrics
+
+    spark = truth.sparkSession
+    asked = truth if users is None else truth.join(users, "customer_id", "left_semi")
+
+    def measured(config: int, params: ALSParams) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{config}")
+        try:
+            model = ALSCandidates.fit_input(given, params)
+            known = model.known(asked)
+            recs = model.recommend(known, k).withColumn("rank", F.col("als_rank") + 1)
+            scores = per_user_metrics(recs, asked, k).join(known, "customer_id", "left_semi")
+            row = mean_metrics(scores).select(
+                F.lit(config).alias("config"),
+                *[F.lit(v).alias(name) for name, v in asdict(params).items()],
+                "recall",
+                "hit_rate",
+                "n_users",
+            )
+            return written(row, "grid-point")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, jobs)) as pool:
+        started = {
+            config: pool.submit(inheritable_thread_target(spark)(measured), config, params)
+            for config, params in points.items()
+        }
+        return {config: one.result() for config, one in started.items()}
+
+
 def als_grid(
-    train: DataFrame, truth: DataFrame, grid: list[ALSParams], k: int = S.N_CANDIDATES, users: DataFrame | None = None
+    train: DataFrame,
+    truth: DataFrame,
+    grid: list[ALSParams],
+    k: int = S.N_CANDIDATES,
+    users: DataFrame | None = None,
+    jobs: int = GRID_JOBS,
 ) -> DataFrame:
     """Recall and hit rate at ``k`` per parameter set on the known customers of ``truth``, best first.
 
-    The grid is a short driver-side list; every fit and every evaluation is a distributed job. Purchases are counted
-    and ids numbered once for the whole grid.
+    The grid is a short driver-side list; every fit and every evaluation is a distributed job, ``jobs`` points at a
+    time. Purchases are counted and ids numbered once for the whole grid.
     """
-    from basketlens.operators.metrics import mean_metrics, per_user_metrics
+    if not grid:
+        raise ValueError("the grid is empty")
+    shared_dir(train.sparkSession)
+    rows = _grid_points(ALSInput.of(train), truth, dict(enumerate(grid)), k, users, jobs)
+    return reduce(DataFrame.unionByName, rows.values()).orderBy(F.desc("recall"), "config")
+
+
+def als_halving(
+    train: DataFrame,
+    truth: DataFrame,
+    grid: list[ALSParams],
+    k: int = S.N_CANDIDATES,
+    users: DataFrame | None = None,
+    jobs: int = GRID_JOBS,
+    keep: int = 2,
+) -> DataFrame:
+    """Successive halving: the grid with few iterations first, and more only for its better part.
 
+    In each round the best one in ``keep`` points (rounded up; equal recall goes by position) stay, until one is left; it is
+    measured with its own iterations. The round before has one ``keep``-th of them, and so on, at least one. Every
+    point is reported with the last ``round`` (from 0) that it took part in, the ``fitted_iterations`` there and the metrics
+    of that fit; the point that stayed is first.
+    """
     if not grid:
         raise ValueError("the grid is empty")
+    if keep < 2:
+        raise ValueError("a round must leave out at least every second point")
     shared_dir(train.sparkSession)
     given = ALSInput.of(train)
-    rows = None
-    for i, params in enumerate(grid):
-        model = ALSCandidates.fit_input(given, params)
-        asked = truth if users is None else truth.join(users, "customer_id", "left_semi")
-        known = model.known(asked)
-        recs = model.recommend(known, k).withColumn("rank", F.col("als_rank") + 1)
-        scores = per_user_metrics(recs, asked, k).join(known, "customer_id", "left_semi")
-        row = mean_metrics(scores).select(
-            F.lit(i).alias("config"),
-            *[F.lit(v).alias(name) for name, v in asdict(params).items()],
-            "recall",
-            "hit_rate",
-            "n_users",
-        )
-        rows = row if rows is None else rows.unionByName(row)
-    return rows.orderBy(F.desc("recall"), "config")
+    sizes = [len(grid)]
+    while sizes[-1] > 1:
+        sizes.append(-(-sizes[-1] // keep))
+    left, rows = list(range(len(grid))), []
+    for number, size in enumerate(sizes):
+        share = keep ** (len(sizes) - 1 - number)
+        points = {c: replace(grid[c], iterations=max(1, grid[c].iterations // share)) for c in left}
+        found = _grid_points(given, truth, points, k, users, jobs)
+        recall = {c: row.first()["recall"] or 0.0 for c, row in found.items()}
+        staying = sorted(left, key=lambda c: (-recall[c], c))[: sizes[number + 1]] if number + 1 < len(sizes) else []
+        rows += [
+            found[c].withColumnsRenamed({"iterations": "fitted_iterations"}).withColumns(
+                {"round": F.lit(number), "iterations": F.lit(grid[c].iterations)}
+            )
+            for c in left
+            if c not in staying
+        ]
+        left = staying
+    order = [F.desc("round"), F.desc("recall"), "config"]
+    return reduce(DataFrame.unionByName, rows).orderBy(*order)

@@ -346,6 +346,15 @@ WHERE sales_channel_id IS NULL OR sales_channel_id NOT IN (1, 2) GROUP BY 1""",
        count(DISTINCT customer_id) AS unique_customers, count(DISTINCT article_id) AS unique_articles FROM dtx""",
             TX, DIRTY,
         ),
+        "month_statistics": _q(
+            """SELECT CAST(date_trunc('month', t_dat) AS DATE) AS month, count(*) AS row_count,
+       count(*) FILTER (customer_id IS NULL) AS null_customer_id, count(*) FILTER (article_id IS NULL) AS null_article_id,
+       count(*) FILTER (price IS NULL) AS null_price, min(price) AS price_min, max(price) AS price_max,
+       min(CAST(t_dat AS DATE)) AS date_min, max(CAST(t_dat AS DATE)) AS date_max,
+       TRUE AS customers_near, TRUE AS articles_near, TRUE AS median_near
+FROM dtx GROUP BY 1""",
+            TX, DIRTY,
+        ),
         "duplicate_transactions": _q(
             """SELECT customer_id, article_id, t_dat, count(*) - 1 AS extra_rows FROM dtx
 GROUP BY 1, 2, 3 HAVING count(*) > 1""",
@@ -508,6 +517,11 @@ FROM unseen WHERE n > 0""",
 FROM (VALUES (0, CAST({S.ALS_ALPHA} AS DOUBLE)), (1, CAST(15 AS DOUBLE))) g(config, alpha)""",
             *PLAIN,
         ),
+        "als_halving_facts": _q(
+            """SELECT round, fitted_iterations, n_points, n_points * (SELECT count(*) FROM known_val) AS n_users
+FROM (VALUES (0, 2, 2), (1, 4, 1), (2, 8, 1)) g(round, fitted_iterations, n_points)""",
+            *PLAIN,
+        ),
         "clean_transactions": _q(
             f"SELECT {tx_cols} FROM tx WHERE l_orderkey % 1021 <> 0 AND l_orderkey % 1019 <> 0", TX
         ),

@@ -22,6 +22,7 @@ from basketlens.operators import metrics as ME
 from basketlens.operators import training as PL
 from basketlens.operators import popularity as P
 from basketlens.operators import ranking as R
+from basketlens.operators import sketches as SK
 from basketlens.operators import split as SP
 from basketlens.operators import staging as ST
 from basketlens.operators import two_stage as TS
@@ -238,6 +239,37 @@ def transaction_stats(spark: SparkSession, sf: str) -> DataFrame:
     return V.transaction_stats(X.dirty_transactions(spark, sf))
 
 
+@query
+def month_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics per month from the days' sketches, their estimates held against exact ones: counts at six
+    standard errors, the median by the ranks around it."""
+    tx = X.dirty_transactions(spark, sf)
+    # Half of the rows are sketched first, the others are added to the same days.
+    early = F.pmod(F.xxhash64("customer_id", "article_id"), F.lit(2)) == 0
+    days = written(SK.daily_sketches(tx.filter(early)), "sketches")
+    days = written(SK.add_days(days, tx.filter(~early)), "sketches")
+    month = F.trunc("day", "MM").alias("month")
+    told = SK.statistics(SK.merge_sketches(days, month), [0.5]).withColumn("median", F.get("price_quantiles", F.lit(0)))
+    rows = tx.select(F.trunc("t_dat", "MM").alias("_month"), "customer_id", "article_id", "price")
+    rows = rows.join(F.broadcast(told.select(F.col("month").alias("_m"), "median")), F.col("_month").eqNullSafe(F.col("_m")))
+    exact = rows.groupBy("_month").agg(
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_distinct("article_id").alias("articles"),
+        F.count_if(F.col("price") < F.col("median")).alias("below"),
+        F.count_if(F.col("price") <= F.col("median")).alias("reached"),
+    )
+    n = F.col("row_count") - F.col("null_price")
+    near = lambda c: F.abs(F.col(f"unique_{c}") - F.col(c)) <= 6 * SK.COUNT_ERROR * F.col(c) + 0.5
+    slack = 3 * SK.RANK_ERROR * n + 1
+    return told.join(exact, F.col("month").eqNullSafe(F.col("_month"))).select(
+        "month",
+        *["row_count", "null_customer_id", "null_article_id", "null_price", "price_min", "price_max", "date_min", "date_max"],
+        near("customers").alias("customers_near"),
+        near("articles").alias("articles_near"),
+        ((F.col("below") <= n / 2 + slack) & (F.col("reached") >= n / 2 - slack)).alias("median_near"),
+    )
+
+
 @query
 def duplicate_transactions(spark: SparkSession, sf: str) -> DataFrame:
     return V.duplicate_transactions(X.dirty_transactions(spark, sf))
@@ -690,6 +722,13 @@ def als_grid(spark: SparkSession, sf: str) -> DataFrame:
     return A.als_grid(split.train, SP.ground_truth(split, "val"), grid)
 
 
+@query
+def als_halving(spark: SparkSession, sf: str) -> DataFrame:
+    split = _split(spark, sf)
+    grid = [A.ALSParams(factors=16, iterations=8, alpha=a, regularization=r) for a in (15.0, 40.0) for r in (0.01, 0.1)]
+    return A.als_halving(split.train, SP.ground_truth(split, "val"), grid)
+
+
 # What SQL can tell about the learned results, although it cannot learn them.
 
 
@@ -731,6 +770,12 @@ def als_grid_facts(spark: SparkSession, sf: str) -> DataFrame:
     return als_grid(spark, sf).select("config", "factors", "alpha", "n_users")
 
 
+@query
+def als_halving_facts(spark: SparkSession, sf: str) -> DataFrame:
+    tried = als_halving(spark, sf).groupBy("round", "fitted_iterations")
+    return tried.agg(F.count(F.lit(1)).alias("n_points"), F.sum("n_users").alias("n_users"))
+
+
 def popular_for_test_customers(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship question: what would popularity, learned before the test window, recommend in it?"""
     return _recommendations(_split(spark, sf), "test", S.EVAL_K)

@@ -194,3 +194,26 @@ def test_grid(make_tx):
     assert [(r["config"], r["n_users"], r["recall"], r["hit_rate"]) for r in rows] == [(0, 9, 1.0, 1.0), (1, 9, 1.0, 1.0)]
     with pytest.raises(ValueError, match="grid is empty"):
         A.als_grid(split.train, SP.ground_truth(split, "val"), [])
+
+
+def test_halving_finds_the_best_of_the_grid(make_tx):
+    """Customers buy within their own half of the articles: one factor cannot tell the halves apart, four can."""
+    days, last = [], []
+    for c in range(24):
+        own = [f"{'pq'[c % 2]}{i}" for i in range(8)]
+        bought = [own[(c + s) % 8] for s in (0, 1, 2, 4, 5)]
+        days += [(f"2021-05-{3 + d:02d}", f"k{c}", a) for d, a in enumerate(bought)]
+        last.append(("2021-05-20", f"k{c}", own[(c + 3) % 8]))
+    split = SP.make_temporal_split(make_tx(days + last + [("2021-05-25", "k0", "p0")]), "2021-05-15", "2021-05-24")
+    truth = SP.ground_truth(split, "val")
+    grid = [A.ALSParams(factors=f, iterations=8, alpha=a) for f in (1, 4) for a in (10.0, 40.0)] + [A.ALSParams(2, 8)]
+    full = A.als_grid(split.train, truth, grid, k=3, jobs=1).collect()
+    assert full == A.als_grid(split.train, truth, grid, k=3, jobs=3).collect()
+    halved = A.als_halving(split.train, truth, grid, k=3).collect()
+    assert halved[0]["config"] == full[0]["config"] and halved[0]["recall"] == full[0]["recall"]
+    assert sorted(r["config"] for r in halved) == [0, 1, 2, 3, 4]
+    assert [(r["round"], r["fitted_iterations"], r["iterations"]) for r in halved] == [(3, 8, 8), (2, 4, 8), (1, 2, 8), (0, 1, 8), (0, 1, 8)]
+    with pytest.raises(ValueError, match="grid is empty"):
+        A.als_halving(split.train, truth, [])
+    with pytest.raises(ValueError, match="every second"):
+        A.als_halving(split.train, truth, grid, keep=1)

@@ -24,6 +24,7 @@ LEARNED = {
     "two_stage_recommend",
     "evidence_run",
     "als_grid",
+    "als_halving",
 }
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF).exists(), reason="the shared test tables are not here")
