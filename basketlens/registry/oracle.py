@@ -460,6 +460,7 @@ FROM art LEFT JOIN (
         ),
         "negative_sampling": _q("SELECT customer_id, article_id, als_rank, label FROM sampled", *dataset),
         "feature_matrix": _q(_features("pairs"), *PLAIN, _POPULAR, _PAIRS, _ITEM_FEATS, _USER_FEATS),
+        "feature_matrix_from_buckets": _q(_features("pairs"), *PLAIN, _POPULAR, _PAIRS, _ITEM_FEATS, _USER_FEATS),
         "ranking_dataset": _q(_features("sampled", "label"), *dataset, _ITEM_FEATS, _USER_FEATS),
         "ranking_dataset_stats": _q(
             """SELECT count(*) AS n_rows, count(DISTINCT customer_id) AS n_groups,

@@ -449,6 +449,18 @@ def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return FE.feature_matrix(pairs, items, FE.user_features_from(stats))
 
 
+@query
+def feature_matrix_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same matrix from stored user features in buckets, which are joined without an exchange of their own."""
+    split, pairs = _pairs(spark, sf)
+    stats = written(FE.interaction_stats(split.train), "stats")
+    items = written(FE.item_features_from(stats), "item-features")
+    users = written(FE.user_features_from(stats), "user-features")
+    n_buckets = SM.bucket_count(spark, users.count())
+    path = scratch_path(spark, "user-buckets")
+    return FE.feature_matrix(pairs, items, SM.write_bucketed(users, path, "customer_id", n_buckets))
+
+
 def _dataset(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
     stats = written(FE.interaction_stats(split.train), "stats")

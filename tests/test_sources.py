@@ -135,3 +135,20 @@ def test_monthly_mart_spreads_a_hot_month(spark, tmp_path):
     assert files > 1
     marts.write_clustered(df, str(tmp_path / "c"), ["customer_id"])
     assert spark.read.parquet(str(tmp_path / "c")).count() == 20_000
+
+
+def test_bucketed_table_is_found_again(spark, tmp_path):
+    path = str(tmp_path / "buckets")
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("customer_id"), (F.col("id") % 7).alias("n"))
+    marts.write_bucketed(rows.limit(10), path, "customer_id", 4)
+    marts.write_bucketed(rows, path, "customer_id", 4)
+    marts.forget_bucketed(spark, path)
+    back = marts.read_bucketed(spark, path, "customer_id", 4)
+    assert back.schema.simpleString() == rows.schema.simpleString() and back.exceptAll(rows).isEmpty() and back.count() == 1000
+    # One file per bucket, read by one task each; counting per key needs no exchange.
+    assert len(back.inputFiles()) == 4
+    plan = back.groupBy("customer_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan
+    marts.write_bucketed(rows.limit(0), path, "customer_id", 4)
+    assert spark.read.schema(rows.schema).parquet(path).count() == 0
+    assert marts.bucket_count(spark, 10) == 4 and marts.bucket_count(spark, 1_000_000) == 20

@@ -15,6 +15,7 @@ from basketlens.operators import training as PL
 from basketlens.operators import two_stage as TS
 from basketlens.operators.validate import DataValidationError
 from basketlens.sources import bundle as B
+from basketlens.sources import marts as SM
 
 
 @pytest.fixture(scope="module")
@@ -139,6 +140,59 @@ class _BrokenOff(RuntimeError):
     pass
 
 
+def lines_above(plan, mark):
+    """The operators from the scan that holds ``mark`` up to its join."""
+    lines = plan.splitlines()
+    depth = lambda line: max(line.find("+-"), line.find(":-"))
+    at = next(i for i, line in enumerate(lines) if mark in line)
+    found, least = [lines[at]], depth(lines[at])
+    for line in lines[at - 1 :: -1]:
+        if depth(line) < least:
+            found, least = [*found, line], depth(line)
+        if "Join" in found[-1]:
+            return found
+    raise AssertionError("no join above the scan")
+
+
+def test_customer_features_of_a_bundle_are_joined_without_an_exchange(spark, two, lists, tmp_path):
+    path = str(tmp_path / "it's a bundle")
+    two.save(path)
+    name = SM._bucketed_name(f"{path}/versions/1/user_features")
+    asked = users(spark, "u01", "u02", "u03")
+    want = lists(two.rerank(asked, 5))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        # As another session would find it: files and manifest, but no entry in the catalog.
+        SM.forget_bucketed(spark, f"{path}/versions/1/user_features")
+        assert not spark.catalog.tableExists(name)
+        loaded = TS.TwoStageRecommender.load(spark, path)
+        ranked = loaded.rerank(asked, 5)
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        way = lines_above(plan, "Bucketed: true")
+        assert not any("Exchange" in line for line in way), way
+        assert lists(ranked) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
+def test_planted_taste_is_learned(spark, make_tx):
+    """Six groups of customers, each with ten articles of its own: what is popular fits one customer in six."""
+    rnd = random.Random(9)
+    start, rows = dt.date(2020, 1, 1), []
+    for u in range(72):
+        mine = [f"{10 * (u % 6) + i:010d}" for i in range(10)]
+        rnd.shuffle(mine)
+        for d, article in enumerate(mine[:9]):
+            rows.append(((start + dt.timedelta(days=d if d < 7 else 2 * d - 7)).isoformat(), f"u{u:02d}", article, 5.0, 1))
+    params = dataclasses.replace(PARAMS, n_candidates=20, als=A.ALSParams(factors=8, iterations=8))
+    trained = PL.train_models(make_tx(rows), params)
+    told = {(r["model"], r["split"]): r for r in PL.compare_trained(trained, params).collect()}
+    for split in ("val", "test"):
+        base, als, both = (told[m, split] for m in ("popularity", "als_raw", "two_stage"))
+        assert als["ndcg"] > 2 * base["ndcg"] and both["ndcg"] > 2 * base["ndcg"]
+        assert both["recall"] >= 0.9 > 2 * base["recall"]
+
+
 def test_a_save_that_stops_half_way_serves_the_old_bundle(spark, two, tmp_path, monkeypatch):
     path = str(tmp_path / "bundle")
     assert two.save(path) == 1
