@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -93,6 +94,8 @@ _PATTERN = re.compile(
     """,
     re.VERBOSE,
 )
+# Digits grouped like a phone number that are years or a round number instead.
+_NUMBERS = re.compile(r"(?:(?:19|20)[0-9]{2}[ .-]?){2,}|[0-9]{1,3}(?:[ .][0-9]{3})*[ .]000")
 # A text without any of these has no entity.
 _HINT = re.compile(rf"[0-9@=]|(?<!\w)(?:{_TITLE})\.? |{_INTRO}|(?i:password|passwd|pwd|token|secret|key)")
 
@@ -167,7 +170,7 @@ def find(text: str | None) -> list[Entity]:
                 out.append(Entity(kind, digits, *m.span()))
         elif kind in ("phone", "phone2"):
             digits = re.sub(r"\D", "", word)
-            if 8 <= len(digits) <= 15:
+            if 8 <= len(digits) <= 15 and not _NUMBERS.fullmatch(word):
                 out.append(Entity("phone", _phone(digits), *m.span()))
         else:
             _person(m, out, people)
@@ -190,17 +193,30 @@ def _person(m: re.Match, out: list[Entity], people: dict[str, str]) -> None:
         at += len(name) + 1
 
 
-def _mentions(text: str, out: list[Entity], people: dict[str, str]) -> None:
-    """Other mentions of people who were introduced in the text."""
-    taken = {e.start for e in out}
-    names = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(people, key=len, reverse=True))) + r")(?!\w)")
-    for m in names.finditer(text):
-        if m.start() not in taken and not any(e.start < m.end() and m.start() < e.end for e in _near(out, m.start())):
-            out.append(Entity(people[m[0]], m[0].casefold(), *m.span()))
+# A word that may hold names, and its parts.
+_CAPITAL = re.compile(rf"(?<!\w)[{_UPPER}]\w*(?:[-'’]\w+)*")
+_PART = re.compile(r"\w+")
 
 
-def _near(entities: list[Entity], at: int) -> list[Entity]:
-    return [e for e in entities if e.start <= at < e.end]
+def _mentions(text: str, out: list[Entity], people: dict[str, str]) -> None:
+    """Other mentions of people who were introduced in the text: whole parts of words, the longest name at a place."""
+    longest = max(len(_PART.findall(name)) for name in people)
+    starts, ends = [e.start for e in out], [e.end for e in out]
+    for word in _CAPITAL.finditer(text):
+        parts = [m.span() for m in _PART.finditer(text, *word.span())]
+        i = 0
+        while i < len(parts):
+            for j in range(min(i + longest, len(parts)), i, -1):
+                start, end = parts[i][0], parts[j - 1][1]
+                if text[start:end] not in people:
+                    continue
+                at = bisect_right(starts, start)
+                if not (at and ends[at - 1] > start) and not (at < len(starts) and starts[at] < end):
+                    name = text[start:end]
+                    out.append(Entity(people[name], name.casefold(), start, end))
+                i = j - 1
+                break
+            i += 1
 
 
 # ---- drawing -------------------------------------------------------------------------------------------------
@@ -234,26 +250,35 @@ class Draw:
         return chr(65 + self.below(26)) if "A" <= c <= "Z" else c
 
 
+# Attempts after which a small private network counts as full, and after which a form without room is an error.
+_LATE = 8
+MAX_ATTEMPTS = 64
+
+
 def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
-    """The surrogate's canonical form."""
+    """The surrogate's canonical form. Names, mail addresses, hosts and secrets get longer every fourth attempt."""
     draw = Draw(key, kind, canon, str(attempt))
+    longer = "x" * (attempt // 4)
     if kind == "email":
-        local, _, domain = canon.rpartition("@")
-        host, dot, top = domain.rpartition(".")
-        return f"{draw.same_form(local)}@{Draw(key, 'domain', domain).same_form(host)}{dot}{top}"
+        # With the domain it has; that of the surrogate is drawn for the domain.
+        local, at, domain = canon.rpartition("@")
+        return draw.same_form(local + longer) + at + domain
+    if kind == "domain":
+        host, dot, top = canon.rpartition(".")
+        return draw.same_form(host + longer) + dot + top
     if kind == "aws":
         return canon[:4] + draw.same_form(canon[4:])
     if kind == "github":
         return canon[:4] + draw.same_form(canon[4:])
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+", canon):
-            return "".join("0123456789abcdef"[draw.below(16)] for _ in canon)
-        return draw.same_form(canon)
+            return "".join("0123456789abcdef"[draw.below(16)] for _ in canon + longer)
+        return draw.same_form(canon + longer)
     if kind == "iban":
         body = canon[:2] + "00" + draw.same_form(canon[4:])
         return body[:2] + f"{98 - _iban_rest(body):02d}" + body[4:]
     if kind == "ipv4":
-        return _address(draw, [int(o) for o in canon.split(".")])
+        return _address(draw, [int(o) for o in canon.split(".")], attempt)
     if kind == "ssn":
         return f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
     if kind == "card":
@@ -272,10 +297,14 @@ def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
     return "-".join(heads[draw.below(len(heads))] + tails[draw.below(len(tails))] for _ in range(parts)).casefold()
 
 
-def _address(draw: Draw, octets: list[int]) -> str:
-    """An address of the same class: private networks stay in theirs, public ones outside of them."""
+def _address(draw: Draw, octets: list[int], attempt: int) -> str:
+    """An address of the same class: private networks stay in theirs, public ones outside of them.
+
+    A private network without room, as late attempts tell, goes on in the largest of them.
+    """
     first, second = octets[:2]
-    if first == 10:
+    private = (first, second) == (192, 168) or first == 172 and 16 <= second < 32
+    if first == 10 or private and attempt >= _LATE:
         new = [10, draw.below(256)]
     elif (first, second) == (192, 168):
         new = [192, 168]
@@ -313,11 +342,12 @@ def in_form(kind: str, original: str, new: str) -> str:
 
 
 def _entity_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_id, _mark, kind, canon): the different entities of each document."""
+    """(_id, _mark, kind, canon): the different entities of each document, and the domains of its mail addresses."""
     for batch in batches:
         out: list[tuple] = []
         for doc_id, mark, text in zip(*batch.columns):
             found = {(e.kind, e.canon) for e in find(text.as_py())}
+            found |= {("domain", canon.rpartition("@")[2]) for kind, canon in found if kind == "email"}
             out += [(doc_id.as_py(), mark.as_py(), *e) for e in sorted(found)]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
         columns = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
@@ -338,14 +368,15 @@ def assign_surrogates(entities: DataFrame, key: bytes, drawn: Callable = surroga
     """(kind, canon, attempt, new) for every row of ``entities`` (kind, canon), which are distinct.
 
     Within a kind no two rows have the same ``new``; but for names, none is the canonical form of any row either
-    (a list of names cannot avoid all names there are). A round settles all but those that collided.
+    (a list of names cannot avoid all names there are). A round settles all but those that collided. If a form has no room for
+    all entities that have it, so that some still collide after MAX_ATTEMPTS, that is a ValueError.
     """
     schema = "kind string, canon string, attempt int, new string"
     entities = written(entities.select("kind", "canon"), "entities")
     real = entities.where(~F.col("kind").rlike("^(given|family)")).select("kind", F.col("canon").alias("new"))
     pending = entities.withColumn("attempt", F.lit(0))
     settled: DataFrame | None = None
-    while True:
+    for _ in range(MAX_ATTEMPTS):
         tried = written(pending.mapInArrow(_draws(key, drawn), schema), "draws")
         free = tried.join(real, ["kind", "new"], "left_anti")
         if settled is not None:
@@ -357,6 +388,8 @@ def assign_surrogates(entities: DataFrame, key: bytes, drawn: Callable = surroga
         pending = written(lost.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), "collided")
         if pending.isEmpty():
             return settled
+    full = ", ".join(f"{r['count']} of {r['kind']}" for r in pending.groupBy("kind").count().orderBy("kind").collect())
+    raise ValueError(f"no room for surrogates of the same form: {full}")
 
 
 def _rewrite(key: bytes, drawn: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -370,6 +403,9 @@ def _rewrite(key: bytes, drawn: Callable) -> Callable[[Iterator[pa.RecordBatch]]
                 found = find(text)
                 for e in found:
                     new = drawn(key, e.kind, e.canon, attempts.get((e.kind, e.canon), 0))
+                    if e.kind == "email":
+                        local, _, domain = new.rpartition("@")
+                        new = f"{local}@{drawn(key, 'domain', domain, attempts.get(('domain', domain), 0))}"
                     parts += [text[at : e.start], in_form(e.kind, text[e.start : e.end], new)]
                     at = e.end
                     seen.add(e.kind.partition("-")[0])

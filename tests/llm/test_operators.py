@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 
 import duckdb
@@ -102,6 +103,61 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(out) == 5 and len({r["new"] for r in out}) == 5 and not {r["new"] for r in out} & set("abcde")
 
 
+def test_mentions_equal_a_search_for_all_names():
+    rng = np.random.default_rng(2)
+    people = {n: "family-latin" for n in ("Ann", "Ann-Lee", "Lee", "O'Neil", "Neil", "Annika", "Bo")}
+    pieces = [*people, "ann", "Mc", "x", "-", "-", "'", " ", " ", ". ", "_"]
+    for _ in range(300):
+        text = "".join(rng.choice(pieces, 25))
+        taken = pii_surrogates.Entity("secret", "", 10, 25)
+        out = [taken]
+        pii_surrogates._mentions(text, out, people)
+        names = re.compile(r"(?<!\w)(?:" + "|".join(sorted(people, key=len, reverse=True)) + r")(?!\w)")
+        want = [m.span() for m in names.finditer(text) if m.end() <= 10 or m.start() >= 25]
+        assert [(e.start, e.end) for e in out[1:]] == want
+
+
+def test_a_very_long_text_is_searched_in_one_go():
+    names = [f"{a.capitalize()}{b}" for a in ("bar", "kor", "lin", "mos") for b in ("a" * n + c for n in range(1, 60) for c in "bdfghk")]
+    text = " ".join(f"Mr. {n} wrote to {n.lower()}@mail.org and {n} left on {i} May." for i, n in enumerate(names * 100))
+    assert len(text) > 9_000_000
+    started = time.monotonic()
+    found = pii_surrogates.find(text)
+    assert len(found) == 3 * len(names) * 100 and time.monotonic() - started < 60
+
+
+def test_years_and_round_numbers_are_no_phones():
+    for text in ("Years 2001 2002 2003", "10 000 000 people", "from 1999-2001 2004", "some 1.250.000 rows"):
+        assert [e for e in pii_surrogates.find(text) if e.kind == "phone"] == []
+    for text in ("Call 988-555-2485", "Call +49 30 1234 5678", "Call (030) 555 0199", "Call 2001 555 0199"):
+        assert [e.kind for e in pii_surrogates.find(text)] == ["phone"]
+
+
+def test_full_forms_get_longer_or_are_an_error(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    canons = [("domain", f"{c}.co") for c in letters] + [("email", f"{c}@x.co") for c in letters]
+    canons += [("ipv4", f"192.168.{i}.{j}") for i in range(140) for j in range(1, 255)]
+    rows = spark.createDataFrame(canons, "kind string, canon string")
+    out = pii_surrogates.assign_surrogates(rows, KEY).collect()
+    new = {(r["kind"], r["new"]) for r in out}
+    assert len(out) == len(new) == len(canons) and not new & set(canons)
+    assert all(r["new"].startswith(("192.168.", "10.")) for r in out if r["kind"] == "ipv4")
+    narrow = lambda key, kind, canon, attempt: str(attempt % 2)
+    with pytest.raises(ValueError, match="no room .*: 3 of aws"):
+        pii_surrogates.assign_surrogates(spark.createDataFrame([("aws", c) for c in "vwxyz"], rows.schema), KEY, narrow)
+
+
+def test_hosts_stay_apart(spark):
+    text = " ".join(f"me@{c}.co and you@{c}.co;" for c in "abcdefghijklmnopqrstuvwxyz")
+    docs = spark.createDataFrame([(1, text), (2, "me@q.co")], "doc_id long, text string")
+    out = by_id(pii_surrogates.replace_entities(docs, KEY))
+    mails = re.findall(r"(\S+)@(\w+)\.co", out[1]["text"])
+    hosts = [h for _, h in mails[::2]]
+    assert hosts == [h for _, h in mails[1::2]] and len(set(hosts)) == 26 and all(len(h) > 1 for h in hosts)
+    place = "abcdefghijklmnopqrstuvwxyz".index("q")
+    assert out[2]["text"] == "@".join(mails[2 * place]) + ".co" and out[1]["n_entities"] == 52
+
+
 def test_surrogates_of_odd_rows(spark, odd, none):
     out = pii_surrogates.replace_entities(odd, KEY)
     assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, odd.select("doc_id", "text").collect()))
