@@ -39,6 +39,7 @@ SAMPLE_BYTES = 16_384
 RECORDS_PER_ARCHIVE = 5000
 # Bytes handed to the decoder at a time.
 _FEED = 1 << 16
+_SMALL_FEED = 1 << 12
 
 
 def payload_digest(payload: bytes) -> str:
@@ -145,15 +146,22 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 # ---- reading -----------------------------------------------------------------------------------------------
 
 
+# Bytes of a decoded record that are held at most, and of a frame's header.
+MAX_RECORD = 1 << 30
+_FRAME_HEAD = 18
+# Names of archives: those of the sink here, and the usual ones.
+ARCHIVE_NAMES = "*.{txt,zst}"
+
+
 class ArchiveError(ValueError):
     """What is wrong with an archive or a record."""
 
 
-def archive_frames(data: bytes) -> Iterator[tuple[int, bytes]]:
+def archive_frames(data: bytes, most: int = MAX_RECORD) -> Iterator[tuple[int, bytes]]:
     """(offset, content) of every compressed frame of an archive, one record each.
 
     The leading skippable frame gives the dictionary, itself plain or compressed; other skippable frames are
-    passed over.
+    passed over. A frame that says it holds more than ``most`` bytes, or turns out to, ends the archive with an error.
     """
     view, at, known = memoryview(data), 0, None
     while at < len(view):
@@ -172,13 +180,20 @@ def archive_frames(data: bytes) -> Iterator[tuple[int, bytes]]:
             raise ArchiveError(f"no frame at {at}")
         start, parts = at, []
         try:
+            told = zstandard.get_frame_parameters(view[at : at + _FRAME_HEAD]).content_size
+            unsized = told == zstandard.CONTENTSIZE_UNKNOWN
+            # A block of some bytes can stand for 128 KB, so without a stated size little is decoded at a time.
+            held, step = (0, _SMALL_FEED) if unsized else (told, _FEED)
             decoder = zstandard.ZstdDecompressor(dict_data=known).decompressobj()
-            while not decoder.eof:
-                fed = view[at : at + _FEED]
+            while held <= most and not decoder.eof:
+                fed = view[at : at + step]
                 if not len(fed):
                     raise ArchiveError(f"frame at {start} is cut off")
                 parts.append(decoder.decompress(fed))
                 at += len(fed) - len(decoder.unused_data)
+                held += len(parts[-1]) if unsized else 0
+            if held > most:
+                raise ArchiveError(f"frame at {start} holds over {most} bytes")
         except zstandard.ZstdError as problem:
             raise ArchiveError(f"frame at {start}: {problem}") from problem
         yield start, b"".join(parts)
@@ -319,14 +334,14 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(rows)
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of all archives in the folder ``path``.
+def read_archives(spark: SparkSession, path: str, names: str = ARCHIVE_NAMES) -> DataFrame:
+    """One row per record of all archives in the folder ``path`` whose names fit the pattern ``names``.
 
     A record that fails a check, and an archive from the place on where it cannot be read, is a row with ``error``
     and without content. ``payload`` is null for revisits; their ``payload_bytes`` and ``payload_digest``
     are those of the payload they stand for. An empty file has no records.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path)
     return files.select("path", "content").mapInArrow(_records, RECORD)
 
 

@@ -383,6 +383,35 @@ def test_archives_round_trip(spark):
     assert out["<urn:page:2>"]["refers_to"] == "<urn:page:3>"
 
 
+def test_archives_of_others_are_read(spark, tmp_path):
+    record = warc_zstd.record_bytes(7, "x://a", b"seven", None, False)
+    whole = zstandard.ZstdCompressor().compress(record)
+    opened = zstandard.ZstdCompressor().compressobj()
+    unsized = opened.compress(record) + opened.flush()
+    (tmp_path / "a.warc.zst").write_bytes(whole + unsized)
+    (tmp_path / "b.warc.zst").write_bytes(b"")
+    (tmp_path / "notes.md").write_bytes(b"no archive")
+    rows = warc_zstd.read_archives(spark, str(tmp_path)).collect()
+    assert [(r["record_type"], bytes(r["payload"]), r["error"]) for r in rows] == [("response", b"seven", None)] * 2
+    assert warc_zstd.read_archives(spark, str(tmp_path), "*.md").first()["error"]
+    bomb = zstandard.ZstdCompressor().compress(bytes(1 << 22))
+    opened = zstandard.ZstdCompressor().compressobj()
+    for data in (bomb, opened.compress(bytes(1 << 22)) + opened.flush()):
+        with pytest.raises(warc_zstd.ArchiveError, match="holds over 1000000 bytes"):
+            list(warc_zstd.archive_frames(data + whole, most=1_000_000))
+
+
+def test_pages_of_odd_rows_round_trip(spark):
+    rows = [(None, "u", "same"), (4, None, "same"), (4, "u", "same"), (2, "u", None), (3, "u", ""), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("payload", F.lit(1))
+    for given in (pages, pages.limit(0)):
+        path = scratch_path(spark, "odd-archives")
+        warc_zstd.write_archives(warc_zstd.with_revisits(given), path)
+        back = warc_zstd.read_archives(spark, path).collect()
+        assert len(back) == given.count() and all(r["error"] is None for r in back)
+    assert given.count() == 0
+
+
 def test_broken_records_are_told():
     good = warc_zstd.record_bytes(1, "http://a/", b"body", None, False)
     assert warc_zstd.parse_record(good)["payload"] == b"body"
@@ -572,6 +601,15 @@ def test_urls(spark):
     assert url_vocabulary.filter_urls(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_terms_fit_in_any_case_and_odd_rows_are_judged(spark):
+    long = "x://h.net/" + "a/" * 1_000_000 + "Casino"
+    rows = [(None, "x://h.net/WAREZ"), (1, long), (1, long), (2, None), (3, "x://H.net/casino/Poker")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("verdict", F.lit("odd"))
+    out = url_vocabulary.filter_urls(pages, [], ("Warez", "Poker"), ("CASINO", "poker")).collect()
+    told = sorted((r["page_id"] or 0, r["verdict"], r["strict_hits"], r["soft_terms"]) for r in out)
+    assert told == [(0, "block", 1, []), (1, "allow", 0, ["casino"]), (1, "allow", 0, ["casino"]), (2, "allow", 0, []), (3, "block", 1, ["casino"])]
+
+
 # ---- 9 ----------------------------------------------------------------------------------------------------------
 
 
