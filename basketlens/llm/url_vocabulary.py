@@ -63,14 +63,13 @@ class RuleBook:
 
 
 class Vocabulary:
-    """Strict and soft terms in one automaton."""
+    """Strict and soft terms in one automaton, A-Z lower-cased like urls; a term in both is strict."""
 
     def __init__(self, strict: tuple[str, ...], soft: tuple[str, ...]) -> None:
         self.terms = ahocorasick.Automaton()
-        for term in soft:
-            self.terms.add_word(term, (term, False))
-        for term in strict:
-            self.terms.add_word(term, (term, True))
+        for terms, severe in ((soft, False), (strict, True)):
+            for term in (t.translate(_UPPER) for t in terms):
+                self.terms.add_word(term, (term, severe))
         self.empty = not len(self.terms)
         if not self.empty:
             self.terms.make_automaton()
