@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketlens import schemas as S
 from basketlens.functions.columns import sample_key
 from basketlens.operators.features import feature_matrix
+from basketlens.operators.membership import ArticleSets, flagged
 from basketlens.plans.numbering import nth_value
 from basketlens.plans.workspace import written
 
@@ -17,12 +18,15 @@ from basketlens.plans.workspace import written
 _KEYS = ["customer_id", "article_id"]
 
 
-def _flagged(candidates: DataFrame, **tables: DataFrame) -> DataFrame:
-    """``candidates`` with a 0/1 column per table (customer_id, article_id): whether the pair is in it.
+def _flagged(candidates: DataFrame, **tables: DataFrame | ArticleSets) -> DataFrame:
+    """``candidates`` with a 0/1 column per table: whether the pair (customer_id, article_id) is in it.
 
     All rows go to their customer's task in one exchange and are matched there; whatever is grouped or ordered by
-    customer afterwards stays in that task. A customer has at most a candidate list and, per table, the catalogue.
+    customer afterwards stays in that task. A customer has at most a candidate list and, per table of pairs, the
+    catalogue. Bitmaps are matched by bits; pairs that are used once are cheaper as rows.
     """
+    if any(isinstance(t, ArticleSets) for t in tables.values()):
+        return flagged(candidates, **tables)
     extra = F.struct(*[c for c in candidates.columns if c not in _KEYS])
     rows = candidates.select(*_KEYS, extra.alias("_row"), *[F.lit(0).alias(t) for t in tables])
     kind = rows.schema["_row"].dataType
@@ -35,11 +39,11 @@ def _flagged(candidates: DataFrame, **tables: DataFrame) -> DataFrame:
     return merged.filter(F.col("_row").isNotNull()).select(*_KEYS, "_row.*", *tables)
 
 
-def candidate_pairs(candidates: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+def candidate_pairs(candidates: DataFrame, seen: DataFrame | ArticleSets | None = None) -> DataFrame:
     """Candidates (customer_id, article_id, als_rank from 0) with the pair features of the ranker.
 
     ``als_score`` is the list length minus the rank; candidates that carry their ``list_size`` need no
-    window to know it. ``seen`` flags candidates bought in training; leave it
+    window to know it. ``seen`` (pairs, or their bitmaps) flags candidates bought in training; leave it
     out when the candidates exclude them by construction, which saves matching and gives the same zeros.
     """
     if seen is None:
@@ -89,7 +93,7 @@ def ranking_dataset(
     truth: DataFrame,
     item_feats: DataFrame,
     user_feats: DataFrame,
-    seen: DataFrame | None = None,
+    seen: DataFrame | ArticleSets | None = None,
     max_negatives: int = S.MAX_NEGATIVES,
     seed: int = S.SEED,
 ) -> DataFrame:
@@ -97,9 +101,9 @@ def ranking_dataset(
 
     Ask for candidates of customers of ``truth`` only; others are dropped, but after they were moved.
     """
-    flagged = _flagged(candidates, label=truth) if seen is None else _flagged(candidates, label=truth, seen=seen)
+    tables = {"label": truth} if seen is None else {"label": truth, "seen": seen}
     bought = F.lit(0.0) if seen is None else F.col("seen").cast("double")
-    pairs = _scored(flagged, bought, "label")
+    pairs = _scored(_flagged(candidates, **tables), bought, "label")
     return feature_matrix(negative_sample(pairs, max_negatives, seed), item_feats, user_feats)
 
 

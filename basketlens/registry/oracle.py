@@ -455,6 +455,8 @@ FROM art LEFT JOIN (
             "SELECT customer_id, article_id, CAST(rank AS INTEGER) AS rank FROM recs", *COLDW, _recs("recs", "ctx", 10)
         ),
         "candidate_pairs": _q("SELECT * FROM pairs", *PLAIN, _POPULAR_SEEN, _PAIRS),
+        "candidate_pairs_by_bitmaps": _q("SELECT * FROM pairs", *PLAIN, _POPULAR_SEEN, _PAIRS),
+        "history_sizes": _q("SELECT customer_id, count(*) AS n_articles FROM seen GROUP BY customer_id", *PLAIN),
         "labelled_pairs": _q(
             "SELECT customer_id, article_id, label FROM labelled", *PLAIN, _POPULAR, _PAIRS, _LABELLED
         ),

@@ -27,6 +27,7 @@ from basketlens.operators import split as SP
 from basketlens.operators import staging as ST
 from basketlens.operators import two_stage as TS
 from basketlens.operators import validate as V
+from basketlens.operators.membership import ArticleSets
 from basketlens.plans.workspace import scratch_path, written
 from basketlens.sources import fixtures as X
 from basketlens.sources import marts as SM
@@ -400,11 +401,14 @@ def popularity_recommend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _popular_candidates(
-    split: SP.TemporalSplit, users: DataFrame | None = None, exclude_seen: bool = True
+    split: SP.TemporalSplit,
+    users: DataFrame | None = None,
+    exclude_seen: bool = True,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """The deterministic stand-in for ALS: unseen popular articles of every training customer, or of ``users``."""
     users = split.train.select("customer_id") if users is None else users
-    recs = P.PopularityModel.fit(split.train).recommend(users, S.N_CANDIDATES, exclude_seen)
+    recs = P.PopularityModel.fit(split.train, stats).recommend(users, S.N_CANDIDATES, exclude_seen)
     return recs.select("customer_id", "article_id", (F.col("rank") - 1).alias("als_rank"))
 
 
@@ -415,57 +419,82 @@ def _recommendations(split: SP.TemporalSplit, which: str, k: int) -> DataFrame:
 # ---- candidate pairs and the ranking dataset -----------------------------------------------------------
 
 
-def _pairs(spark: SparkSession, sf: str, exclude_seen: bool = True) -> tuple[SP.TemporalSplit, DataFrame]:
-    split = _split(spark, sf)
-    candidates = _popular_candidates(split, exclude_seen=exclude_seen)
-    return split, R.candidate_pairs(candidates, FE.user_seen_items(split.train))
+def _stats(split: SP.TemporalSplit) -> DataFrame:
+    return written(FE.interaction_stats(split.train), "stats")
+
+
+def _pairs(split: SP.TemporalSplit, stats: DataFrame, exclude_seen: bool = True) -> DataFrame:
+    candidates = _popular_candidates(split, exclude_seen=exclude_seen, stats=stats)
+    return R.candidate_pairs(candidates, FE.seen_items_from(stats))
 
 
 @query
 def candidate_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Bought articles stay among the candidates here, so that the flag takes both values."""
-    return _pairs(spark, sf, exclude_seen=False)[1]
+    split = _split(spark, sf)
+    return _pairs(split, _stats(split), exclude_seen=False)
+
+
+@query
+def candidate_pairs_by_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The same flags from stored bitmaps, those of the older half of training merged with those of the younger."""
+    split = _split(spark, sf)
+    stats = _stats(split)
+    bought = FE.seen_items_from(stats)
+    sets = ArticleSets.of(bought)
+    middle = F.lit(split.val_start) - F.expr("INTERVAL 90 DAYS")
+    older, younger = (
+        ArticleSets.of(split.train.where(part), sets.numbers) for part in (F.col("t_dat") < middle, F.col("t_dat") >= middle)
+    )
+    return R.candidate_pairs(_popular_candidates(split, exclude_seen=False, stats=stats), older.merged(younger))
+
+
+@query
+def history_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Different articles per training customer, counted in bitmaps."""
+    return ArticleSets.of(FE.seen_items_from(_stats(_split(spark, sf)))).sizes()
 
 
 @query
 def labelled_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    split, pairs = _pairs(spark, sf)
+    split = _split(spark, sf)
+    pairs = _pairs(split, _stats(split))
     return R.labelled_pairs(pairs, SP.ground_truth(split, "val")).select("customer_id", "article_id", "label")
 
 
 @query
 def negative_sampling(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
-    candidates = _popular_candidates(split, SP.known_users(split, "val"))
+    candidates = _popular_candidates(split, SP.known_users(split, "val"), stats=_stats(split))
     labelled = R.labelled_pairs(candidates, SP.ground_truth(split, "val"))
     return R.negative_sample(labelled).select("customer_id", "article_id", "als_rank", "label")
 
 
 @query
 def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    split, pairs = _pairs(spark, sf)
-    stats = written(FE.interaction_stats(split.train), "stats")
+    split = _split(spark, sf)
+    stats = _stats(split)
     items = written(FE.item_features_from(stats), "item-features")
-    return FE.feature_matrix(pairs, items, FE.user_features_from(stats))
+    return FE.feature_matrix(_pairs(split, stats), items, FE.user_features_from(stats))
 
 
 @query
 def feature_matrix_from_buckets(spark: SparkSession, sf: str) -> DataFrame:
     """The same matrix from stored user features in buckets, which are joined without an exchange of their own."""
-    split, pairs = _pairs(spark, sf)
-    stats = written(FE.interaction_stats(split.train), "stats")
+    split = _split(spark, sf)
+    stats = _stats(split)
     items = written(FE.item_features_from(stats), "item-features")
     users = written(FE.user_features_from(stats), "user-features")
     n_buckets = SM.bucket_count(spark, users.count())
     path = scratch_path(spark, "user-buckets")
-    return FE.feature_matrix(pairs, items, SM.write_bucketed(users, path, "customer_id", n_buckets))
+    return FE.feature_matrix(_pairs(split, stats), items, SM.write_bucketed(users, path, "customer_id", n_buckets))
 
 
 def _dataset(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
-    stats = written(FE.interaction_stats(split.train), "stats")
+    stats = _stats(split)
     return R.ranking_dataset(
-        _popular_candidates(split, SP.known_users(split, "val")),
+        _popular_candidates(split, SP.known_users(split, "val"), stats=stats),
         SP.ground_truth(split, "val"),
         written(FE.item_features_from(stats), "item-features"),
         FE.user_features_from(stats),
@@ -635,7 +664,8 @@ def batch_recommendations(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = TS.split_requests(requests)
     split = _split(spark, sf, cold=True)
     model = P.PopularityModel.fit(split.train)
-    ranked = written(_by_article(model.recommend(split.train.select("customer_id"), S.MAX_TOP_N)), "ranked")
+    asked = split.train.select("customer_id").join(good.select("customer_id"), "customer_id", "left_semi")
+    ranked = written(_by_article(model.recommend(asked, S.MAX_TOP_N)), "ranked")
     response = TS.batch_response(good, TS.route_cold_start(good, ranked, model, S.MAX_TOP_N))
     items = F.posexplode("recommendations").alias("position", "item")
     return response.select("customer_id", "request", "source", items).select(
