@@ -14,8 +14,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STRICT = ("porn", "xxx", "hentai", "camgirls", "warez", "keygen", "phishing")
-SOFT = ("adult", "sex", "nude", "escort", "casino", "betting", "poker", "viagra", "torrent", "crack", "gore", "dating")
+# Terms that hardly stand in a harmless url, by language, in the plain letters that urls have.
+STRICT_BY_LANGUAGE = {
+    "en": "porn porno pornstar xxx hentai camgirl camgirls milf gangbang blowjob warez keygen phishing stormer",
+    "es": "pornografia porno putas follar casinosonline",
+    "fr": "pornographie porno salope putes",
+    "de": "pornos pornografie sexcam nutten",
+    "it": "pornografia porno troie",
+    "pt": "pornografia porno putaria",
+}
+# Terms that also have harmless uses; several different ones tell what a url is about.
+SOFT_BY_LANGUAGE = {
+    "en": "adult sex sexy nude naked erotic escort escorts fetish casino betting gambling poker slots jackpot viagra cialis "
+    "torrent torrents crack cracked serial gore dating hookup payday",
+    "es": "adultos sexo desnuda desnudas erotico apuestas tragaperras ruleta citas",
+    "fr": "adulte sexe nue nues erotique paris-sportifs roulette rencontres",
+    "de": "erwachsene nackt erotik wetten sportwetten spielautomaten",
+    "it": "adulti sesso nuda nude scommesse incontri",
+    "pt": "adultos sexo nua nuas apostas roleta encontros",
+}
+
+
+def _terms(by_language: dict[str, str]) -> tuple[str, ...]:
+    """The different terms of all languages, sorted."""
+    return tuple(sorted({term for terms in by_language.values() for term in terms.split()}))
+
+
+STRICT, SOFT = _terms(STRICT_BY_LANGUAGE), _terms(SOFT_BY_LANGUAGE)
 # Different soft terms that reject.
 SOFT_LIMIT = 2
 
