@@ -3,8 +3,8 @@
 An archive starts with a skippable frame that holds the dictionary; then comes one frame per record, so that a
 record can be decoded without those before it. Archives are written through Spark's text sink, the one sink that
 stores bytes as they are on any file system and commits them task by task; its line separator is an empty skippable
-frame, which every Zstandard reader passes over. Archives are read as binary files; sizes are kept down
-by the number of records per archive.
+frame, which every Zstandard reader passes over. Archives are read as binary files, whole; they are kept small
+by the number of records and of bytes.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,9 @@ LEVEL = 6
 DICTIONARY_BYTES = 32_768
 SAMPLE_ROWS = 512
 SAMPLE_BYTES = 16_384
+# Records of an archive, and bytes of its frames unless one frame alone has more; a reader holds one archive at a time.
 RECORDS_PER_ARCHIVE = 5000
+ARCHIVE_BYTES = 128 << 20
 # Bytes handed to the decoder at a time.
 _FEED = 1 << 16
 _SMALL_FEED = 1 << 12
@@ -93,34 +96,51 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
     return _header("revisit" if revisit else "response", fields, len(block)) + block + b"\r\n\r\n"
 
 
-def _frames(dictionary: bytes, per_archive: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _frames(
+    dictionary: bytes, per_archive: int, archive_bytes: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Frames with the number of their archive in the task and their place in it; a dictionary frame has place 0."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_checksum=True, write_content_size=True)
         head = struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary if dictionary else None
-        n = 0
+        task = TaskContext.get().partitionId()
+        archive, n, held = -1, per_archive, 0
         for batch in batches:
-            out = []
+            out: list[tuple[str, int, bytes]] = []
             for page_id, url, payload, refers_to, revisit in zip(*[c.to_pylist() for c in batch.columns]):
-                if head and n % per_archive == 0:
-                    out.append(head)
-                out.append(packer.compress(record_bytes(page_id, url, payload, refers_to, revisit)))
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+                frame = packer.compress(record_bytes(page_id, url, payload, refers_to, revisit))
+                if n >= per_archive or held + len(frame) > archive_bytes:
+                    archive, n, held = archive + 1, 0, len(head or b"")
+                    if head:
+                        out.append((f"{task:06d}-{archive:06d}", 0, head))
+                n, held = n + 1, held + len(frame)
+                out.append((f"{task:06d}-{archive:06d}", n, frame))
+            names, places, frames = zip(*out) if out else ((), (), ())
+            columns = [pa.array(names, pa.string()), pa.array(places, pa.int32()), pa.array(frames, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["archive", "place", "frame"])
 
     return run
 
 
-def write_archives(records: DataFrame, path: str, dictionary: bytes = b"", per_archive: int = RECORDS_PER_ARCHIVE) -> None:
-    """Write ``records`` (page_id, url, payload, refers_to, revisit) as archives of ``per_archive`` records.
+def write_archives(
+    records: DataFrame,
+    path: str,
+    dictionary: bytes = b"",
+    per_archive: int = RECORDS_PER_ARCHIVE,
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> None:
+    """Write ``records`` (page_id, url, payload, refers_to, revisit) as archives, each in a folder of its own below ``path``.
 
-    Order within a task is kept. No records give no archives.
+    An archive ends after ``per_archive`` records, or before the record that would take it over ``archive_bytes``; one larger
+    record is an archive by itself. Order within a task is kept. No records give no archives.
     """
     rows = records.select("page_id", "url", "payload", "refers_to", "revisit")
-    frames = rows.mapInArrow(_frames(dictionary, per_archive), "frame binary")
-    sink = frames.select(F.col("frame").cast("string").alias("value")).write
-    # Every archive has its dictionary frame, so files are cut where one comes.
-    sink.option("lineSep", SEPARATOR).option("maxRecordsPerFile", per_archive + bool(dictionary)).text(path)
+    frames = rows.mapInArrow(_frames(dictionary, per_archive, archive_bytes), "archive string, place int, frame binary")
+    placed = frames.sortWithinPartitions("archive", "place")
+    sink = placed.select("archive", F.col("frame").cast("string").alias("value")).write
+    sink.partitionBy("archive").option("lineSep", SEPARATOR).text(path)
 
 
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -335,13 +355,13 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(spark: SparkSession, path: str, names: str = ARCHIVE_NAMES) -> DataFrame:
-    """One row per record of all archives in the folder ``path`` whose names fit the pattern ``names``.
+    """One row per record of all archives in the folder ``path``, and in folders below it, whose names fit the pattern ``names``.
 
     A record that fails a check, and an archive from the place on where it cannot be read, is a row with ``error``
     and without content. ``payload`` is null for revisits; their ``payload_bytes`` and ``payload_digest``
     are those of the payload they stand for. An empty file has no records.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", True).load(path)
     return files.select("path", "content").mapInArrow(_records, RECORD)
 
 

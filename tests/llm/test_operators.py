@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import time
 import zlib
@@ -383,6 +384,23 @@ def test_archives_round_trip(spark):
     assert out["<urn:page:2>"]["refers_to"] == "<urn:page:3>"
 
 
+def test_archives_end_by_bytes(spark):
+    rng = random.Random(5)
+    sizes = [10, 40_000, 300, 90_000, 200_000, 5, 60_000, 30_000, 0, 100]
+    rows = [(i, "u", "".join(rng.choices("abcdefghijklmnop", k=n))) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "cut-archives")
+    records = warc_zstd.with_revisits(pages).coalesce(1)
+    warc_zstd.write_archives(records, path, archive_bytes=50_000)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()
+    counts = [(f["length"], sum(1 for _ in warc_zstd.archive_frames(bytes(f["content"])))) for f in files]
+    slack = 50 * len(warc_zstd.SEPARATOR)
+    assert sum(n for _, n in counts) == len(rows) and len(counts) > 3
+    assert all(size <= 50_000 + slack or n == 1 for size, n in counts) and any(n > 1 for _, n in counts)
+    back = warc_zstd.read_archives(spark, path).collect()
+    assert sorted(r["payload_bytes"] for r in back) == sorted(sizes) and not any(r["error"] for r in back)
+
+
 def test_archives_of_others_are_read(spark, tmp_path):
     record = warc_zstd.record_bytes(7, "x://a", b"seven", None, False)
     whole = zstandard.ZstdCompressor().compress(record)
@@ -601,6 +619,14 @@ def test_urls(spark):
     assert url_vocabulary.filter_urls(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_terms_of_other_languages(spark):
+    urls = ["x://a.es/apuestas-y-ruleta", "x://a.de/wetten", "x://a.fr/paris-sportifs/roulette", "x://a.it/pornografia", "x://a.pt/sexologia/nuance"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = by_id(url_vocabulary.filter_urls(pages, []), "page_id")
+    assert [out[i]["verdict"] for i in range(5)] == ["block", "allow", "block", "block", "allow"]
+    assert not set(url_vocabulary.STRICT) & set(url_vocabulary.SOFT)
+
+
 def test_terms_fit_in_any_case_and_odd_rows_are_judged(spark):
     long = "x://h.net/" + "a/" * 1_000_000 + "Casino"
     rows = [(None, "x://h.net/WAREZ"), (1, long), (1, long), (2, None), (3, "x://H.net/casino/Poker")]
