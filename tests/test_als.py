@@ -217,3 +217,51 @@ def test_halving_finds_the_best_of_the_grid(make_tx):
         A.als_halving(split.train, truth, [])
     with pytest.raises(ValueError, match="every second"):
         A.als_halving(split.train, truth, grid, keep=1)
+
+
+def test_slices_that_only_tie_with_later_articles_are_skipped(spark):
+    """Few different factors, each of many articles: norms tell nothing, boxes and first articles do."""
+    n = 2000
+    goods = np.array([[i % 4, i % 7 - 3, i % 2] for i in range(n)], np.float32)
+    people = np.array([[c % 3, c % 5 - 2, 1.0] for c in range(15)])
+    batch = pd.DataFrame({"customer_id": [f"p{c}" for c in range(15)], "features": list(people), "bought": [None] * 15})
+    for size in (16, 17, n):
+        counts = A.SearchCounts.of(spark)
+        slices = A.norm_slices(np.arange(n), goods, size)
+        assert sorted(i for s in slices for i in s.ids) == list(range(n)) and len(slices) == -(-n // size)
+        out = A.rank_customers(batch, [(slices[0].norm, lambda: slices)], 6, counts)  # noqa: B023
+        got = out.groupby("customer_id")["article_idx"].apply(list).to_dict()
+        assert got == {f"p{c}": sorted(range(n), key=lambda i: (-people[c] @ goods[i], i))[:6] for c in range(15)}  # noqa: B023
+        if size < n:
+            assert counts.scored.value < 0.3 * 15 * len(slices)
+
+
+def test_the_driver_builds_no_rows_of_factors(spark, monkeypatch):
+    """Blocks come to the driver as bytes of slices, not as one object per article or number."""
+    goods = np.random.default_rng(5).normal(size=(50, 4)).astype(np.float32)
+    items = spark.createDataFrame([(i, f.tolist()) for i, f in enumerate(goods)], "id int, features array<float>")
+    monkeypatch.setattr(type(items), "toPandas", lambda _: pytest.fail("all rows of a block as objects"))
+    monkeypatch.setattr(A, "SLICE_ITEMS", 6)
+    blocks, bounds = A._item_blocks(items, 20)
+    slices = [s for b in blocks for s in b.value]
+    assert bounds == sorted(bounds, reverse=True) and len(blocks) == 3
+    assert max(len(s.ids) for s in slices) <= 6
+    assert np.array_equal(np.concatenate([s.factors for s in slices])[np.argsort(np.concatenate([s.ids for s in slices]))], goods)
+
+
+def test_shuffles_of_earlier_iterations_do_not_stay(spark, train, monkeypatch):
+    import pathlib
+    import time
+
+    from basketlens.plans import workspace
+
+    monkeypatch.setattr(workspace, "RELEASE_SECONDS", 0.3)
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    kept = lambda: {f.name for d in dirs for f in pathlib.Path(d).glob("*/shuffle_*.data")}
+    before = kept()
+    A.ALSCandidates.fit(train, A.ALSParams(factors=2, iterations=24))
+    stop = time.time() + 10
+    while len(kept() - before) >= 100 and time.time() < stop:
+        time.sleep(0.2)
+    # 24 iterations write two shuffles of ten blocks each.
+    assert len(kept() - before) < 100
