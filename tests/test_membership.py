@@ -78,3 +78,16 @@ def test_saved_and_loaded(spark, bought, tmp_path):
     MB.ArticleSets.of(bought).save(str(tmp_path))
     loaded = MB.ArticleSets.load(spark, str(tmp_path))
     assert flags(MB.flagged(asked(spark, [("ann", "a3"), ("ann", "a2")]), seen=loaded), "seen") == [("ann", "a2", 0), ("ann", "a3", 1)]
+
+
+def test_bitmaps_take_no_more_than_their_pairs(spark):
+    """A customer with articles far apart has a number for each, not 4 KB; the last bit of a number is the sign."""
+    places = [1, 63, 64, 65, 128, 129, 70_000, 900_000]
+    numbers = spark.createDataFrame([(f"w{n}", n) for n in places], "article_id string, article_idx long")
+    own = [("u", f"w{n}") for n in places if n not in (63, 129)]
+    sets = MB.ArticleSets.of(spark.createDataFrame(own * 2, PAIRS), numbers)
+    assert dict(sets.rows.dtypes)["bitmap"] == "bigint"
+    assert sets.rows.count() <= len(own)
+    assert sets.merged(sets).sizes().first()["n_articles"] == len(own)
+    got = flags(MB.flagged(asked(spark, [("u", f"w{n}") for n in places]), seen=sets), "seen")
+    assert got == sorted(("u", f"w{n}", int(n not in (63, 129))) for n in places)
