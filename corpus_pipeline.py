@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import decontaminate, language_id, line_chunks, packing, simhash_pivots
 from basketlens.llm.common import table
-from basketlens.plans.workspace import written
+from basketlens.plans.workspace import released_shuffles, written
 
 # A document whose best language scores less has no language that the model knows. Scores of texts under SHORT characters
 # fall with the root of the length, whatever the language, and so does what is asked of them.
@@ -36,8 +36,14 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages of lines stay where they come first. No document goes, but texts can become empty."""
-    return _with_length(line_chunks.remove_repeated_passages(docs), docs.columns)
+    """Repeated passages and chunks of lines stay where they come first. No document goes, but texts can become empty.
+
+    Passages go whole first, wherever they begin and end; content-defined chunks then go over all that is left. The other way
+    round chunks would leave the odd lines of a passage at both ends of it.
+    """
+    with released_shuffles(spark):
+        whole = written(line_chunks.remove_repeated_passages(docs).select(*docs.columns), "whole-passages")
+    return _with_length(line_chunks.remove_repeated_chunks(whole), docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -767,3 +767,22 @@ def test_pipeline_stages_keep_the_columns(spark):
     con = duckdb.connect()
     n = con.execute(f"SELECT count(*) FROM read_parquet('{SF}/documents.parquet')").fetchall()[0][0]
     assert len(kept) > 0.85 * n
+
+
+def test_line_stage_goes_by_chunks_after_passages(spark, monkeypatch):
+    """The stage runs the content-defined chunks over all documents as passages leave them."""
+    lines = [f"line {i} of a text that several documents share" for i in range(30)]
+    texts = ["\n".join(lines), "\n".join(["first of its own", *lines[4:25], "last of its own"]), "\n".join(lines[10:])]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    given, chunks = [], line_chunks.remove_repeated_chunks
+    monkeypatch.setattr(line_chunks, "remove_repeated_chunks", lambda d: given.append(by_id(d)) or chunks(d))
+    out = by_id(corpus_pipeline.without_repeated_lines(spark, docs, SF))
+    left = by_id(line_chunks.remove_repeated_passages(docs))
+    assert [{k: r["text"] for k, r in g.items()} for g in given] == [{k: r["text"] for k, r in left.items()}]
+    assert out[0]["text"] == texts[0] and out[1]["text"] == "first of its own\nlast of its own" and out[2]["text"] == ""
+    assert all(r["n_chars"] == len(r["text"]) for r in out.values())
+    # Chunks have the last word: what they find, goes.
+    monkeypatch.setattr(line_chunks, "remove_repeated_passages", lambda d: d)
+    alone = by_id(corpus_pipeline.without_repeated_lines(spark, docs, SF))
+    assert {k: r["text"] for k, r in alone.items()} == {k: r["text"] for k, r in by_id(chunks(docs)).items()}
+    assert len(alone[1]["text"]) < len(texts[1]) / 2
