@@ -133,3 +133,14 @@ def test_drop_refuses_other_tables(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     with pytest.raises(ValueError, match="not a written"):
         workspace.drop_written(spark.read.parquet(str(tmp_path / "t")))
+
+
+def test_the_part_of_a_large_lookup_that_is_asked_for_is_broadcast(spark):
+    lookup = workspace.written(spark.range(1000).select("id", (F.col("id") * 2).alias("twice")), "t-lookup")
+    rows = spark.range(500).select((F.col("id") % 7).alias("id"), F.col("id").alias("n"))
+    rows = rows.unionByName(spark.createDataFrame([(None, -1), (5000, -2)], "id long, n long"))
+    for how in ("left", "inner"):
+        joined = skew.lookup_join(rows, lookup, "id", how, max_rows=20)
+        assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, rows.join(lookup, "id", how).collect()), key=str)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
