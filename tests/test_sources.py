@@ -152,3 +152,16 @@ def test_bucketed_table_is_found_again(spark, tmp_path):
     marts.write_bucketed(rows.limit(0), path, "customer_id", 4)
     assert spark.read.schema(rows.schema).parquet(path).count() == 0
     assert marts.bucket_count(spark, 10) == 4 and marts.bucket_count(spark, 1_000_000) == 20
+
+
+def test_ids_are_written_out_after_the_rows_have_moved(spark, tmp_path):
+    from basketlens.sources import fixtures as X
+
+    spark.sql("SELECT 7L o_orderkey, 12L o_custkey, TIMESTAMP_NTZ'1999-01-02' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = "SELECT 7L l_orderkey, 1L l_linenumber, 345L l_partkey, 9.5D l_extendedprice UNION ALL SELECT 7L, 2L, NULL, 1D"
+    spark.sql(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = X._order_lines(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "lpad" in plan.split("RepartitionByExpression")[0] and "lpad" not in plan.split("RepartitionByExpression")[1]
+    got = {(r["customer_id"], r["article_id"], str(r["price"]), r["sales_channel_id"]) for r in rows.collect()}
+    assert got == {("0000000012", "0000000345", "9.50", 2), ("0000000012", None, "1.00", 2)}
