@@ -35,7 +35,7 @@ def build_marts(tx: DataFrame, articles: DataFrame, customers: DataFrame, out: s
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)
-    daily = written(M.daily_purchases(views["stg_transactions"]), "daily")
+    daily = written(M.marked_purchases(views["stg_transactions"]), "daily")
     SM.write_monthly(
         M.interactions_from(daily), f"{out}/fct_user_item_interactions", "transaction_date", ["customer_id", "article_id"]
     )

@@ -6,7 +6,7 @@ on a key that no hot customer or article can dominate, and the marts aggregate i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.plans.workspace import written
@@ -19,6 +19,19 @@ def daily_purchases(stg_tx: DataFrame) -> DataFrame:
     )
 
 
+def marked_purchases(stg_tx: DataFrame) -> DataFrame:
+    """:func:`daily_purchases` with ``first_of_pair``, true on one row per customer and article: counting these rows counts
+    the articles of a customer and the customers of an article, with no shuffle of the pairs.
+
+    Ranges over (customer, article) hold all days of a pair, and the rows of a customer next to each other, so that
+    what is aggregated per customer shrinks before it moves; a hot customer is still spread over several ranges.
+    """
+    days = Window.partitionBy("customer_id", "article_id").orderBy("transaction_date")
+    sales = stg_tx.select("customer_id", "article_id", "transaction_date", "price")
+    daily = daily_purchases(sales.repartitionByRange("customer_id", "article_id"))
+    return daily.withColumn("first_of_pair", F.row_number().over(days) == 1)
+
+
 def fct_user_item_interactions(stg_tx: DataFrame) -> DataFrame:
     """Purchases and spend per customer, article and day, with a logarithmic confidence."""
     return interactions_from(daily_purchases(stg_tx))
@@ -37,25 +50,19 @@ def interactions_from(daily: DataFrame) -> DataFrame:
 
 def fct_user_features(stg_tx: DataFrame, stg_cust: DataFrame, as_of: Column) -> DataFrame:
     """One row per buying customer: profile, purchase totals, distinct active days, days since last."""
-    return user_mart_from(written(daily_purchases(stg_tx), "daily"), stg_cust, as_of)
+    return user_mart_from(written(marked_purchases(stg_tx), "daily"), stg_cust, as_of)
 
 
 def user_mart_from(daily: DataFrame, stg_cust: DataFrame, as_of: Column) -> DataFrame:
-    """``daily`` should be a stored table: articles and days are each counted over one row per pair."""
-    by_article = daily.groupBy("customer_id", "article_id").agg(
-        F.sum("purchase_count").alias("n"),
-        F.sum("spend").alias("spend"),
-        F.max("transaction_date").alias("last"),
-        F.min("transaction_date").alias("first"),
-    )
-    spend, count = F.sum("spend").cast("double"), F.sum("n")
-    totals = by_article.groupBy("customer_id").agg(
-        F.count("article_id").alias("total_unique_items"),
+    """``daily`` are :func:`marked_purchases`, and should be a stored table: it is read for the totals and for the days."""
+    spend, count = F.sum("spend").cast("double"), F.sum("purchase_count")
+    totals = daily.groupBy("customer_id").agg(
+        F.count_if("first_of_pair").alias("total_unique_items"),
         count.alias("total_purchases"),
         spend.alias("total_spend"),
         (spend / count).alias("avg_item_price"),
-        F.max("last").alias("last_purchase_date"),
-        F.min("first").alias("first_purchase_date"),
+        F.max("transaction_date").alias("last_purchase_date"),
+        F.min("transaction_date").alias("first_purchase_date"),
     )
     days = daily.select("customer_id", "transaction_date").distinct()
     active = days.groupBy("customer_id").agg(F.count("transaction_date").alias("active_days"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from basketlens import jobs
 from basketlens import schemas as S
 from basketlens.operators import marts as M
 from basketlens.operators import staging as ST
+from basketlens.plans.workspace import written
 
 
 
@@ -100,6 +102,24 @@ def test_user_mart(tx, customers):
     assert set(rows) == {"u1", "u2"}
 
 
+def test_articles_and_buyers_are_counted_without_moving_the_pairs(spark, make_tx, customers, articles):
+    # One customer with most sales, on days that repeat across articles; one article that all customers buy.
+    rows = [(f"2020-01-{1 + i % 7:02d}", "u1", f"a{i % 40}", 1.0) for i in range(400)]
+    rows += [("2020-01-09", f"u{i}", "a1", 2.0) for i in range(2, 60)] * 2 + [(None, "u2", "a1", 1.0)]
+    stg = ST.stg_transactions(make_tx(rows))
+    daily = written(M.marked_purchases(stg), "daily")
+    assert daily.where("first_of_pair").count() == daily.select("customer_id", "article_id").distinct().count() == 98
+    users = M.user_mart_from(daily, ST.stg_customers(customers), as_of())
+    found = {r["customer_id"]: (r["total_unique_items"], r["total_purchases"], r["active_days"]) for r in users.collect()}
+    assert found == {"u1": (40, 400, 7), "u2": (1, 3, 1)} | {f"u{i}": (1, 2, 1) for i in range(3, 60)}
+    items = {r["article_id"]: r for r in M.item_mart_from(daily, ST.stg_articles(articles), as_of()).collect()}
+    assert [(items[a]["unique_buyers"], items[a]["total_purchases"]) for a in ("a1", "a2")] == [(59, 127), (1, 10)]
+    # Sales move by ranges of (customer, article) only, and never again by the pair.
+    plan = M.marked_purchases(stg)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning(customer_id") == 1
+    assert not re.search(r"hashpartitioning\(customer_id#\d+, article_id", users._jdf.queryExecution().executedPlan().toString())
+
+
 def test_item_mart_keeps_unsold_articles(tx, articles):
     rows = {
         r["article_id"]: r

@@ -91,6 +91,16 @@ def test_latest_transactions_needs_a_positive_size(make_tx):
         raw.latest_transactions(make_tx([("2020-01-01", "u", "a")]), 0)
 
 
+def test_ids_are_stripped_as_by_the_pattern(spark):
+    ends = ["", " ", "\t", "\n", "\x0b", "\f", "\r", "\r\n", "\x85", " \x85", " \u2028", "\u2029 ", "\xa0", " \n\u2028"]
+    ids = spark.createDataFrame([(a + mid + b,) for a in ends for mid in ("", "x", "x y\t0", "0" * 12) for b in ends], "a string")
+    pattern = F.regexp_replace("a", r"^\s+|\s+$", "")
+    key = F.when(F.length(pattern) < 10, F.lpad(pattern, 10, "0")).otherwise(pattern)
+    assert ids.where(~C.stripped(F.col("a")).eqNullSafe(pattern) | ~C.article_key(F.col("a")).eqNullSafe(key)).count() == 0
+    plan = ids.select(C.article_key(F.col("a")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(" in plan
+
+
 def test_ids_are_stripped_of_any_white_space_and_never_cut(spark):
     ids = spark.createDataFrame([("\t42 \n", " 123456789012 "), ("0000000007", "Ab C ")], "a string, b string")
     rows = ids.select(C.article_key(F.col("a")), C.article_key(F.col("b")), C.customer_key(F.col("b"))).collect()
