@@ -87,23 +87,19 @@ def user_mart_from(daily: DataFrame, stg_cust: DataFrame, as_of: Column) -> Data
 
 def fct_item_features(stg_tx: DataFrame, stg_art: DataFrame, as_of: Column) -> DataFrame:
     """One row per catalogue article, sold or not, with popularity relative to the widest-sold one."""
-    return item_mart_from(daily_purchases(stg_tx), stg_art, as_of)
+    return item_mart_from(marked_purchases(stg_tx), stg_art, as_of)
 
 
 def item_mart_from(daily: DataFrame, stg_art: DataFrame, as_of: Column) -> DataFrame:
-    by_buyer = daily.groupBy("article_id", "customer_id").agg(
-        F.sum("purchase_count").alias("n"),
-        F.sum("spend").alias("spend"),
-        F.max("transaction_date").alias("last"),
-    )
-    spend, count = F.sum("spend").cast("double"), F.sum("n")
+    """``daily`` are :func:`marked_purchases`."""
+    spend, count = F.sum("spend").cast("double"), F.sum("purchase_count")
     # One row per sold article, written so that the maximum does not aggregate the sales again.
     stats = written(
-        by_buyer.groupBy("article_id").agg(
-            F.count(F.lit(1)).alias("buyers"),
+        daily.groupBy("article_id").agg(
+            F.count_if("first_of_pair").alias("buyers"),
             count.alias("purchases"),
             (spend / count).alias("mean_price"),
-            F.max("last").alias("last_sold_date"),
+            F.max("transaction_date").alias("last_sold_date"),
         ),
         "item-stats",
     )
