@@ -23,12 +23,12 @@ def marked_purchases(stg_tx: DataFrame) -> DataFrame:
     """:func:`daily_purchases` with ``first_of_pair``, true on one row per customer and article: counting these rows counts
     the articles of a customer and the customers of an article, with no shuffle of the pairs.
 
-    Ranges over (customer, article) hold all days of a pair, and the rows of a customer next to each other, so that
-    what is aggregated per customer shrinks before it moves; a hot customer is still spread over several ranges.
+    Sales are aggregated before they are ranged over (customer, article), so that a pair with many sales is one row a day by
+    then. A range holds all days of a pair, and the rows of a customer next to each other: what is aggregated per customer
+    shrinks before it moves. A hot customer is still spread over several ranges.
     """
     days = Window.partitionBy("customer_id", "article_id").orderBy("transaction_date")
-    sales = stg_tx.select("customer_id", "article_id", "transaction_date", "price")
-    daily = daily_purchases(sales.repartitionByRange("customer_id", "article_id"))
+    daily = daily_purchases(stg_tx).repartitionByRange("customer_id", "article_id")
     return daily.withColumn("first_of_pair", F.row_number().over(days) == 1)
 
 
