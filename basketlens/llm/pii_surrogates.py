@@ -364,6 +364,14 @@ def _draws(key: bytes, drawn: Callable) -> Callable[[Iterator[pa.RecordBatch]],
     return run
 
 
+# Entities that a task draws for; fewer are not worth a task and a file.
+_TASK_ROWS = 2_000
+
+
+def _files(rows: int) -> int:
+    return -(-rows // _TASK_ROWS)
+
+
 def assign_surrogates(entities: DataFrame, key: bytes, drawn: Callable = surrogate) -> DataFrame:
     """(kind, canon, attempt, new) for every row of ``entities`` (kind, canon), which are distinct.
 
@@ -374,19 +382,21 @@ def assign_surrogates(entities: DataFrame, key: bytes, drawn: Callable = surroga
     schema = "kind string, canon string, attempt int, new string"
     entities = written(entities.select("kind", "canon"), "entities")
     real = entities.where(~F.col("kind").rlike("^(given|family)")).select("kind", F.col("canon").alias("new"))
-    pending = entities.withColumn("attempt", F.lit(0))
+    pending, left = entities.withColumn("attempt", F.lit(0)), entities.count()
     settled: DataFrame | None = None
     for _ in range(MAX_ATTEMPTS):
-        tried = written(pending.mapInArrow(_draws(key, drawn), schema), "draws")
-        free = tried.join(real, ["kind", "new"], "left_anti")
+        tried = written(pending.mapInArrow(_draws(key, drawn), schema), "draws", _files(left))
+        winners = tried.groupBy("kind", "new").agg(F.min("canon").alias("least")).join(real, ["kind", "new"], "left_anti")
         if settled is not None:
-            free = free.join(settled.select("kind", "new"), ["kind", "new"], "left_anti")
-        winners = free.groupBy("kind", "new").agg(F.min("canon").alias("canon"))
-        won = written(free.join(winners, ["kind", "new", "canon"], "left_semi").select("kind", "canon", "attempt", "new"), "settled")
-        settled = won if settled is None else settled.unionByName(won)
-        lost = tried.join(won.select("kind", "canon"), ["kind", "canon"], "left_anti")
-        pending = written(lost.select("kind", "canon", (F.col("attempt") + 1).alias("attempt")), "collided")
-        if pending.isEmpty():
+            winners = winners.join(settled.select("kind", "new"), ["kind", "new"], "left_anti")
+        won = F.coalesce(F.col("canon") == F.col("least"), F.lit(False)).alias("won")
+        judged = tried.join(winners, ["kind", "new"], "left").select("kind", "canon", "attempt", "new", won)
+        judged = written(judged, "settled-or-collided", _files(left))
+        now = judged.where("won").drop("won")
+        settled = now if settled is None else settled.unionByName(now)
+        pending = judged.where("NOT won").select("kind", "canon", (F.col("attempt") + 1).alias("attempt"))
+        left = pending.count()
+        if not left:
             return settled
     full = ", ".join(f"{r['count']} of {r['kind']}" for r in pending.groupBy("kind").count().orderBy("kind").collect())
     raise ValueError(f"no room for surrogates of the same form: {full}")
@@ -438,11 +448,12 @@ def replace_entities(docs: DataFrame, key: bytes, drawn: Callable = surrogate) -
     )
     rows = keyed.where(F.col("text").isNotNull()).select("_id", "_mark", "text")
     found = written(rows.mapInArrow(_entity_rows, "_id long, _mark long, kind string, canon string"), "entity-rows")
-    settled = assign_surrogates(found.select("kind", "canon").distinct(), key, drawn)
-    again = written(settled.where("attempt > 0").select("kind", "canon", "attempt"), "attempts")
+    files = _files(found.count())
+    settled = assign_surrogates(found.select("kind", "canon").distinct().coalesce(max(1, files)), key, drawn)
+    again = settled.where("attempt > 0").select("kind", "canon", "attempt")
     # Of documents only those matter that have an entity with a further attempt.
     by_doc = found.join(again, ["kind", "canon"]).groupBy("_id", "_mark")
-    by_doc = written(by_doc.agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("_again")), "again-by-doc")
+    by_doc = written(by_doc.agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("_again")), "again-by-doc", files)
     there = by_doc.select(F.col("_id").alias("_id2"), F.col("_mark").alias("_mark2"), "_again")
     joined = keyed.join(there, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_mark") == F.col("_mark2")), "left")
     source = joined.select("_row", "text", "_again")

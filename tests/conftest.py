@@ -21,6 +21,22 @@ def spark():  # noqa: ANN201
     session.stop()
 
 
+@pytest.fixture
+def new_files(spark):  # noqa: ANN001, ANN201
+    """A function that returns {name of a written table: files in it} of the tables written since; many partitions, none merged."""
+    from basketlens.plans.workspace import scratch_path
+
+    folder = pathlib.Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(folder.glob("*"))
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield lambda: {t.name.rpartition("-")[0]: len([*t.glob("part-*")]) for t in sorted(set(folder.glob("*")) - before)}
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.fixture(scope="session")
 def make_tx(spark):  # noqa: ANN001, ANN201
     """Transactions from (day, customer, article[, price[, channel]]) tuples."""

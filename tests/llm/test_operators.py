@@ -104,6 +104,17 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(out) == 5 and len({r["new"] for r in out}) == 5 and not {r["new"] for r in out} & set("abcde")
 
 
+def test_few_entities_are_settled_in_few_files(spark, new_files):
+    texts = [f"Mail me{i}@host{i % 7}.co, Mrs. {n} Keller, card 4041894974608795" for i, n in enumerate(["Anna", "Eva", "Olga"] * 30)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    out = by_id(pii_surrogates.replace_entities(docs, KEY))
+    assert all(out[i]["n_entities"] == 4 and "Keller" not in out[i]["text"] for i in range(90))
+    assert len({re.search(r"\S+@\S+", r["text"])[0] for r in out.values()}) == 90
+    files = new_files()
+    documents = files.pop("entity-rows")
+    assert documents <= 8 and len(files) >= 4 and set(files.values()) == {1}
+
+
 def test_mentions_equal_a_search_for_all_names():
     rng = np.random.default_rng(2)
     people = {n: "family-latin" for n in ("Ann", "Ann-Lee", "Lee", "O'Neil", "Neil", "Annika", "Bo")}
