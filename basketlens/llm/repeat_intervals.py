@@ -36,8 +36,10 @@ MIN_LENGTH = 100
 # Contexts of one anchor that a task sorts; a bucket with more is refined first.
 BUCKET_CONTEXTS = 2_000
 # Suffixes whose anchors are found at a time, and bytes of contexts sorted at a time.
-_STRETCH = 1 << 20
-_SORTED_BYTES = 1 << 20
+_STRETCH = 1 << 18
+_SORTED_BYTES = 1 << 18
+# Bytes of text whose contexts are not worth more than one task and file of an intermediate table.
+_TASK_BYTES = 32 << 20
 _PLACE_BITS = 26
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 # A place is the first suffix of a context and the number of its suffixes.
@@ -108,13 +110,21 @@ def _octets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return octets[offsets[0] : offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch by stretches of the bytes in its second column; a row stays whole."""
+    _, offsets = _octets(batch.column(1))
+    edges = np.flatnonzero(np.diff(offsets[:-1] // _STRETCH, prepend=-1, append=-1)).tolist()
+    for begin, end in zip(edges, edges[1:]):
+        yield batch.slice(begin, end - begin)
+
+
 def _all_contexts(
     min_length: int, whole: bool
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(gram), or with ``whole`` (gram, mark, _doc, place), of every context of rows (_doc, _bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole_batch in batches if len(whole_batch) for part in _parts(whole_batch)):
             octets, offsets = _octets(batch.column(1))
             text, start, count, gram = contexts_of(octets, offsets, min_length)
             if not whole:
@@ -356,27 +366,30 @@ def _span(min_length: int) -> list[Column]:
 
 def _gathered(
     numbered: DataFrame, min_length: int, bucket_contexts: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Spans of contexts and strings that occur before, and the nodes of the interval trees."""
+) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Spans of contexts and strings that occur before, the nodes of the interval trees, and the files that such tables get."""
     spark = numbered.sparkSession
     texts = numbered.select("_doc", "_bytes")
+    size = texts.agg(F.sum(F.octet_length("_bytes"))).first()[0] or 0
+    files = max(1, -(-size // _TASK_BYTES))
     grams = texts.mapInArrow(_all_contexts(min_length, whole=False), "gram long")
     repeated = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    repeated = written(repeated, "repeated-anchors")
+    repeated = written(repeated, "repeated-anchors", files)
     _forget(spark)
     schema = "gram long, mark long, _doc long, place long"
     contexts = texts.mapInArrow(_all_contexts(min_length, whole=True), schema).join(repeated, "gram")
-    contexts = written(contexts, "contexts")
+    contexts = written(contexts, "contexts", files)
     _forget(spark)
 
     # Equal contexts: all but the first are repeats throughout.
     first = F.min(F.struct("_doc", "place")).alias("first")
-    classes = written(contexts.groupBy("gram", "mark").agg(first, F.count(F.lit(1)).alias("copies")), "context-classes")
+    classes = contexts.groupBy("gram", "mark").agg(first, F.count(F.lit(1)).alias("copies"))
+    classes = written(classes, "context-classes", files)
     several = classes.where("copies > 1").select("gram", "mark", "first")
     others = contexts.join(several, ["gram", "mark"]).where(
         (F.col("_doc") != F.col("first._doc")) | (F.col("place") != F.col("first.place"))
     )
-    equal = written(others.select("_doc", *_span(min_length)), "equal-contexts")
+    equal = written(others.select("_doc", *_span(min_length)), "equal-contexts", files)
     drop_written(contexts)
     _forget(spark)
 
@@ -387,25 +400,25 @@ def _gathered(
         (F.col("different") > bucket_contexts).alias("large"),
     )
     by_doc = wanted.groupBy("_doc").agg(F.collect_list(F.struct("gram", "place", "copies", "large")).alias("wanted"))
-    by_doc = written(by_doc, "wanted-contexts")
+    by_doc = written(by_doc, "wanted-contexts", files)
     # Equal rows are one document, which is wanted once.
     once = texts if texts.select("_doc").distinct().count() == texts.count() else texts.dropDuplicates(["_doc"])
     sliced = once.join(by_doc.hint("merge"), "_doc").mapInArrow(
         _sliced(min_length), "_doc long, gram long, mark long, place long, copies long, body binary"
     )
-    sliced = written(sliced, "context-texts")
+    sliced = written(sliced, "context-texts", files)
     _forget(spark)
     bodies = sliced.where(F.col("body").isNotNull()).select("gram", "_doc", "place", "copies", "body")
     nodes = bodies.repartition("gram").sortWithinPartitions("gram").mapInArrow(
         _scanned(min_length),
         "gram long, low long, high long, length long, n long, _doc long, start long, first boolean",
     )
-    nodes = written(nodes, "repeat-nodes")
+    nodes = written(nodes, "repeat-nodes", files)
     # Refined buckets hold equal strings only: one node each, if there are two or more.
     strings = sliced.where(F.col("body").isNull()).select("gram", "mark", "_doc", "place", "copies")
     refined = strings.groupBy("gram", "mark").agg(first, F.count(F.lit(1)).alias("different"), F.sum("copies").alias("n"))
-    refined = written(refined.where("different > 1").select("gram", "mark", "first", "n"), "refined-buckets")
-    return equal, nodes, strings.join(refined, ["gram", "mark"])
+    refined = written(refined.where("different > 1").select("gram", "mark", "first", "n"), "refined-buckets", files)
+    return equal, nodes, strings.join(refined, ["gram", "mark"]), files
 
 
 def repeat_groups(
@@ -418,7 +431,7 @@ def repeat_groups(
     A node lists the first occurrence of each node inside it, whose rows are the others. ``document`` is doc_id, or
     a number in its order if ids are null or repeated. Equal contexts stand for each other: their first is listed.
     """
-    _, nodes, refined = _gathered(_numbered(docs), min_length, bucket_contexts)
+    _, nodes, refined, _ = _gathered(_numbered(docs), min_length, bucket_contexts)
     start = F.shiftright("place", _COUNT_BITS)
     before = (F.col("_doc") == F.col("first._doc")) & (F.col("place") == F.col("first.place"))
     zero = F.lit(0).cast("long")
@@ -474,13 +487,13 @@ def remove_repeats(
     added = ["kept", "n_bytes", "n_removed", "n_spans"]
     own = docs.drop(*added)
     numbered = _numbered(own)
-    equal, nodes, refined = _gathered(numbered, min_length, bucket_contexts)
+    equal, nodes, refined, files = _gathered(numbered, min_length, bucket_contexts)
     end = (F.col("start") + F.col("length")).alias("end")
     again = (F.col("_doc") != F.col("first._doc")) | (F.col("place") != F.col("first.place"))
     spans = equal.unionByName(nodes.where(~F.col("first")).select("_doc", "start", end))
     spans = spans.unionByName(refined.where(again).select("_doc", *_span(min_length)))
     by_doc = spans.groupBy("_doc").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    by_doc = written(by_doc, "repeat-spans")
+    by_doc = written(by_doc, "repeat-spans", files)
     _forget(docs.sparkSession)
     joined = numbered.join(by_doc.hint("merge"), "_doc", "left").select("_row", "_text", "_bytes", "_spans")
     row, text = joined.schema["_row"].dataType.simpleString(), joined.schema["_text"].dataType.simpleString()

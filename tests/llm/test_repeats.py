@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,32 @@ def test_short_stretches_and_sorts_change_nothing(spark, monkeypatch):
         monkeypatch.undo()
 
 
+def test_contexts_are_made_of_a_stretch_of_rows_at_a_time(monkeypatch):
+    docs = [(1, ""), (2, "x" * 500), *made_docs(6, 40), (9, "")]
+    columns = [pa.array([i for i, _ in docs]), pa.array([t.encode() for _, t in docs])]
+    batch = pa.RecordBatch.from_arrays(columns, ["_doc", "_bytes"])
+
+    def contexts(rows, whole):
+        return pa.Table.from_batches(R._all_contexts(40, whole)(iter(rows)))
+
+    wholly = [contexts([batch], whole) for whole in (False, True)]
+    monkeypatch.setattr(R, "_STRETCH", 200)
+    parts = [*R._parts(batch)]
+    assert len(parts) > 5 and sum(map(len, parts)) == len(docs)
+    # A part ends before its bytes and the last row's are more than a stretch.
+    assert all(sum(len(b.as_buffer()) for b in p.column(1)[:-1]) <= 200 for p in parts)
+    again = [contexts([batch.slice(0, 7), batch.slice(7, 0), batch.slice(7)], whole) for whole in (False, True)]
+    strings = [{(d, (p >> 16) + i, g) for g, _, d, p in zip(*(c.to_pylist() for c in t.columns)) for i in range(p & 0xFFFF)} for t in (wholly[1], again[1])]
+    assert strings[0] == strings[1] and len(again[1]) == len(again[0])
+    assert len(again[1].column(0).chunks) > 5
+
+
+def test_small_intermediates_have_one_file(spark, new_files):
+    check(spark, made_docs(12, 60), 12, bucket_contexts=3)
+    files = new_files()
+    assert len(files) >= 4 and set(files.values()) == {1}
+
+
 def test_suffix_array_and_nodes_equal_brute_force():
     rng = np.random.default_rng(4)
     bodies = [bytes(rng.integers(97, 99, n, dtype=np.uint8)) for n in (30, 25, 40, 9, 40)] + [b"\0a\0a\0a\0a\0a\0a"]
