@@ -212,3 +212,29 @@ def test_errors(toy, model):
         L.fit_lambdamart(toy.withColumn("label", F.lit(0)), PARAMS)
     with pytest.raises(ValueError, match="no training customer"):
         L.fit_lambdamart(toy.withColumn("held_out", F.lit(True)), PARAMS)
+
+
+def test_leaves_by_bits_equal_the_walk_down_the_tree(monkeypatch):
+    rnd = np.random.default_rng(11)
+    bins = rnd.integers(0, 256, (5, 3000)).astype(np.uint8)
+    for n_leaves in (1, 2, 17, 64):
+        tree = L.Tree.root(0.0)
+        leaves = [0]
+        while tree.n_leaves < n_leaves:
+            at = leaves.pop(int(rnd.integers(len(leaves))))
+            leaves += tree.split(at, int(rnd.integers(5)), int(rnd.integers(255)), 1.0, (rnd.normal(), rnd.normal()))
+        with monkeypatch.context() as m:
+            m.setattr(L.Tree, "_walked", lambda *_: pytest.fail("every row down the tree"))
+            found = tree.leaves_of(bins)
+        assert np.array_equal(found, tree._walked(bins))
+    tree.split(leaves[0], 0, 7, 1.0, (0.0, 0.0))
+    assert np.array_equal(tree.leaves_of(bins), tree._walked(bins))
+
+
+def test_rows_that_cannot_be_listed_are_not_ranked(spark, toy, model):
+    """Customers lie together here, so all but the first three of each stay in the scoring task."""
+    rows = toy.coalesce(1).sortWithinPartitions("customer_id").unionByName(toy.limit(4).withColumn("customer_id", F.lit(None)))
+    assert model.score(rows.filter("customer_id IS NOT NULL"), 3).count() == 40 * 3
+    whole = {(r["customer_id"], r["article_id"]): r["rank"] for r in model.rank(rows).filter("rank <= 3").collect()}
+    assert {(r["customer_id"], r["article_id"]): r["rank"] for r in model.rank(rows, 3).collect()} == whole
+    assert len(whole) == 41 * 3
