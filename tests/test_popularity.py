@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 from basketlens.operators import popularity as P
+from basketlens.operators import ranking as R
 from basketlens.plans import numbering as N
 
 
@@ -112,3 +113,17 @@ def test_equals_brute_force(spark, make_tx, lists, monkeypatch, prefix_rows, chu
     for r in recs.collect():
         ranks.setdefault(r["customer_id"], []).append(r["rank"])
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in ranks.values())
+
+
+def test_long_lists_are_dealt_by_their_rows(spark, make_tx, lists, monkeypatch):
+    """Few bytes move for a list, so merged tasks would hold, and sort again, the lists of too many customers."""
+    model = P.PopularityModel.fit(make_tx([("2020-01-01", f"u{i}", f"a{(i + j) % 9}") for i in range(30) for j in range(i % 4 + 1)]))
+    whole = lists(model.recommend(model.seen, 5))
+    monkeypatch.setattr(P, "ROWS_PER_TASK", 15)
+    dealt = model.recommend(model.seen, 5)
+    assert lists(dealt) == whole and len(whole) == 30
+    # 150 rows, ten tasks; what is joined to the lists moves to them.
+    assert dealt.rdd.getNumPartitions() == 10
+    truth = spark.createDataFrame([(f"u{i}", f"a{i % 9}") for i in range(30)], "customer_id string, article_id string")
+    sampled = R.negative_sample(R.labelled_pairs(dealt.withColumnRenamed("rank", "als_rank"), truth), 2)
+    assert sampled.rdd.getNumPartitions() == 10
